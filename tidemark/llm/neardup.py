@@ -12,8 +12,8 @@
    of their n - ceil(0.85 n) + 1 first shingles in any common order, so ordering
    by (approximate) frequency loses no pair, and texts that only share a
    frequent passage never meet.
-4. Groups of up to ``SMALL`` sets are compared in pairs; larger groups compare
-   everyone to a leader, and then only members still in different components.
+4. Small groups are compared in pairs; larger ones compare everyone to a leader,
+   and then only members still in different components, to ever more leaders.
 5. A signature of 128 minhashes discards hopeless pairs (a link fails that test
    with probability 2e-6); every link is confirmed on the full sets.
 
@@ -38,7 +38,7 @@ SHINGLE, THRESHOLD = 5, 85
 PAIRS = 8                     # sub-keys in each of the two collections
 N_MIN = 4 * PAIRS             # minhashes: 2 collections x 8 pairs
 N_SIG, SIG_LEAST = 128, 90    # longer signature of candidates, equal places asked
-SMALL = 16                    # groups up to this size are compared in pairs
+SMALL = 16                    # groups of up to its square in pairs are compared at once
 FREQ_BITS = 18                # buckets of the approximate frequency table
 BROADCAST_ROWS = 1_000_000    # 8-byte ids sent to all executors at most
 
@@ -141,24 +141,28 @@ def _prefixes(freq):
         for b in batches:
             rep, n, col = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2)
             off, vals = _list_bounds(col), col.values.to_numpy()
-            g, r, m = [], [], []
+            g, r, m, i = [], [], [], []
             for k in range(len(rep)):
                 s = vals[off[k] : off[k + 1]]
                 size = len(s)
                 p = size - -(-THRESHOLD * size // 100) + 1
+                i.append(np.arange(p))
                 u = s.view(np.uint64)
                 f = freq.value[(u >> np.uint64(64 - FREQ_BITS)).astype(np.int64)]
                 g.append(s[np.lexsort((u, f))[:p]])
                 r.append(np.full(p, rep[k]))
                 m.append(np.full(p, n[k]))
             if g:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (g, r, m)], ["g", "rep", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (g, r, m, i)], ["g", "rep", "n", "i"])
 
     return run
 
 
-def _similar(a: str, b: str):
-    return 100 * F.least(a, b) >= THRESHOLD * F.greatest(a, b)
+def _may_link(na: str, ia: str, nb: str, ib: str):
+    """Whether sets of na and nb shingles whose first common one is the ia-th and
+    ib-th can overlap enough; at later common ones the test is stricter."""
+    most = F.least(F.col(na) - F.col(ia), F.col(nb) - F.col(ib))
+    return (100 * F.least(na, nb) >= THRESHOLD * F.greatest(na, nb)) & ((100 + THRESHOLD) * most >= THRESHOLD * (F.col(na) + F.col(nb)))
 
 
 def _pick(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -218,48 +222,62 @@ def classes_and_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     freq = np.zeros(1 << FREQ_BITS, np.int64)
     for b, c in got:
         freq[b] = c
-    prefix = sets.select("rep", "n", "set").mapInArrow(_prefixes(spark.sparkContext.broadcast(freq)), "g long, rep long, n long")
-    prefix = saved(prefix, "prefix")
+    prefix = sets.select("rep", "n", "set").mapInArrow(_prefixes(spark.sparkContext.broadcast(freq)), "g long, rep long, n long, i long")
+    # In a pair the smaller set's place is below 1 - 2t/(1+t) of its size: a
+    # group needs one such member.
+    early = F.col("i") * (100 + THRESHOLD) <= F.col("n") * (100 - THRESHOLD)
+    prefix = saved(prefix.withColumn("early", early), "prefix")
     n_prefix = prefix.count()
-    groups = prefix.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("rep")).alias("who"), F.min(F.struct(F.xxhash64("rep").alias("h"), F.col("rep").alias("l"), F.col("n").alias("ln"))).alias("lead")).where("c > 1")
-    # Many shingles are shared by the very same sets: one group of each is enough.
-    groups = groups.groupBy("c", "who").agg(F.min("g").alias("g"), F.min("lead").alias("lead"))
-    met = saved(prefix.join(groups.select("g", "c", F.col("lead.l").alias("l"), F.col("lead.ln").alias("ln")), "g"), "met")
-    small = met.where(F.col("c") <= SMALL)
-    left = small.select("g", F.col("rep").alias("a"), F.col("n").alias("na"))
-    right = small.select("g", F.col("rep").alias("b"), F.col("n").alias("nb"))
-    in_pairs = left.join(right, "g").where((F.col("a") < F.col("b")) & _similar("na", "nb")).select("a", "b")
+    groups = prefix.groupBy("g").agg(
+        F.count(F.lit(1)).alias("c"), F.count_if("early").alias("ce"), F.bit_xor(F.xxhash64("rep")).alias("who"), F.sum("i").alias("si"),
+    ).where("c > 1 AND ce > 0")
+    # Many shingles are shared by the very same sets: the first one is enough.
+    groups = groups.groupBy("c", "who").agg(F.min(F.struct("si", "g", "ce")).alias("m")).select("m.g", "m.ce", (F.col("m.ce") * F.col("c")).alias("pairs"))
+    met = saved(prefix.join(groups, "g"), "met")
     ordered = lambda d: d.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    star = met.where((F.col("c") > SMALL) & (F.col("rep") != F.col("l")) & _similar("n", "ln")).select(F.col("l").alias("a"), F.col("rep").alias("b"))
-    tested = saved(ordered(in_pairs.unionByName(star)), "tested")
+
+    def paired(d: DataFrame, apart: bool) -> DataFrame:
+        side = lambda x: d.select("g", "early", *[F.col(c).alias(c + x) for c in ("rep", "n", "i", *(["comp"] if apart else []))])
+        x, y = side("a").where("early").drop("early"), side("b")
+        cond = _may_link("na", "ia", "nb", "ib") & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("repa") < F.col("repb"))) | ((F.col("na") == F.col("nb")) & ~F.col("early")))
+        cond = cond & (F.col("repa") != F.col("repb"))
+        out = x.join(y, "g").where(cond & (F.col("compa") != F.col("compb")) if apart else cond)
+        return out.select(F.col("repa").alias("a"), F.col("repb").alias("b"))
+
+    def leads(k: int):
+        """About k of a group's early members, by hash."""
+        return F.col("early") & (F.pmod(F.xxhash64("g", "rep"), F.col("ce")) < k)
+
+    def starred(d: DataFrame, k: int, apart: bool) -> DataFrame:
+        lead = d.where(leads(k)).select("g", F.col("rep").alias("l"), F.col("n").alias("ln"), F.col("i").alias("li"), *([F.col("comp").alias("lc")] if apart else []))
+        out = d.join(lead, "g").where((F.col("rep") != F.col("l")) & _may_link("n", "i", "ln", "li"))
+        return (out.where("comp <> lc") if apart else out).select(F.col("l").alias("a"), F.col("rep").alias("b"))
+
+    tested = ordered(paired(met.where(F.col("pairs") <= SMALL * SMALL), False).unionByName(starred(met.where(F.col("pairs") > SMALL * SMALL), 1, False)))
+    tested = saved(tested, "tested")
     links = saved(_verify(tested, sets), "linked")
     labels = components(links)
-    live = met.where(F.col("c") > SMALL).select("g", "rep", "n", F.col("l").alias("gone"))
+    live, k = met.where(F.col("pairs") > SMALL * SMALL).withColumn("early", F.col("early") & ~leads(1)).drop("pairs", "ce"), 1
     while True:
-        # Members of large groups that are still apart, without spent leaders.
-        named = live.where("rep <> gone").join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").select("g", "rep", "n", F.coalesce("component", "rep").alias("comp"))
-        split = named.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct(F.xxhash64("g", "rep").alias("h"), F.col("rep").alias("l"), F.col("n").alias("ln"), F.col("comp").alias("lc"))).alias("lead")).where("lo <> hi")
-        named = saved(named.join(split.select("g", "c", F.col("lead.l").alias("l"), F.col("lead.ln").alias("ln"), F.col("lead.lc").alias("lc")), "g"), "apart")
-        rows_left, ordered_pairs = named.agg(F.count(F.lit(1)), F.sum("c")).first()
-        if not rows_left:
+        # Groups with members in different components; these are compared with
+        # twice as many further leaders, and in pairs once the pairs are few
+        # against the input. A leader has met everyone and is not early again.
+        k *= 2
+        named = live.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").select("g", "rep", "n", "i", "early", F.coalesce("component", "rep").alias("comp"))
+        split = named.groupBy("g").agg(F.count_if("early").alias("ce"), (F.count(F.lit(1)) * F.count_if("early")).alias("pairs"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi AND pairs > 0")
+        named = saved(named.join(split.select("g", "ce", "pairs"), "g"), "apart")
+        n_left = named.groupBy("g").agg(F.first("pairs").alias("p")).agg(F.sum("p")).first()[0]
+        if not n_left:
             break
-        # The rest goes in pairs once they are no more than the prefix rows.
-        last = ordered_pairs / 2 <= n_prefix
-        if last:
-            x = named.select("g", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-            y = named.select("g", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-            more = x.join(y, "g").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _similar("na", "nb")).select("a", "b")
-        else:
-            more = named.where((F.col("rep") != F.col("l")) & (F.col("comp") != F.col("lc")) & _similar("n", "ln")).select(F.col("l").alias("a"), F.col("rep").alias("b"))
+        last = n_left <= 4 * n_prefix
+        more = paired(named, True) if last else starred(named, k, True)
         more = saved(ordered(more).join(tested, ["a", "b"], "left_anti"), "tested")
         found = saved(_verify(more, sets), "linked")
-        if found.limit(1).count():
-            links = links.unionByName(found)
-            labels = components(links)
+        links, tested = saved(links.unionByName(found), "links"), saved(tested.unionByName(more), "tested")
+        labels = components(links)
         if last:
             break
-        tested = tested.unionByName(more)
-        live = named.select("g", "rep", "n", F.col("l").alias("gone"))
+        live = named.withColumn("early", F.col("early") & ~leads(k)).drop("pairs", "comp", "ce")
     return signed.select("doc_id", *key), reps.select(*key, "rep"), labels
 
 
