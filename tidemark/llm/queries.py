@@ -4,25 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neardup, quality
+from . import decontam, neardup, packing, pii, quality
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(packing.TOKENIZER))
+
+
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+QUERIES = (
+    op2_best_fit_packing, op3_pii_surrogates, op5_minhash_neardup, op7_spaced_seed_decontamination,
+    op9_quality_rules,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_minhash_neardup, op9_quality_rules)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
