@@ -1,11 +1,18 @@
 """Corpus pipeline: documents through the stages in order, each written as
-Parquet and reread as the next one's input."""
+Parquet and reread as the next one's input.
+
+Quality rules drop what they reject; near-duplicate removal keeps one document
+of each group (rows that share a doc_id are one document); decontamination drops
+documents with a benchmark passage; personal data is replaced; what remains is
+packed. Null doc_ids and other columns pass through every filter.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import neardup, quality
+from tidemark.llm import decontam, neardup, packing, pii, quality
 from tidemark.llm.common import saved, table
 
 
@@ -17,7 +24,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return neardup.drop_near_duplicates(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(docs).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path(packing.TOKENIZER))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("replace_personal_data", replace_personal_data),
+    ("pack", pack),
+]
 
 #: Learned rules, minhash and tokenizers have no SQL form; tests use brute force.
 ORACLE_SQL = None
