@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, neardup, packing, pii, quality
+from . import decontam, neardup, packing, pii, quality, toktransducer, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,10 +21,18 @@ def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.capture(table(spark, sf_dir, "pages"))
+
+
 def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toktransducer.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(toktransducer.TOKENIZER))
+
+
 def op7_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,8 +43,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
-    op2_best_fit_packing, op3_pii_surrogates, op5_minhash_neardup, op7_spaced_seed_decontamination,
-    op9_quality_rules,
+    op2_best_fit_packing, op3_pii_surrogates, op4_warc_capture_index, op5_minhash_neardup,
+    op6_transducer_token_counts, op7_spaced_seed_decontamination, op9_quality_rules,
 )
 
 
