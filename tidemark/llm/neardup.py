@@ -216,7 +216,8 @@ def classes_and_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     )
     survivors = saved(second.join(shared(second), "k", "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "survivors")
     sets = saved(_pick(docs, survivors).mapInArrow(_sets, "rep long, n long, set array<bigint>, sig binary"), "sets")
-    sets = sets.dropDuplicates(["rep"]) if signed.groupBy("doc_id").count().where("count > 1").limit(1).count() else sets
+    if sets.count() > survivors.count():  # rows that share a doc_id
+        sets = saved(sets.dropDuplicates(["rep"]), "sets")
     # 2^18 sums at most, whatever the input
     got = sets.select("set").mapInArrow(_frequencies, "bucket int, c long").groupBy("bucket").agg(F.sum("c").alias("c")).collect()
     freq = np.zeros(1 << FREQ_BITS, np.int64)
