@@ -7,12 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, neardup, packing, pii, quality, toktransducer, warc
+from . import decontam, neardup, packing, pii, quality, toktransducer, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(packing.TOKENIZER))
 
@@ -43,7 +48,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
-    op2_best_fit_packing, op3_pii_surrogates, op4_warc_capture_index, op5_minhash_neardup,
+    op1_toxicity_bigru, op2_best_fit_packing, op3_pii_surrogates, op4_warc_capture_index, op5_minhash_neardup,
     op6_transducer_token_counts, op7_spaced_seed_decontamination, op9_quality_rules,
 )
 
