@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, neardup, packing, pii, quality, toktransducer, toxicity, warc
+from . import decontam, langid, neardup, packing, pii, pitmanyor, quality, toktransducer, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,14 +42,23 @@ def op7_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "pages"), langid.fit(table(spark, sf_dir, "documents")))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES = (
     op1_toxicity_bigru, op2_best_fit_packing, op3_pii_surrogates, op4_warc_capture_index, op5_minhash_neardup,
-    op6_transducer_token_counts, op7_spaced_seed_decontamination, op9_quality_rules,
+    op6_transducer_token_counts, op7_spaced_seed_decontamination,
+    op8_language_fusion, op9_quality_rules, op10_pitman_yor_scores,
 )
 
 
