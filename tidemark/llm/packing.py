@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import zlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from .common import saved
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 PLAN_ROWS = 2_000_000  # rows of a plan that may be broadcast
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -63,35 +64,36 @@ class WordIds(dict):
     def ids(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
-    def learn(self, chunks: list[str]) -> None:
-        if len(self) > CACHE_WORDS:
+    def learn(self, new: set[str]) -> None:
+        """Encodes unknown chunks, many in one call."""
+        if len(self) + len(new) > CACHE_WORDS:
             self.clear()
             self[""] = b""
-        new = list(dict.fromkeys(w for w in chunks if w not in self))
-        odd = [w for w in new if self.MARK in w or len(self.mark) != 1]
+        odd = [w for w in new if self.MARK in w] if len(self.mark) == 1 else list(new)
         for w in odd:
             self[w] = np.array(self.ids(w), "<u4").tobytes()
-        plain = [w for w in new if w not in self]
-        for a in range(0, len(plain), 2000):
-            part = plain[a : a + 2000]
-            ids = np.array(self.ids(f" {self.MARK} ".join(part)), "<u4")
+        plain = list(new.difference(odd)) if odd else list(new)
+        for a in range(0, len(plain), 4000):
+            part = plain[a : a + 4000]
+            ids = np.array(self.tok.encode_batch_fast([f" {self.MARK} ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(ids == self.mark[0])
             if len(cuts) != len(part) - 1:  # a chunk made the mark's id itself
                 for w in part:
                     self[w] = np.array(self.ids(w), "<u4").tobytes()
                 continue
-            raw, at = ids.tobytes(), 0
-            for w, cut in zip(part, [*cuts.tolist(), len(ids)]):
-                self[w] = raw[4 * at : 4 * cut]
-                at = cut + 1
+            raw = ids.tobytes()
+            ends = [*(4 * cuts).tolist(), len(raw)]
+            self.update(zip(part, map(raw.__getitem__, map(slice, [0, *(4 * cuts + 4).tolist()], ends))))
 
-    def text(self, text: str | None) -> bytes:
-        chunks = (text or "").replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.__getitem__, chunks))
-        except KeyError:
-            self.learn(chunks)
-            return b"".join(map(self.__getitem__, chunks))
+    def texts(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of some texts; those of a group are learned together."""
+        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        new = set(chain.from_iterable(split)).difference(self)
+        if new:
+            if len(self) + len(new) > CACHE_WORDS:
+                new = set(chain.from_iterable(split))
+            self.learn(new)
+        return [b"".join(map(self.__getitem__, chunks)) for chunks in split]
 
 
 _memory: dict[str, WordIds] = {}
@@ -113,12 +115,14 @@ def pieces(docs: DataFrame, tokenizer: str, size: int) -> DataFrame:
         end = np.array([END_ID], "<u4").tobytes()
         for b in batches:
             rows = []
-            for d, t in zip(b.column(0).to_pylist(), b.column(1)):
-                raw = ids.text(t.as_py()) + end
-                n = len(raw) // 4
-                for k, a in enumerate(range(0, n, size)):
-                    part = raw[4 * a : 4 * (a + size)]
-                    rows.append((d, k, a, len(part) // 4, zlib.crc32(part)))
+            keys = b.column(0).to_pylist()
+            for g in range(0, len(keys), 100):
+                for d, raw in zip(keys[g : g + 100], ids.texts(b.column(1).slice(g, 100).to_pylist())):
+                    raw += end
+                    n = len(raw) // 4
+                    for k, a in enumerate(range(0, n, size)):
+                        part = raw[4 * a : 4 * (a + size)]
+                        rows.append((d, k, a, len(part) // 4, zlib.crc32(part)))
             cols = list(zip(*rows)) if rows else [[]] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
