@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
 CHUNK = 1 << 16
-MAX_STATES = 100_000
+MAX_STATES = 300_000
 
 #: Fixed: characters with the Unicode property White_Space.
 SPACES = frozenset("\t\n\x0b\x0c\r \x85\xa0                　")
@@ -76,7 +76,13 @@ class Transducer:
         self.bytes_of = {i: text_of(s) for s, i in spec["model"]["vocab"].items() if s not in special}
         self.id_of = {b: i for i, b in self.bytes_of.items()}
         pairs = [p.split(" ") if isinstance(p, str) else p for p in spec["model"]["merges"]]
-        self.rank = {(text_of(a), text_of(b)): k for k, (a, b) in enumerate(pairs)}
+        self.rank, self.parts = {}, {}
+        for k, (a, b) in enumerate(pairs):
+            x, y = text_of(a), text_of(b)
+            left, right = self.id_of[x], self.id_of[y]
+            self.rank[left, right] = k
+            self.parts.setdefault(self.id_of[x + y], (left, right, k))
+        self.edges: dict[tuple[int, int], list] = {}
         # Trie: children by (node, byte); token that ends at a node; whether it goes on.
         self.child: dict[tuple[int, int], int] = {}
         self.token_at: dict[int, int] = {}
@@ -100,7 +106,7 @@ class Transducer:
     def reset(self) -> None:
         self.states: dict[tuple, State] = {}
         self.fed.clear()
-        if len(self.fits) > 4 * MAX_STATES:
+        if len(self.fits) > 2 * MAX_STATES:
             self.fits.clear()
         self.root = self.state(("0",), 0)
 
@@ -113,21 +119,38 @@ class Transducer:
 
     # -- within a piece
 
-    def merged(self, parts: list[bytes]) -> list[bytes]:
-        """Plain merging of a short byte string."""
-        while len(parts) > 1:
-            r, k = min((self.rank.get((a, b), 1 << 30), k) for k, (a, b) in enumerate(zip(parts, parts[1:])))
-            if r == 1 << 30:
-                break
-            parts = [*parts[:k], parts[k] + parts[k + 1], *parts[k + 2 :]]
-        return parts
+    def edge(self, token: int, side: int) -> list[tuple[int, float]]:
+        """The parts at a token's left (0) or right (1) edge while it is merged,
+        each with the rank of the merge that takes it up."""
+        got = self.edges.get((token, side))
+        if got is None:
+            got, until, t = [], float("inf"), token
+            while True:
+                got.append((t, until))
+                parts = self.parts.get(t)
+                if parts is None:
+                    break
+                t, until = parts[side], parts[2]
+            self.edges[token, side] = got
+        return got
 
     def may_follow(self, a: int, b: int) -> bool:
-        """Whether merging leaves token a before token b as they are."""
+        """Whether merging leaves token a before token b as they are: no merge
+        across the border comes before those that take its sides up. Of equal
+        merges the left one is first."""
         got = self.fits.get((a, b))
         if got is None:
-            x, y = self.bytes_of[a], self.bytes_of[b]
-            got = self.fits[a, b] = self.merged([bytes([c]) for c in x + y]) == [x, y]
+            rank, left = self.rank, self.edge(b, 0)
+            got = True
+            for x, x_until in self.edge(a, 1):
+                for y, y_until in left:
+                    r = rank.get((x, y))
+                    if r is not None and r < x_until and r <= y_until:
+                        got = False
+                        break
+                if not got:
+                    break
+            self.fits[a, b] = got
         return got
 
     def step(self, b: tuple, byte: int) -> tuple[tuple, int]:
@@ -148,7 +171,7 @@ class Transducer:
     def feed(self, b: tuple, ch: str) -> tuple[tuple, int]:
         got = self.fed.get((b, ch))
         if got is None:
-            if len(self.fed) > MAX_STATES // 2:
+            if len(self.fed) > 50_000:
                 self.fed.clear()
             s, total = b, 0
             for x in ch.encode("utf-8", "surrogatepass"):
