@@ -1 +1,6 @@
+"""Sources: NDJSON landings, the date-partitioned archive, SQLite spools."""
+from .archive import archived_messages, archived_structures, write_archive
+from .ndjson import read_ndjson, stream_ndjson, validated
+from .spool import SpoolDataSource, read_spool, register
 
+__all__ = ["SpoolDataSource", "archived_messages", "archived_structures", "read_ndjson", "read_spool", "register", "stream_ndjson", "validated", "write_archive"]
