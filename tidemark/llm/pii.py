@@ -75,14 +75,17 @@ def kind(e: Column) -> Column:
 
 def canonical(e: Column) -> Column:
     """What makes two spellings the same entity."""
-    k = kind(e)
-    body = (
-        F.when(k.isin("card", "ssn", "phone"), F.regexp_replace(e, "[^0-9]", ""))
-        .when(k == "email", F.lower(e))
-        .when(k == "name", F.regexp_replace(e, r"\.", ""))
-        .otherwise(e)
-    )
-    return F.concat(k, F.lit(":"), body)
+
+    def of(e: Column, k: Column) -> Column:
+        body = (
+            F.when(k.isin("card", "ssn", "phone"), F.regexp_replace(e, "[^0-9]", ""))
+            .when(k == "email", F.lower(e))
+            .when(k == "name", F.regexp_replace(e, r"\.", ""))
+            .otherwise(e)
+        )
+        return F.concat(k, F.lit(":"), body)
+
+    return let(e, lambda x: let(kind(x), lambda k: of(x, k)))
 
 
 #: Fixed: characters by script and sort; replacements stay within a group.
