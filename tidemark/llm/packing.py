@@ -33,7 +33,7 @@ from .common import saved
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 PLAN_ROWS = 2_000_000  # rows of a plan that may be broadcast
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -51,49 +51,65 @@ class WordIds(dict):
     The tokenizer drops white space and never joins tokens across it, so a text's
     ids are those of its chunks in order. Bounded; a full memory starts anew."""
 
-    #: Joins unknown chunks in one call; chunks that hold it are encoded alone.
-    MARK = "\x01"
+    #: Characters that follow the letters of a chunk as one more word.
+    TAIL = ".,;:!?*#$%&|"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.mark = self.ids(self.MARK)
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         self[""] = b""
 
-    def ids(self, text: str) -> list[int]:
-        return self.tok.encode(text, add_special_tokens=False).ids
+    def alone(self, chunk: str) -> bytes:
+        return np.array(self.tok.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, new: set[str]) -> None:
-        """Encodes unknown chunks, many in one call."""
+    def learn(self, new: list[str]) -> None:
+        """Encodes unknown chunks. Those of letters, with or without marks behind,
+        go many in one call: they are one or two words, whose last tokens show
+        where each chunk ends."""
         if len(self) + len(new) > CACHE_WORDS:
             self.clear()
             self[""] = b""
-        odd = [w for w in new if self.MARK in w] if len(self.mark) == 1 else list(new)
-        for w in odd:
-            self[w] = np.array(self.ids(w), "<u4").tobytes()
-        plain = list(new.difference(odd)) if odd else list(new)
+        plain, words = [], []
+        for w in new:
+            if w.isalpha():
+                plain.append(w)
+                words.append(1)
+            elif w.rstrip(self.TAIL).isalpha():
+                plain.append(w)
+                words.append(2)
+            else:
+                self[w] = self.alone(w)
         for a in range(0, len(plain), 4000):
             part = plain[a : a + 4000]
-            ids = np.array(self.tok.encode_batch_fast([f" {self.MARK} ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark[0])
-            if len(cuts) != len(part) - 1:  # a chunk made the mark's id itself
+            ids = np.array(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            last = np.flatnonzero(self.ends[ids])
+            at = np.cumsum(words[a : a + 4000])
+            if len(last) != at[-1]:  # letters that change when normalized
                 for w in part:
-                    self[w] = np.array(self.ids(w), "<u4").tobytes()
+                    self[w] = self.alone(w)
                 continue
             raw = ids.tobytes()
-            ends = [*(4 * cuts).tolist(), len(raw)]
-            self.update(zip(part, map(raw.__getitem__, map(slice, [0, *(4 * cuts + 4).tolist()], ends))))
+            cuts = (4 * last[at - 1] + 4).tolist()
+            self.update(zip(part, map(raw.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
         """Ids of some texts; those of a group are learned together."""
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = set(chain.from_iterable(split)).difference(self)
-        if new:
-            if len(self) + len(new) > CACHE_WORDS:
-                new = set(chain.from_iterable(split))
+        flat = list(chain.from_iterable(split))
+        found = list(map(self.get, flat))
+        if None in found:
+            new = list(dict.fromkeys([w for w, v in zip(flat, found) if v is None]))
             self.learn(new)
-        return [b"".join(map(self.__getitem__, chunks)) for chunks in split]
+            found = [self[w] if v is None else v for w, v in zip(flat, found)]
+        out, at = [], 0
+        for chunks in split:
+            out.append(b"".join(found[at : at + len(chunks)]))
+            at += len(chunks)
+        return out
 
 
 _memory: dict[str, WordIds] = {}
