@@ -1,21 +1,27 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-Two hierarchies of restaurants. Words are served in one restaurant of the whole
-corpus; each of its tables orders its dish - a spelling - from a hierarchy of
-letter restaurants, one for each context of the last three, two, one or no bytes,
-where every context's restaurant is the child of the next shorter one and the
-top one serves all bytes alike. Seating is sampled by Gibbs sweeps of the
-Chinese-restaurant process: given everything else, every word's and every
-letter's number of tables is drawn anew by seating its customers one after the
-other (in growing groups for large counts). Tables of a restaurant are the
-customers of its parent. A probability is the average of the predictive
-probabilities of the sampled seatings after ``BURN_IN`` sweeps.
+Three layers of restaurants. Words that are not too frequent as contexts have a
+restaurant of the words that follow them; all of these are children of one word
+restaurant of the whole corpus; each of its tables orders its dish - a spelling -
+from a hierarchy of letter restaurants, one for each context of the last three,
+two, one or no bytes, where every context is the child of the next shorter one
+and the top one serves all bytes alike. Seating is sampled by Gibbs sweeps of the
+Chinese-restaurant process: given everything else, the number of tables of every
+word and letter is drawn anew by seating its customers one after the other (in
+growing groups for large counts). Letters' customers are the tables above them;
+the word restaurant seats every training token itself. A probability is the
+average of the predictive probabilities of the sampled seatings after
+``BURN_IN`` sweeps.
 
 Word counts are aggregated over the whole corpus, and every sweep is one pass
 over the counted vocabulary. The letter hierarchy has at most 2^26 cells however
 large the corpus, as older context bytes enter with their low five bits. Texts
-are scored in one pass: the probabilities of frequent words, at most
-``FREQUENT`` of them, go along; all others are looked up by a join.
+are scored in blocks: the probabilities of frequent words, at most ``FREQUENT``
+of them, go along; tokens of other words are dealt by hash to the part of the
+vocabulary that knows them, then those in open contexts to their context, and
+only sums come back to the block. Contexts are open up to the count below which
+words make ``OPEN_SHARE`` of all tokens, so no context has many customers and no
+bucket is hot; in others a word has its probability of the whole corpus.
 
 Edge cases: null and empty texts consist of the end token; repeated rows are
 scored each and train as often as they occur; rows with a null doc_id do not
@@ -28,9 +34,11 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +48,11 @@ from .common import crc_mod, lower_words, saved
 BURN_IN, SAMPLES = 1, 2
 FREQUENT = 300_000
 MEMORY = 400_000       # words that a task counts before it passes them on
+OPEN_SHARE = 0.3       # of all tokens, those whose rare words open restaurants
+BLOCK_TOKENS, BLOCK_DOCS = 300_000, 2000
+BUCKET_TOKENS = 1_000_000
 THETA_WORD, THETA_LETTER = 10.0, 1.0
+THETA_CONTEXT, D_CONTEXT = 1.0, 0.8
 #: Fixed: bytes that no word holds, used for the end of a word and before it.
 STOP, START = 0x20, 0x0A
 #: Bits of a context by level: none, the last byte, and the low five bits of the
@@ -245,7 +257,7 @@ def sample(vocabulary: DataFrame, d: float) -> list[Seating]:
 
 
 def _word_scores(sent):
-    """word, c_train, c_all, model log10 probability of each word."""
+    """word, hash, c_train, c_all, model log10 probability of each word."""
 
     def run(batches):
         seatings, d, n, _ = sent.value
@@ -262,42 +274,212 @@ def _word_scores(sent):
                 t = seat(c, a, d, rng)
                 p += np.maximum(c - d * t, 0) / (THETA_WORD + n) + a / (THETA_WORD + n)
             lp = np.log10(np.maximum(p / len(seatings), 1e-300))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(lp)], ["word", "c_train", "c_all", "lp"])
+            h = np.fromiter(map(xxhash.xxh3_64_intdigest, b.column(0).to_pylist()), np.uint64, len(c)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h), b.column(1), b.column(2), pa.array(lp)], ["word", "h", "c_train", "c_all", "lp"])
 
     return run
 
 
-class Book(dict):
-    """Words that go along: word -> (base, model, known)."""
+class Book:
+    """Frequent words with what is known of them."""
 
+    def __init__(self, rows):
+        self.at = {bytes(r[0]): k for k, r in enumerate(rows)}
+        self.h = np.array([r[1] for r in rows], np.int64).view(np.uint64)
+        self.base, self.lp = np.array([r[2] for r in rows], float), np.array([r[3] for r in rows], float)
+        self.known, self.open = np.array([r[4] for r in rows], np.int64), np.array([r[5] for r in rows], bool)
+
+
+#: A token whose word is not in the book: its text in the block, whether that
+#: trains, the word, and the word before it (0 where that seats no one).
+ASK = np.dtype([("d", "<u2"), ("f", "u1"), ("w", "<u8"), ("u", "<u8")])
+#: A token in an open context: text, whether it trains, context, word, and the
+#: word restaurant's log10 probability.
+SIT = np.dtype([("d", "<u2"), ("f", "u1"), ("u", "<u8"), ("w", "<u4"), ("p", "<f4")])
+#: What a text's tokens add up to.
+SUM = np.dtype([("d", "<u2"), ("known", "<i8"), ("base", "<f8"), ("model", "<f8")])
+DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("held", "u1"), ("n", "<i8")])
+_OUT = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
+_DDL = "key long, block long, kind int, data binary"
+_SUMS, _DOCS, _SITS, _ASKS = 0, 1, 2, 3
+
+
+def _rows(rows):
+    cols = list(zip(*rows)) if rows else [[]] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _OUT)], schema=_OUT)
+
+
+def _dealt(x: np.ndarray, by: str, buckets: int, block: int, kind: int):
+    """Tokens of a block by bucket of a hash."""
+    k = (x[by] % np.uint64(buckets)).astype(np.int64)
+    o = np.argsort(k, kind="stable")
+    cuts = np.flatnonzero(np.r_[True, k[o][1:] != k[o][:-1], True]) if len(k) else [0]
+    return [(int(k[o[a]]), block, kind, x[o[a:z]].tobytes()) for a, z in zip(cuts[:-1], cuts[1:])]
+
+
+def _added(d: np.ndarray, size: int, known, base, model) -> np.ndarray:
+    """Sums by text, of the texts that occur."""
+    at = np.flatnonzero(np.bincount(d, minlength=size))
+    out = np.zeros(len(at), SUM)
+    out["d"] = at
+    for c, v in (("known", known), ("base", base), ("model", model)):
+        out[c] = np.bincount(d, v, size)[at]
+    return out
+
+
+def _emit(sent, buckets: int, what: int):
+    """Blocks of texts, by what is wanted: the texts and what their frequent words
+    add up to, the tokens to ask about, or the frequent words in open contexts.
+    Each is a scan of its own with no union before it, so that blocks are numbered
+    alike: all read the same splits in order."""
 
-def _score(sent):
     def run(batches):
         book = sent.value
-        part, row = TaskContext.get().partitionId(), 0
+        part, block = TaskContext.get().partitionId(), 0
+        end = book.at.get(b"", -1)
+        end_h = np.uint64(xxhash.xxh3_64_intdigest(b""))
+
+        def flush(docs, words, sizes):
+            nonlocal block
+            me = (part << 30) + block
+            block += 1
+            ix = np.fromiter(map(book.at.get, words, repeat(-1)), np.int64, len(words))
+            rare = ix < 0
+            h = np.empty(len(ix), np.uint64)
+            h[~rare] = book.h[ix[~rare]]
+            at = np.flatnonzero(rare)
+            h[at] = np.fromiter((xxhash.xxh3_64_intdigest(words[k]) for k in at.tolist()), np.uint64, len(at))
+            open_ = rare.copy()
+            open_[~rare] = book.open[ix[~rare]]
+            first = np.r_[0, np.cumsum(sizes)[:-1]].astype(np.int64)
+            u, o = np.r_[end_h, h[:-1]], np.r_[False, open_[:-1]]
+            u[first], o[first] = end_h, end < 0 or bool(book.open[end])
+            d = np.repeat(np.arange(len(sizes)), sizes)
+            f = np.array([x[2] for x in docs], bool)[d]
+            if what == _SITS:
+                m = ~rare & o
+                x = np.zeros(m.sum(), SIT)
+                x["d"], x["f"], x["u"], x["w"], x["p"] = d[m], f[m], u[m], h[m] >> np.uint64(32), book.lp[ix[m]]
+                return _rows(_dealt(x, "u", buckets, me, _SITS))
+            if what == _ASKS:
+                x = np.zeros(len(at), ASK)
+                x["d"], x["f"], x["w"], x["u"] = d[at], f[at], h[at], np.where(o[at], u[at], 0)
+                return _rows(_dealt(x, "w", buckets, me, _ASKS))
+            own = ix[~rare]
+            model = np.where(o[~rare], 0.0, book.lp[own])
+            told = np.zeros(len(docs), DOC)
+            told["id"] = [x[0] or 0 for x in docs]
+            told["null"] = [x[0] is None for x in docs]
+            told["held"] = [bool(x[1]) for x in docs]
+            told["n"] = sizes
+            sums = _added(d[~rare], len(docs), book.known[own], book.base[own], model)
+            return _rows([(me, me, _DOCS, told.tobytes()), (me, me, _SUMS, sums.tobytes())])
+
+        docs, words, sizes = [], [], []
         for b in batches:
-            rows: list[tuple] = []
-            for d, t, held in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
-                rid = (part << 34) + row
-                row += 1
-                words = lower_words(t.as_py())
-                words.append(b"")
-                base = model = 0.0
-                known, rare = 0, []
-                for w, k in Counter(words).items():
-                    got = book.get(w)
-                    if got is None:
-                        rare.append((rid, None, None, None, w, k, 0, 0.0, 0.0))
-                    else:
-                        base += k * got[0]
-                        model += k * got[1]
-                        known += k * got[2]
-                # A blank never starts a word: this row meets nothing in the join.
-                rows.append((rid, d, held, len(words), b" %d" % rid, 0, known, base, model))
-                rows += rare
-            cols = list(zip(*rows)) if rows else [[]] * 9
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["rid", "doc_id", "held_out", "n_tokens", "word", "k", "known", "base", "model"])
+            for d, t, held, trains in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist()):
+                w = lower_words(t.as_py())
+                w.append(b"")
+                docs.append((d, held, trains))
+                words += w
+                sizes.append(len(w))
+                if len(words) >= BLOCK_TOKENS or len(docs) >= BLOCK_DOCS:
+                    yield flush(docs, words, sizes)
+                    docs, words, sizes = [], [], []
+        if docs:
+            yield flush(docs, words, sizes)
+
+    return run
+
+
+def _blobs(table, kind: np.dtype):
+    """(block, tokens) of the rows of a group."""
+    for b, raw in zip(table.column("block").to_pylist(), table.column("data")):
+        yield b, np.frombuffer(raw.as_buffer(), kind)
+
+
+def _answer(buckets: int):
+    """Asked words meet their part of the vocabulary: sums go back to the blocks,
+    tokens in open contexts on to their contexts."""
+
+    def run(key, words, asked):
+        h = words.column("h").to_numpy().view(np.uint64)
+        o = np.argsort(h)
+        h = h[o]
+        base, lp, known = (words.column(c).to_numpy()[o] for c in ("base1", "model1", "known1"))
+        rows = []
+        for block, x in _blobs(asked, ASK):
+            k = np.searchsorted(h, x["w"])  # every asked word is there
+            sits = x["u"] != 0
+            s = _added(x["d"].astype(np.int64), int(x["d"].max()) + 1, known[k], base[k], np.where(sits, 0.0, lp[k]))
+            rows.append((block, block, _SUMS, s.tobytes()))
+            y = np.zeros(sits.sum(), SIT)
+            y["d"], y["f"], y["u"], y["w"], y["p"] = x["d"][sits], x["f"][sits], x["u"][sits], x["w"][sits] >> np.uint64(32), lp[k][sits]
+            rows += _dealt(y, "u", buckets, block, _SITS)
+        return pa.Table.from_batches([_rows(rows)])
+
+    return run
+
+
+def sit(u: np.ndarray, w: np.ndarray, trains: np.ndarray, p: np.ndarray, seed: int = 5) -> np.ndarray:
+    """Averaged predictive probabilities of words w in context restaurants u,
+    whose customers are the training tokens; p is the parent's probability."""
+    o = np.lexsort((w, u))
+    us, ws, ts, ps = u[o], w[o], trains[o].astype(np.int64), p[o]
+    new_u = np.r_[True, us[1:] != us[:-1]]
+    new = new_u | np.r_[True, ws[1:] != ws[:-1]]
+    dish, first = np.cumsum(new) - 1, np.flatnonzero(new)
+    room = (np.cumsum(new_u) - 1)[first]
+    c = np.bincount(dish, ts).astype(np.int64)
+    cu = np.bincount(room, c)
+    tables = np.bincount(room, c > 0)
+    rng = np.random.default_rng([seed, int(us[0] >> np.uint64(32)), len(us)])
+    total = np.zeros(len(c))
+    for n in range(BURN_IN + SAMPLES):
+        t = seat(c, (THETA_CONTEXT + D_CONTEXT * tables[room]) * ps[first], D_CONTEXT, rng)
+        tables = np.bincount(room, t)
+        if n >= BURN_IN:
+            total += (np.maximum(c - D_CONTEXT * t, 0) + (THETA_CONTEXT + D_CONTEXT * tables[room]) * ps[first]) / (THETA_CONTEXT + cu[room])
+    out = np.empty(len(u))
+    out[o] = (total / SAMPLES)[dish]
+    return out
+
+
+def _contexts(key, one, other):
+    """All tokens of some contexts: each context is a restaurant."""
+    blobs = [*_blobs(one, SIT), *_blobs(other, SIT)]
+    x = np.concatenate([b for _, b in blobs])
+    lp = np.log10(np.maximum(sit(x["u"], x["w"], x["f"], 10.0 ** x["p"].astype(float)), 1e-300))
+    rows, at = [], 0
+    for block, b in blobs:
+        d, v = b["d"].astype(np.int64), lp[at : at + len(b)]
+        at += len(b)
+        none = np.zeros(len(d))
+        rows.append((block, block, _SUMS, _added(d, int(d.max()) + 1, none, none, v).tobytes()))
+    return pa.Table.from_batches([_rows(rows)])
+
+
+def _finish(n: int):
+    """A block's sums, one row for each text."""
+
+    def run(key, table):
+        docs = None
+        sums = []
+        for kind, raw in zip(table.column("kind").to_pylist(), table.column("data")):
+            if kind == _DOCS:
+                docs = np.frombuffer(raw.as_buffer(), DOC)
+            else:
+                sums.append(np.frombuffer(raw.as_buffer(), SUM))
+        s = np.concatenate(sums)
+        d = s["d"].astype(np.int64)
+        add = lambda c: np.bincount(d, s[c], len(docs))
+        null = docs["null"] > 0
+        return pa.table({
+            "doc_id": pa.array(docs["id"], pa.int64(), mask=null), "held_out": pa.array(docs["held"] > 0, pa.bool_(), mask=null),
+            "n_tokens": pa.array(docs["n"], pa.int64()), "n_known": pa.array(np.rint(add("known")).astype(np.int64)),
+            "train_tokens": pa.array(np.full(len(docs), n, np.int64)),
+            "base_score": pa.array(add("base"), pa.float64(), mask=np.full(len(docs), n == 0)), "score": pa.array(add("model"), pa.float64()),
+        })
 
     return run
 
@@ -308,7 +490,6 @@ def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
     held = crc_mod(F.col("doc_id"), folds) == held_out
     counted = docs.select("text", F.coalesce(~held, F.lit(False)).alias("trains")).mapInArrow(_count, "word binary, c_train long, c_all long")
     vocabulary = saved(counted.groupBy("word").agg(F.sum("c_train").alias("c_train"), F.sum("c_all").alias("c_all")), "vocabulary")
-    size = F.floor(F.log2("c_all")).cast("int")
     stats = vocabulary.agg(
         F.coalesce(F.sum("c_train"), F.lit(0)).alias("n"), F.count_if(F.col("c_train") > 0).alias("v"),
         F.count_if(F.col("c_train") == 1).alias("n1"), F.count_if(F.col("c_train") == 2).alias("n2"),
@@ -316,29 +497,38 @@ def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
     n, v = int(stats["n"]), int(stats["v"])
     d = float(np.clip(stats["n1"] / (stats["n1"] + 2 * stats["n2"]) if stats["n1"] else 0.5, 0.05, 0.95))
     sent = spark.sparkContext.broadcast((sample(vocabulary, d), d, n, v))
-    base = F.log10((F.col("c_train") + 0.1) / (F.lit(float(n)) + 0.1 * (v + 1))) if n else F.lit(None).cast("double")
-    known = vocabulary.select("word", "c_train", "c_all").mapInArrow(_word_scores(sent), "word binary, c_train long, c_all long, lp double")
-    known = saved(known.select("word", "c_all", base.alias("base1"), F.col("lp").alias("model1"), (F.col("c_train") > 0).cast("int").alias("known1")), "words")
-    # The smallest power of two from which no more than FREQUENT words occur.
-    total, least = 0, 64
-    for r in vocabulary.groupBy(size.alias("s")).count().orderBy(F.desc("s")).collect():  # 64 rows at most
-        total += r["count"]
+    base = F.log10((F.col("c_train") + 0.1) / (F.lit(float(n)) + 0.1 * (v + 1))) if n else F.lit(0.0)
+    known = vocabulary.select("word", "c_train", "c_all").mapInArrow(_word_scores(sent), "word binary, h long, c_train long, c_all long, lp double")
+    known = saved(known.select("word", "h", "c_all", base.alias("base1"), F.col("lp").alias("model1"), (F.col("c_train") > 0).cast("long").alias("known1")), "words")
+    # Words and tokens by the power of two of their count: 64 rows at most.
+    size = F.floor(F.log2("c_all")).cast("int").alias("s")
+    kinds = vocabulary.groupBy(size).agg(F.count(F.lit(1)).alias("v"), F.sum("c_all").alias("n")).orderBy("s").collect()
+    tokens = sum(r["n"] for r in kinds)
+    # The book holds the words from the least power on that keeps it in bounds.
+    total, frequent = 0, 63
+    for r in reversed(kinds):
+        total += r["v"]
         if total > FREQUENT:
             break
-        least = r["s"]
-    frequent = known.where(F.col("c_all") >= 2**least if least < 63 else F.lit(False)).select("word", "base1", "model1", "known1").collect()
-    book = spark.sparkContext.broadcast(Book((bytes(r[0]), (r[1] if n else 0.0, r[2], r[3])) for r in frequent))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held_out"))
-    told = rows.mapInArrow(_score(book), "rid long, doc_id long, held_out boolean, n_tokens long, word binary, k long, known long, base double, model double")
-    rare = known.where(F.col("c_all") < 2**least if least < 63 else F.lit(True)).select("word", "base1", "model1", "known1")
-    met = told.join(rare, "word", "left").select(
-        "rid", "doc_id", "held_out", "n_tokens",
-        (F.col("known") + F.col("k") * F.coalesce("known1", F.lit(0))).alias("known"),
-        (F.col("base") + F.col("k") * F.coalesce("base1", F.lit(0.0))).alias("base"),
-        (F.col("model") + F.col("k") * F.coalesce("model1", F.lit(0.0))).alias("model"),
-    )
-    return met.groupBy("rid").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-        F.sum("known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.sum("base") if n else F.lit(None).cast("double")).alias("base_score"), F.sum("model").alias("score"),
-    ).drop("rid")
+        frequent = r["s"]
+    # Contexts are open up to the power whose words make OPEN_SHARE of the tokens.
+    total, opened = 0, 0
+    for r in kinds:
+        total += r["n"]
+        if total > OPEN_SHARE * tokens:
+            break
+        opened = r["s"] + 1
+    rare = F.col("c_all") < F.lit(2).cast("double") ** frequent
+    got = known.where(~rare).select("word", "h", "base1", "model1", "known1", F.col("c_all") < 2**opened).collect()  # FREQUENT rows at most
+    book = spark.sparkContext.broadcast(Book(got))
+    buckets = 64 + tokens // BUCKET_TOKENS
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held_out"), F.coalesce(~held, F.lit(False)).alias("trains"))
+    told = saved(rows.mapInArrow(_emit(book, buckets, _DOCS), _DDL), "texts")
+    asked = rows.mapInArrow(_emit(book, buckets, _ASKS), _DDL)
+    words = known.where(rare).select(F.expr(f"pmod(cast(h as decimal(20,0)) + if(h < 0, 18446744073709551616BD, 0BD), {buckets})").cast("long").alias("key"), "h", "base1", "model1", "known1")
+    answers = words.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(_answer(buckets), _DDL)
+    answers = saved(answers, "answers")
+    sits = rows.mapInArrow(_emit(book, buckets, _SITS), _DDL)
+    scored = answers.where(F.col("kind") == _SITS).groupBy("key").cogroup(sits.groupBy("key")).applyInArrow(_contexts, _DDL)
+    parts = told.unionByName(answers.where(F.col("kind") != _SITS)).unionByName(scored)
+    return parts.groupBy("block").applyInArrow(_finish(n), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
