@@ -66,5 +66,35 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in QUERIES}
 
 
+#: SHA-1 in base32: 40 hex digits to 160 bits, read five at a time.
+_OP4_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+h AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS hex FROM p),
+b AS (SELECT page_id, payload_bytes, hex, array_to_string(list_transform(range(1, 41), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * (strpos('0123456789abcdef', substr(hex, i::BIGINT, 1)) - 1) + 1, 4)), '') AS bits FROM h),
+d AS (SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1
+    + 16 * substr(bits, (5 * i + 1)::BIGINT, 1)::INT + 8 * substr(bits, (5 * i + 2)::BIGINT, 1)::INT + 4 * substr(bits, (5 * i + 3)::BIGINT, 1)::INT
+    + 2 * substr(bits, (5 * i + 4)::BIGINT, 1)::INT + substr(bits, (5 * i + 5)::BIGINT, 1)::INT, 1)), '') AS payload_digest FROM b),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM f
+"""
+
+#: Exact similarity of all sets that share a shingle, then reachability.
+_OP5_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [md5(array_to_string(words, ' '))]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: md5(array_to_string(words[i:i + 4], ' ')))) END AS shingles FROM w),
+n AS (SELECT doc_id, len(shingles) AS size, md5(array_to_string(list_sort(shingles), ',')) AS whole, shingles FROM s),
+c AS (SELECT whole, min(doc_id) AS rep, any_value(size) AS size, any_value(shingles) AS shingles FROM n WHERE size > 0 GROUP BY whole),
+e AS (SELECT rep, size, unnest(shingles) AS g FROM c),
+l AS (SELECT a.rep AS x, b.rep AS y FROM e a JOIN e b ON a.g = b.g AND a.rep <> b.rep AND 100 * least(a.size, b.size) >= 85 * greatest(a.size, b.size)
+    GROUP BY a.rep, b.rep, a.size, b.size HAVING 100 * count(*) >= 85 * (a.size + b.size - count(*))),
+r(x, y) AS (SELECT rep, rep FROM c UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y),
+k AS (SELECT x, min(y) AS component FROM r GROUP BY x)
+SELECT n.doc_id, n.size::BIGINT AS n_shingles, coalesce(k.component, n.doc_id) AS component_id, coalesce(k.component, n.doc_id) = n.doc_id AS kept
+FROM n LEFT JOIN c ON c.whole = n.whole AND n.size > 0 LEFT JOIN k ON k.x = c.rep
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_warc_capture_index": _OP4_SQL, "op5_minhash_neardup": _OP5_SQL}
