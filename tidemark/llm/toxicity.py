@@ -32,7 +32,7 @@ FIT_ROWS, CHECK_ROWS, FIT_WINDOWS = 3000, 2000, 12
 WORDS, GRAMS, DIM, HIDDEN = 1 << 14, 1 << 15, 12, 8
 EPOCHS, BATCH, RATE = 6, 64, 0.02
 CUT = 0.7
-MEMORY = 400_000  # words that a worker remembers
+MEMORY = 300_000  # words that a worker remembers
 
 
 class Inputs(dict):
