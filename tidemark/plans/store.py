@@ -77,6 +77,8 @@ class Store:
         tables = [t for t in self.schemas if any(t in c["tables"] for c in self.commits())]
         for t in tables:
             df = self.events() if t == "state_events" else self.ledger() if t == "processed_messages" else self.read(t)
-            self.write(n, t, df)
+            rows = self.write(n, t, df).count()
+            if rows != df.count():  # never make a snapshot visible that lost rows
+                raise RuntimeError(f"compaction of {t} kept {rows} rows")
         self.commit(n, tables, start=n, compacted=True)
         return n
