@@ -328,10 +328,10 @@ def _added(d: np.ndarray, size: int, known, base, model) -> np.ndarray:
 
 
 def _emit(sent, buckets: int, what: int):
-    """Blocks of texts, by what is wanted: the texts and what their frequent words
-    add up to, the tokens to ask about, or the frequent words in open contexts.
-    Each is a scan of its own with no union before it, so that blocks are numbered
-    alike: all read the same splits in order."""
+    """Blocks of texts, by what is wanted: the texts, what their frequent words add
+    up to and the tokens to ask about, or the frequent words in open contexts. Both
+    are scans with no union before them, so that blocks are numbered alike: they
+    read the same splits in order."""
 
     def run(batches):
         book = sent.value
@@ -361,10 +361,8 @@ def _emit(sent, buckets: int, what: int):
                 x = np.zeros(m.sum(), SIT)
                 x["d"], x["f"], x["u"], x["w"], x["p"] = d[m], f[m], u[m], h[m] >> np.uint64(32), book.lp[ix[m]]
                 return _rows(_dealt(x, "u", buckets, me, _SITS))
-            if what == _ASKS:
-                x = np.zeros(len(at), ASK)
-                x["d"], x["f"], x["w"], x["u"] = d[at], f[at], h[at], np.where(o[at], u[at], 0)
-                return _rows(_dealt(x, "w", buckets, me, _ASKS))
+            x = np.zeros(len(at), ASK)
+            x["d"], x["f"], x["w"], x["u"] = d[at], f[at], h[at], np.where(o[at], u[at], 0)
             own = ix[~rare]
             model = np.where(o[~rare], 0.0, book.lp[own])
             told = np.zeros(len(docs), DOC)
@@ -373,7 +371,7 @@ def _emit(sent, buckets: int, what: int):
             told["held"] = [bool(x[1]) for x in docs]
             told["n"] = sizes
             sums = _added(d[~rare], len(docs), book.known[own], book.base[own], model)
-            return _rows([(me, me, _DOCS, told.tobytes()), (me, me, _SUMS, sums.tobytes())])
+            return _rows(_dealt(x, "w", buckets, me, _ASKS) + [(me, me, _DOCS, told.tobytes()), (me, me, _SUMS, sums.tobytes())])
 
         docs, words, sizes = [], [], []
         for b in batches:
@@ -523,8 +521,8 @@ def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
     book = spark.sparkContext.broadcast(Book(got))
     buckets = 64 + tokens // BUCKET_TOKENS
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held_out"), F.coalesce(~held, F.lit(False)).alias("trains"))
-    told = saved(rows.mapInArrow(_emit(book, buckets, _DOCS), _DDL), "texts")
-    asked = rows.mapInArrow(_emit(book, buckets, _ASKS), _DDL)
+    first = saved(rows.mapInArrow(_emit(book, buckets, _DOCS), _DDL), "texts")
+    asked, told = first.where(F.col("kind") == _ASKS), first.where(F.col("kind") != _ASKS)
     words = known.where(rare).select(F.expr(f"pmod(cast(h as decimal(20,0)) + if(h < 0, 18446744073709551616BD, 0BD), {buckets})").cast("long").alias("key"), "h", "base1", "model1", "known1")
     answers = words.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(_answer(buckets), _DDL)
     answers = saved(answers, "answers")
