@@ -50,7 +50,7 @@ class WordHashes(dict):
     """Hashes of words without outer punctuation, remembered up to a bound."""
 
     def __missing__(self, w: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 250_000:
             self.clear()
         v = self[w] = xxhash.xxh3_64_intdigest(w.strip(_STRIP))
         return v

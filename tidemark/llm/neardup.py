@@ -50,7 +50,7 @@ _MUL = (_rng.integers(1, 2**63, N_SIG, dtype=np.uint64) * np.uint64(2) + np.uint
 class WordHashes(dict):
     """64-bit word hashes, remembered up to a bound."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 250_000):
         self.most = most
 
     def __missing__(self, w: bytes) -> int:

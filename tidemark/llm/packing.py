@@ -33,7 +33,7 @@ from .common import saved
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 PLAN_ROWS = 2_000_000  # rows of a plan that may be broadcast
-CACHE_WORDS = 800_000
+CACHE_WORDS = 500_000
 
 
 @dataclass(frozen=True)
