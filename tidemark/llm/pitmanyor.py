@@ -48,7 +48,7 @@ from .common import crc_mod, lower_words, saved
 BURN_IN, SAMPLES = 1, 2
 FREQUENT = 300_000
 MEMORY = 400_000       # words that a task counts before it passes them on
-OPEN_SHARE = 0.3       # of all tokens, those whose rare words open restaurants
+OPEN_SHARE = 0.25       # of all tokens, those whose rare words open restaurants
 BLOCK_TOKENS, BLOCK_DOCS = 300_000, 2000
 BUCKET_TOKENS = 1_000_000
 THETA_WORD, THETA_LETTER = 10.0, 1.0
