@@ -25,6 +25,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +34,8 @@ from .common import saved
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 PLAN_ROWS = 2_000_000  # rows of a plan that may be broadcast
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000
+GROUP_BYTES = 400_000  # of texts whose new words are learned together
 
 
 @dataclass(frozen=True)
@@ -132,8 +134,12 @@ def pieces(docs: DataFrame, tokenizer: str, size: int) -> DataFrame:
         for b in batches:
             rows = []
             keys = b.column(0).to_pylist()
-            for g in range(0, len(keys), 100):
-                for d, raw in zip(keys[g : g + 100], ids.texts(b.column(1).slice(g, 100).to_pylist())):
+            # groups of about GROUP_BYTES, however long their texts are
+            size_of = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy()
+            of_group = (np.cumsum(size_of) - size_of) // GROUP_BYTES if len(keys) else size_of
+            cuts = np.flatnonzero(np.r_[True, of_group[1:] != of_group[:-1], True]).tolist() if len(keys) else [0]
+            for g, z in zip(cuts[:-1], cuts[1:]):
+                for d, raw in zip(keys[g:z], ids.texts(b.column(1).slice(g, z - g).to_pylist())):
                     raw += end
                     n = len(raw) // 4
                     for k, a in enumerate(range(0, n, size)):
