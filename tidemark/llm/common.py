@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 
 #: Fixed: the word pattern of the contracts (runs without ASCII white space).
 SPACE = r"[\x20\x09-\x0D]+"
+BATCH_ROWS = 1000
+
+#: What a worker process remembers from task to task, by operator.
+_memories: dict[str, dict] = {}
+
+
+def memory(operator: str) -> dict:
+    """An operator's memory in this worker; those of others are given up, as a
+    worker may serve several operators in turn."""
+    for other in [k for k in _memories if k != operator]:
+        _memories.pop(other).clear()
+    return _memories.setdefault(operator, {})
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +41,8 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to the shared folder and reread: it cuts the lineage,
     survives lost executors and is read by column."""
     spark = df.sparkSession
+    # whole texts may be long: fewer rows at once between the JVM and Python
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

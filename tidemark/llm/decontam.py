@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_words, saved
+from .common import lower_words, memory, saved
 
 SPAN = 12
 #: Fixed: word positions of a window that each mask looks at.
@@ -145,6 +145,7 @@ def _scan(index):
         return list(dict.fromkeys(rows)) if len(set(ids)) == len(ids) else rows
 
     def run(batches):
+        memory("decontam")
         for b in batches:
             ids, hashes, n, rows = [], [], 0, []
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):

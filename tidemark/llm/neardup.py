@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_words, saved
+from .common import lower_words, memory, saved
 from .components import components
 
 SHINGLE, THRESHOLD = 5, 85
@@ -87,6 +87,7 @@ def minhashes(s: np.ndarray, k: int) -> np.ndarray:
 
 
 def _signatures(batches):
+    memory("neardup")
     cache = WordHashes()
     for b in batches:
         n, s1, s2, mins = [], [], [], []
@@ -106,6 +107,7 @@ def _signatures(batches):
 
 
 def _sets(batches):
+    memory("neardup")
     cache = WordHashes()
     for b in batches:
         ids, ns, sets, sigs = [], [], [], []

@@ -29,12 +29,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import memory, saved
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 PLAN_ROWS = 2_000_000  # rows of a plan that may be broadcast
-CACHE_WORDS = 800_000
+CACHE_WORDS = 650_000
 GROUP_BYTES = 400_000  # of texts whose new words are learned together
 
 
@@ -114,15 +114,13 @@ class WordIds(dict):
         return out
 
 
-_memory: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
     """One memory per worker process and tokenizer."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path not in _memory:
-        _memory[path] = WordIds(path)
-    return _memory[path]
+    mine = memory("packing")
+    if path not in mine:
+        mine[path] = WordIds(path)
+    return mine[path]
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int) -> DataFrame:
