@@ -2,7 +2,7 @@
 Parquet and reread as the next one's input.
 
 Quality rules drop what they reject; near-duplicate removal keeps one document
-of each group (rows that share a doc_id are one document); decontamination drops
+of each group at a similarity of 0.8 (rows that share a doc_id are one document); decontamination drops
 documents with a benchmark passage; personal data is replaced; what remains is
 packed. Null doc_ids and other columns pass through every filter.
 """
@@ -16,12 +16,15 @@ from tidemark.llm import decontam, neardup, packing, pii, quality
 from tidemark.llm.common import saved, table
 
 
+NEAR = 80  # per cent of similarity; op5 has a contract of its own
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.filter_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.drop_near_duplicates(docs)
+    return neardup.drop_near_duplicates(docs, NEAR)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

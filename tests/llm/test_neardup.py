@@ -85,3 +85,41 @@ def test_minhash_cost_is_the_root(spark):
     assert neardup.N_MIN == 32 and neardup.PAIRS**2 * 4 == 256
     m = neardup.minhashes(s, neardup.N_MIN)
     assert len(set(m.tolist())) == neardup.N_MIN
+
+
+def similar(rows, threshold):
+    """First of the component of every id, by exact sets."""
+    s = {i: sets(t) for i, t in rows}
+    first = {i: i for i in s}
+    for a in s:
+        for b in s:
+            if a < b and 100 * len(s[a] & s[b]) >= threshold * len(s[a] | s[b]):
+                lo, hi = sorted((first[a], first[b]))
+                first = {i: lo if f == hi else f for i, f in first.items()}
+    return first
+
+
+def banded():
+    """Pairs whose similarity lies from 0.70 to 0.95, most of them alone."""
+    rows = []
+    for k in range(60):
+        w = text(4000 + k, 100).split()
+        cut = 5 + k % 24  # words of the end that differ: i = 96 - cut of 96 + cut
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(w[:-cut] + text(9000 + k, cut).split()))]
+    return rows
+
+
+@pytest.mark.parametrize("threshold", [85, 80, 75])
+def test_threshold_is_a_parameter(spark, threshold):
+    rows = banded()
+    want = similar(rows, threshold)
+    if threshold < 85:
+        assert len(set(want.values())) < len(set(similar(rows, threshold + 5).values()))
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(documents(spark, rows), threshold).collect()}
+    assert got == want
+    kept = {r["doc_id"] for r in neardup.drop_near_duplicates(documents(spark, rows), threshold).collect()}
+    assert kept == set(want.values())
+
+
+def test_tables_and_signature_follow_the_threshold():
+    assert [neardup.sub_keys(t) for t in (85, 80)] == [8, 10] and [neardup.sig_least(t) for t in (85, 80)] == [90, 81]

@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from cases import AWKWARD, documents, edited, text
 from test_decontam import brute as leaks
+from test_neardup import banded, similar
 from test_neardup import brute as groups
 from test_quality import brute as counts
 from tokenizers import Tokenizer
@@ -93,3 +94,9 @@ def test_empty_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).count() == 0
+
+
+def test_near_duplicates_from_similarity_080(spark, sf_dir):
+    rows = banded()
+    kept = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_duplicates"](spark, documents(spark, rows), sf_dir).collect()}
+    assert kept == set(similar(rows, 80).values()) != set(similar(rows, 85).values())

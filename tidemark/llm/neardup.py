@@ -2,20 +2,23 @@
 
 1. Every text becomes its set of 5-word shingles (64-bit hashes) and 32
    minhashes. Equal sets are one class; only its smallest id goes on.
-2. Tensored banding: the minhashes form two collections of 8 pairs. A table's
-   key is one pair of each collection, so 64 tables of 4 hashes cost 32 minhashes
-   instead of 256. Keys of the first collection that stand alone are dropped
-   before the second is combined with them, which leaves a few per cent of rows.
-   A link of similarity 0.85 is missed by all tables with probability 7e-5.
+2. Tensored banding: the minhashes form two collections of pairs, 8 each at a
+   threshold of 0.85 (10 at 0.8). A table's key is one pair of each collection,
+   so 64 tables of 4 hashes cost 32 minhashes instead of 256. Keys of the first
+   collection that stand alone are dropped before the second is combined with
+   them, which leaves a few per cent of rows. There are as many pairs as it takes
+   for a link at the threshold to be missed by all tables with probability 7e-5.
 3. Sets of the documents that share a table key are kept. Among them pairs come
-   from the rarest shingles of each set: two sets with 100*i >= 85*u share one
-   of their n - ceil(0.85 n) + 1 first shingles in any common order, so ordering
-   by (approximate) frequency loses no pair, and texts that only share a
-   frequent passage never meet.
+   from the rarest shingles of each set: two sets with i >= t*u, t being the
+   threshold, share one of their n - ceil(t n) + 1 first shingles in any common
+   order, so ordering by (approximate) frequency loses no pair, and texts that
+   only share a frequent passage never meet.
 4. Small groups are compared in pairs; larger ones compare everyone to a leader,
    and then only members still in different components, to ever more leaders.
 5. A signature of 128 minhashes discards hopeless pairs (a link fails that test
-   with probability 2e-6); every link is confirmed on the full sets.
+   with probability 7e-6); every link is confirmed on the full sets.
+
+The threshold, in per cent, is a parameter: 85 is op5's, the pipeline has 80.
 
 Edge cases: null or empty texts (no words) have an empty set and link with
 nothing; fewer than 5 words make one shingle; rows that share a doc_id share a
@@ -25,6 +28,8 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -35,9 +40,8 @@ from .common import lower_words, memory, saved
 from .components import components
 
 SHINGLE, THRESHOLD = 5, 85
-PAIRS = 8                     # sub-keys in each of the two collections
-N_MIN = 4 * PAIRS             # minhashes: 2 collections x 8 pairs
-N_SIG, SIG_LEAST = 128, 90    # longer signature of candidates, equal places asked
+N_SIG = 128                   # longer signature of candidates
+MISS_TABLES, MISS_SIG = 7.5e-5, 7e-6  # chances to lose a link at the threshold, at most
 SMALL = 16                    # groups of up to its square in pairs are compared at once
 FREQ_BITS = 18                # buckets of the approximate frequency table
 BROADCAST_ROWS = 1_000_000    # 8-byte ids sent to all executors at most
@@ -47,6 +51,28 @@ _COEF = _rng.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.ui
 _MUL = (_rng.integers(1, 2**63, N_SIG, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[:, None]
 
 
+def sub_keys(threshold: int) -> int:
+    """Sub-keys (pairs of minhashes) in each of the two collections."""
+    k = 1
+    while 2 * (1 - (threshold / 100) ** 2) ** k > MISS_TABLES:
+        k += 1
+    return k
+
+
+def sig_least(threshold: int) -> int:
+    """Equal places that a signature test asks; places have a byte each."""
+    p = threshold / 100 + (1 - threshold / 100) / 256
+    m, below = 0, 0.0
+    while (below := below + comb(N_SIG, m) * p**m * (1 - p) ** (N_SIG - m)) <= MISS_SIG:
+        m += 1
+    return m
+
+
+PAIRS = sub_keys(THRESHOLD)
+N_MIN = 4 * PAIRS             # minhashes: 2 collections of pairs
+SIG_LEAST = sig_least(THRESHOLD)
+
+
 class WordHashes(dict):
     """64-bit word hashes, remembered up to a bound."""
 
@@ -86,24 +112,27 @@ def minhashes(s: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def _signatures(batches):
-    memory("neardup")
-    cache = WordHashes()
-    for b in batches:
-        n, s1, s2, mins = [], [], [], []
-        for t in b.column(1):
-            s = shingles(t.as_py(), cache)
-            n.append(len(s))
-            d = xxhash.xxh3_128_digest(s)
-            s1.append(int.from_bytes(d[:8], "little", signed=True))
-            s2.append(int.from_bytes(d[8:], "little", signed=True))
-            mins.append(minhashes(s, N_MIN).view(np.int64) if len(s) else np.empty(0, np.int64))
-        off = np.r_[0, np.cumsum([len(m) for m in mins])].astype(np.int32)
-        vals = np.concatenate(mins) if mins else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.ListArray.from_arrays(off, pa.array(vals))],
-            ["doc_id", "n", "s1", "s2", "mins"],
-        )
+def _signatures(n_min: int):
+    def run(batches):
+        memory("neardup")
+        cache = WordHashes()
+        for b in batches:
+            n, s1, s2, mins = [], [], [], []
+            for t in b.column(1):
+                s = shingles(t.as_py(), cache)
+                n.append(len(s))
+                d = xxhash.xxh3_128_digest(s)
+                s1.append(int.from_bytes(d[:8], "little", signed=True))
+                s2.append(int.from_bytes(d[8:], "little", signed=True))
+                mins.append(minhashes(s, n_min).view(np.int64) if len(s) else np.empty(0, np.int64))
+            off = np.r_[0, np.cumsum([len(m) for m in mins])].astype(np.int32)
+            vals = np.concatenate(mins) if mins else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.ListArray.from_arrays(off, pa.array(vals))],
+                ["doc_id", "n", "s1", "s2", "mins"],
+            )
+
+    return run
 
 
 def _sets(batches):
@@ -138,7 +167,7 @@ def _frequencies(batches):
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "c"])
 
 
-def _prefixes(freq):
+def _prefixes(freq, threshold: int):
     def run(batches):
         for b in batches:
             rep, n, col = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2)
@@ -147,7 +176,7 @@ def _prefixes(freq):
             for k in range(len(rep)):
                 s = vals[off[k] : off[k + 1]]
                 size = len(s)
-                p = size - -(-THRESHOLD * size // 100) + 1
+                p = size - -(-threshold * size // 100) + 1
                 i.append(np.arange(p))
                 u = s.view(np.uint64)
                 f = freq.value[(u >> np.uint64(64 - FREQ_BITS)).astype(np.int64)]
@@ -160,11 +189,11 @@ def _prefixes(freq):
     return run
 
 
-def _may_link(na: str, ia: str, nb: str, ib: str):
+def _may_link(na: str, ia: str, nb: str, ib: str, threshold: int):
     """Whether sets of na and nb shingles whose first common one is the ia-th and
     ib-th can overlap enough; at later common ones the test is stricter."""
     most = F.least(F.col(na) - F.col(ia), F.col(nb) - F.col(ib))
-    return (100 * F.least(na, nb) >= THRESHOLD * F.greatest(na, nb)) & ((100 + THRESHOLD) * most >= THRESHOLD * (F.col(na) + F.col(nb)))
+    return (100 * F.least(na, nb) >= threshold * F.greatest(na, nb)) & ((100 + threshold) * most >= threshold * (F.col(na) + F.col(nb)))
 
 
 def _pick(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -174,14 +203,14 @@ def _pick(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Links among pairs(a, b): signature test, then the full sets."""
-    sig = sets.select("rep", "sig")
+    sig, least = sets.select("rep", "sig"), sig_least(threshold)
     def filtered(batches):
         for t in batches:
             x = np.frombuffer(b"".join(t.column(2).to_pylist()), np.uint8).reshape(-1, N_SIG)
             y = np.frombuffer(b"".join(t.column(3).to_pylist()), np.uint8).reshape(-1, N_SIG)
-            m = (x == y).sum(axis=1) >= SIG_LEAST
+            m = (x == y).sum(axis=1) >= least
             yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], ["a", "b"]).filter(pa.array(m))
 
     near = (
@@ -192,23 +221,23 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = near.join(sets.select(F.col("rep").alias("b"), F.col("set").alias("sb")), "b")
     two = one.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("sa")), "a")
     i = F.size(F.array_intersect("sa", "sb"))
-    return two.select("a", "b", i.alias("i"), (F.size("sa") + F.size("sb")).alias("t")).where(100 * F.col("i") >= THRESHOLD * (F.col("t") - F.col("i"))).select("a", "b")
+    return two.select("a", "b", i.alias("i"), (F.size("sa") + F.size("sb")).alias("t")).where(100 * F.col("i") >= threshold * (F.col("t") - F.col("i"))).select("a", "b")
 
 
-def classes_and_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def classes_and_labels(docs: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Per document its class, per class its representative, per linked
     representative its component."""
-    spark = docs.sparkSession
+    spark, pairs_each = docs.sparkSession, sub_keys(threshold)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = saved(docs.mapInArrow(_signatures, "doc_id long, n long, s1 long, s2 long, mins array<bigint>"), "signed")
+    signed = saved(docs.mapInArrow(_signatures(4 * pairs_each), "doc_id long, n long, s1 long, s2 long, mins array<bigint>"), "signed")
     key = ["s1", "s2", "n"]
     reps = saved(
         signed.where("n > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min(F.struct("doc_id", "mins")).alias("m")).select(*key, F.col("m.doc_id").alias("rep"), F.col("m.mins").alias("mins")),
         "reps",
     )
     pair = lambda first, i: F.xxhash64(F.lit(int(first)), i, F.get("mins", 2 * i + first), F.get("mins", 2 * i + first + 1))
-    sub = lambda first: F.transform(F.sequence(F.lit(0), F.lit(PAIRS - 1)), lambda i: pair(first, i))
-    rows = reps.select("rep", sub(0).alias("ka"), sub(2 * PAIRS).alias("kb"))
+    sub = lambda first: F.transform(F.sequence(F.lit(0), F.lit(pairs_each - 1)), lambda i: pair(first, i))
+    rows = reps.select("rep", sub(0).alias("ka"), sub(2 * pairs_each).alias("kb"))
     first = rows.select("rep", "kb", F.explode("ka").alias("k"))
     shared = lambda d: d.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k")
     firsts = rows.select(F.explode("ka").alias("k"))
@@ -225,10 +254,10 @@ def classes_and_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     freq = np.zeros(1 << FREQ_BITS, np.int64)
     for b, c in got:
         freq[b] = c
-    prefix = sets.select("rep", "n", "set").mapInArrow(_prefixes(spark.sparkContext.broadcast(freq)), "g long, rep long, n long, i long")
+    prefix = sets.select("rep", "n", "set").mapInArrow(_prefixes(spark.sparkContext.broadcast(freq), threshold), "g long, rep long, n long, i long")
     # In a pair the smaller set's place is below 1 - 2t/(1+t) of its size: a
     # group needs one such member.
-    early = F.col("i") * (100 + THRESHOLD) <= F.col("n") * (100 - THRESHOLD)
+    early = F.col("i") * (100 + threshold) <= F.col("n") * (100 - threshold)
     prefix = saved(prefix.withColumn("early", early), "prefix")
     n_prefix = prefix.count()
     groups = prefix.groupBy("g").agg(
@@ -242,7 +271,7 @@ def classes_and_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     def paired(d: DataFrame, apart: bool) -> DataFrame:
         side = lambda x: d.select("g", "early", *[F.col(c).alias(c + x) for c in ("rep", "n", "i", *(["comp"] if apart else []))])
         x, y = side("a").where("early").drop("early"), side("b")
-        cond = _may_link("na", "ia", "nb", "ib") & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("repa") < F.col("repb"))) | ((F.col("na") == F.col("nb")) & ~F.col("early")))
+        cond = _may_link("na", "ia", "nb", "ib", threshold) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("repa") < F.col("repb"))) | ((F.col("na") == F.col("nb")) & ~F.col("early")))
         cond = cond & (F.col("repa") != F.col("repb"))
         out = x.join(y, "g").where(cond & (F.col("compa") != F.col("compb")) if apart else cond)
         return out.select(F.col("repa").alias("a"), F.col("repb").alias("b"))
@@ -253,12 +282,12 @@ def classes_and_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
 
     def starred(d: DataFrame, k: int, apart: bool) -> DataFrame:
         lead = d.where(leads(k)).select("g", F.col("rep").alias("l"), F.col("n").alias("ln"), F.col("i").alias("li"), *([F.col("comp").alias("lc")] if apart else []))
-        out = d.join(lead, "g").where((F.col("rep") != F.col("l")) & _may_link("n", "i", "ln", "li"))
+        out = d.join(lead, "g").where((F.col("rep") != F.col("l")) & _may_link("n", "i", "ln", "li", threshold))
         return (out.where("comp <> lc") if apart else out).select(F.col("l").alias("a"), F.col("rep").alias("b"))
 
     tested = ordered(paired(met.where(F.col("pairs") <= SMALL * SMALL), False).unionByName(starred(met.where(F.col("pairs") > SMALL * SMALL), 1, False)))
     tested = saved(tested, "tested")
-    links = saved(_verify(tested, sets), "linked")
+    links = saved(_verify(tested, sets, threshold), "linked")
     labels = components(links)
     live, k = met.where(F.col("pairs") > SMALL * SMALL).withColumn("early", F.col("early") & ~leads(1)).drop("pairs", "ce"), 1
     while True:
@@ -275,7 +304,7 @@ def classes_and_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
         last = n_left <= 4 * n_prefix
         more = paired(named, True) if last else starred(named, k, True)
         more = saved(ordered(more).join(tested, ["a", "b"], "left_anti"), "tested")
-        found = saved(_verify(more, sets), "linked")
+        found = saved(_verify(more, sets, threshold), "linked")
         links, tested = saved(links.unionByName(found), "links"), saved(tested.unionByName(more), "tested")
         labels = components(links)
         if last:
@@ -284,9 +313,9 @@ def classes_and_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     return signed.select("doc_id", *key), reps.select(*key, "rep"), labels
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
-    signed, reps, labels = classes_and_labels(docs)
+    signed, reps, labels = classes_and_labels(docs, threshold)
     named = reps.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").select("s1", "s2", "n", F.coalesce("component", "rep").alias("component"))
     with_set = signed.where("n > 0 AND doc_id IS NOT NULL").join(named, ["s1", "s2", "n"]).select("doc_id", "n", "component")
     alone = signed.where("n = 0 OR doc_id IS NULL").select("doc_id", "n", F.when(F.col("n") >= 0, F.col("doc_id")).alias("component"))
@@ -295,9 +324,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Documents of docs that are the first of their group, all columns kept."""
-    gone = saved(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "copies")
+    gone = saved(near_duplicates(docs, threshold).where("NOT kept").select("doc_id").distinct(), "copies")
     few = gone.count() <= BROADCAST_ROWS
     key = gone.select(F.col("doc_id").alias("_gone"))
     return docs.join(F.broadcast(key) if few else key, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
