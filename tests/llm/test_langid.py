@@ -1,4 +1,5 @@
 import random
+import time
 
 from tidemark.llm import langid
 
@@ -50,3 +51,24 @@ def test_markup():
     assert langid.declared('<meta http-equiv="content-language" content="fr">') == "fr"
     assert langid.declared(None) is None and langid.declared("<p lang='x'>") is None
     assert langid.visible("<style>p</style>a<!-- b -->&amp;<b>c</b>").split() == ["a", "&", "c"]
+
+
+def test_declarations_anywhere_in_the_page(spark):
+    long = "x<p> " * 1000
+    for before in (f"<!-- {long} -->", f"<style>{long}</style>", f"<SCRIPT src=a>{long}</SCRIPT >", long, "<!-- never closed " + long, "<script>" + long):
+        assert langid.declared(f'<!doctype html>{before}<html class=x lang="bb">') == "bb"
+        assert langid.declared(f'<html>{before}<meta http-equiv="content-language" content="bb">') == "bb"
+    assert langid.declared(f'<html data-x="{"y" * 5000}" lang=bb>') == "bb"
+    assert langid.declared('<!--[if IE 8]><html lang="aa"><![endif]--><!--[if gt IE 8]><!--><html lang="bb"><!--<![endif]-->') == "bb"
+    assert langid.declared("<script>'<html lang=aa>'</script>") is None
+    page = f'<!-- {"y" * 5000} --><html lang="bb"><p>{sentence("bb", 1)}</p></html>'
+    pages = spark.createDataFrame([(1, "http://one.site.bb/", page)], "page_id long, url string, html string")
+    assert [r["declared"] for r in langid.identify(pages, langid.fit(docs(spark))).collect()] == ["bb"]
+
+
+def test_declarations_are_found_in_linear_time():
+    for part in ("<html ", "<meta ", "<!--", "<script ", "<html lang= ", '<meta content-language" ', " " * 5):
+        start = time.perf_counter()
+        assert langid.declared("<html lang=" + " " * 5 + '">' + part * 200_000) is None
+        assert langid.declared("<html lang=" + part * 200_000) is None
+        assert time.perf_counter() - start < 5

@@ -35,7 +35,11 @@ ALPHA = 20.0  # pages that a parent's prior counts as
 BROADCAST_ROWS = 200_000
 
 _HIDDEN = re.compile(r"(?is)<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
-_DECLARED = re.compile(r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?\s*([a-z]{2,3})\b|<meta\b[^>]*?content-language["'][^>]*?content\s*=\s*["']\s*([a-z]{2,3})\b""")
+_OPEN = re.compile(r"(?i)<!--|<(script|style|html|meta)\b")
+_CLOSE = {k: re.compile(rf"(?i)</{k}\b") for k in ("script", "style")}
+_LANG = re.compile(r"""(?i)\blang\s*=\s*(?:["']\s*)?([a-z]{2,3})\b""")
+_NAMED = re.compile(r"""(?i)content-language["']""")
+_CONTENT = re.compile(r"""(?i)content\s*=\s*["']\s*([a-z]{2,3})\b""")
 _SKIP = re.compile(r"[^\W\d_]+")
 
 
@@ -44,8 +48,36 @@ def visible(html: str | None) -> str:
 
 
 def declared(html: str | None) -> str | None:
-    m = _DECLARED.search(html or "", 0, 4096)
-    return (m[1] or m[2]).lower() if m else None
+    """The language of the first html or meta tag of the whole page that tells
+    one. What comments, scripts and styles hold is passed over; one that is never
+    closed is text. Nothing is read twice, so the time is linear."""
+    t, at, open_ended = html or "", 0, set()
+    while m := _OPEN.search(t, at):
+        at, kind = m.end(), (m[1] or "").lower()
+        if kind in open_ended:
+            continue
+        if kind in ("html", "meta"):
+            end = t.find(">", at)
+            tag = t[at:end] if end >= 0 else t[at:]
+            named = _NAMED.search(tag) if kind == "meta" else None
+            found = _LANG.search(tag) if kind == "html" else named and _CONTENT.search(tag, named.end())
+            if found:
+                return found[1].lower()
+            if end < 0:
+                open_ended.add(kind)
+            else:
+                at = end
+        elif kind:
+            close = _CLOSE[kind].search(t, at)
+            at = close.end() if close else at
+            if not close:
+                open_ended.add(kind)
+        else:
+            end = t.find("-->", m.start() + 2)
+            at = end + 3 if end >= 0 else at
+            if end < 0:
+                open_ended.add(kind)
+    return None
 
 
 def grams(text: str) -> np.ndarray:
