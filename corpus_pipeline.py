@@ -28,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), share=decontam.SHARE)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,12 @@
+import itertools
 import random
 
+import numpy as np
 from cases import AWKWARD, documents, text
 
+import corpus_pipeline
 from tidemark.llm import decontam as dc
+from tidemark.llm.queries import op7_spaced_seed_decontamination
 
 
 def brute(docs, items):
@@ -65,3 +69,46 @@ def test_blocks_repeats_and_empty_tables(spark, monkeypatch):
 
 def test_masks_have_one_weight():
     assert all(len(m) == 8 and m[0] == 0 and m[-1] == dc.SPAN - 1 for m in dc.MASKS)
+
+
+def seeded(same):
+    return any(all(same[p + o] for o in m) for m in dc.MASKS for p in range(len(same) - dc.SPAN + 1))
+
+
+def test_short_items_with_substitutions(spark, tmp_path):
+    item = text(31, 15).split()
+    places = [(p,) for p in range(15)] + list(itertools.combinations(range(15), 2))
+    docs, want = [], set()
+    for k, ps in enumerate(places):
+        docs.append((k, " ".join(text(5000 + k, 30).split() + ["zz" if p in ps else w for p, w in enumerate(item)] + text(7000 + k, 30).split())))
+        if seeded([p not in ps for p in range(15)]):
+            want.add(k)
+    d = documents(spark, docs)
+    b = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = dc.overlaps(d, b, dc.SHARE).collect()
+    assert {r["doc_id"] for r in got} == want and len(want) > 100 and set(range(15)) <= want
+    lost = [k for k in want if dc.best_overlap(np.array([p not in places[k] for p in range(15)]))[1] < dc.LEAST]
+    assert len(lost) > 40  # those that only the share of equal words finds
+    for r in got:
+        if r["doc_id"] in lost:
+            assert (r["doc_start"], r["item_start"], r["n_words"], r["n_equal"]) == (30, 0, 15, 15 - len(places[r["doc_id"]]))
+    assert {r["doc_id"] for r in dc.drop_contaminated(d, b, share=dc.SHARE).collect()} == set(range(len(places))) - want
+    # as the query and the pipeline's stage ask it
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    b.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {r["doc_id"] for r in op7_spaced_seed_decontamination(spark, str(tmp_path)).collect()} == want
+    assert {r["doc_id"] for r in corpus_pipeline.decontaminate(spark, d, str(tmp_path)).collect()} == set(range(len(places))) - want
+    # fewer than 80 % of the words, and an item that the document's end cuts
+    few = documents(spark, [(1, " ".join(["zz"] * 4 + item[4:])), (2, " ".join(item[:12])), (3, " ".join(item[:11]))])
+    assert {r["doc_id"] for r in dc.overlaps(few, b, dc.SHARE).collect()} == {2}
+
+
+def test_every_run_of_a_diagonal(spark):
+    item = text(32, 60).split()
+    doc = item[:20] + ["zz"] * 20 + item[40:]
+    b = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = sorted(tuple(r) for r in dc.overlaps(documents(spark, [(9, " ".join(doc))]), b).collect())
+    assert got == [(9, 1, 0, 0, 20, 20), (9, 1, 40, 40, 20, 20)]
+    # the best run is of 11 words, a lesser one of 13 with a substitution
+    same = np.array([True] * 11 + [False] * 6 + [True] * 6 + [False] + [True] * 6)
+    assert dc.best_overlap(same)[1] < dc.LEAST and dc.all_overlaps(same) == [(17, 13, 12)]

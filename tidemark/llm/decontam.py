@@ -3,9 +3,12 @@
 Fixed masks over windows of ``SPAN`` words keep 8 positions and ignore 4, so a
 window still hashes alike after substitutions at ignored places. Hashes of the
 test set are joined with those of every window of the training documents; each
-hit fixes a diagonal (document position minus item position), on which the best
-ungapped overlap is scored with +1 a match and -3 a mismatch and accepted at
-``LEAST`` words or more.
+hit fixes a diagonal (document position minus item position). On it ungapped
+runs are scored with +1 a match and -3 a mismatch; every maximal one of ``LEAST``
+words or more is an overlap. With a ``share`` so is, where no run is that long,
+the item's whole extent if so many per cent of its words are equal, as
+substitutions in a short item leave no long run; op7 and the pipeline ask for
+``SHARE``.
 
 The test set goes to the executors as an index in blocks of at most
 ``BLOCK_WORDS`` words; a larger test set takes more passes, each of the same
@@ -37,6 +40,7 @@ MASKS = (
     (0, 1, 2, 3, 6, 7, 9, 11),
 )
 LEAST = 12
+SHARE = 80  # per cent of an item's words
 MISMATCH = 3
 BLOCK_WORDS = 2_000_000
 _TABLE_BITS = 20
@@ -78,6 +82,20 @@ def best_overlap(same: np.ndarray) -> tuple[int, int, int]:
     return s, e + 1 - s, int(same[s : e + 1].sum())
 
 
+def all_overlaps(same: np.ndarray, at: int = 0) -> list[tuple[int, int, int]]:
+    """(start, length, matches) of every maximal run of LEAST words or more."""
+    out, todo = [], [(at, same)]
+    while todo:
+        at, x = todo.pop()
+        if len(x) < LEAST or not x.any():
+            continue
+        s, n, good = best_overlap(x)
+        if n >= LEAST:
+            out.append((at + s, n, good))
+        todo += [(at + s + n, x[s + n :]), (at, x[:s])]
+    return out
+
+
 class Index:
     """Seeds of a block of items, sorted by hash."""
 
@@ -118,15 +136,18 @@ class Index:
                 out.append(np.stack([self.who[k], np.repeat(pos, n) - self.at[k]], 1))
         return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
 
-    def verify(self, h: np.ndarray, i: int, d: int):
+    def verify(self, h: np.ndarray, i: int, d: int, share: int | None):
         w = self.words[i]
         a, z = max(d, 0), min(d + len(w), len(h))
-        s, n, good = best_overlap(h[a:z] == w[a - d : z - d])
-        if n >= LEAST:
+        same = h[a:z] == w[a - d : z - d]
+        runs = all_overlaps(same)
+        if not runs and share is not None and 100 * (good := int(same.sum())) >= share * len(w):
+            runs = [(0, z - a, good)]
+        for s, n, good in runs:
             yield self.ids[i], a + s, a + s - d, n, good
 
 
-def _scan(index):
+def _scan(index, share: int | None):
     cache = WordHashes()
 
     def flush(ids, hashes):
@@ -140,7 +161,7 @@ def _scan(index):
             k = int(np.searchsorted(start, max(d, 0), "right")) - 1
             while k < len(hashes) and start[k] < d + w:
                 if len(hashes[k]) >= SPAN:
-                    rows += [(ids[k], *x) for x in index.value.verify(hashes[k], i, d - int(start[k]))]
+                    rows += [(ids[k], *x) for x in index.value.verify(hashes[k], i, d - int(start[k]), share)]
                 k += 1
         return list(dict.fromkeys(rows)) if len(set(ids)) == len(ids) else rows
 
@@ -166,7 +187,7 @@ def _scan(index):
     return run
 
 
-def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
+def overlaps(docs: DataFrame, items: DataFrame, share: int | None = None) -> DataFrame:
     """doc_id, item_id, doc_start, item_start, n_words, n_equal of every verified
     overlap, positions counted in words from 0."""
     spark = docs.sparkSession
@@ -177,13 +198,13 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     for k in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         index = spark.sparkContext.broadcast(Index([(r[0], r[1]) for r in own]))
-        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan(index), "doc_id long, item_id long, doc_start long, item_start long, n_words long, n_equal long")
+        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan(index, share), "doc_id long, item_id long, doc_start long, item_start long, n_words long, n_equal long")
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, broadcast_rows: int = 1_000_000, share: int | None = None) -> DataFrame:
     """docs without those that overlap an item, all columns kept."""
-    hit = saved(overlaps(docs, items).select("doc_id").where("doc_id IS NOT NULL").distinct(), "contaminated").withColumnRenamed("doc_id", "_hit")
+    hit = saved(overlaps(docs, items, share).select("doc_id").where("doc_id IS NOT NULL").distinct(), "contaminated").withColumnRenamed("doc_id", "_hit")
     few = hit.count() <= broadcast_rows
     return docs.join(F.broadcast(hit) if few else hit, docs["doc_id"].cast("long") == F.col("_hit"), "left_anti")

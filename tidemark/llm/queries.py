@@ -39,7 +39,7 @@ def op6_transducer_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), decontam.SHARE)
 
 
 def op8_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
