@@ -74,3 +74,34 @@ def test_letters_are_a_distribution():
     assert owner[-1] == len(words) - 1
     seen, odd = letters.log_words(*[py.events(pa.array([w], pa.binary()))[k] for w in (words[0],) for k in (0, 2)]), letters.log_words(*[py.events(pa.array([b"qqzzxxqq"], pa.binary()))[k] for k in (0, 2)])
     assert seen[0] / len(words[0]) > odd[0] / 8
+
+
+def test_frequent_contexts_have_restaurants(spark):
+    cycle = ["tick", "tock", "ding", "dong"]
+    rows = [(k, " ".join((cycle * 20)[k % 4 : 60 + k % 4])) for k in range(200)]
+    got = py.scores(documents(spark, rows).repartition(3)).collect()
+    # without a context every fourth word has a quarter, -0.6
+    assert all(r["score"] / r["n_tokens"] > -0.2 for r in got)
+
+
+def test_dealt_restaurants_equal_whole_ones(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    follow = {w: rng.permutation(40)[:6] for w in range(40)}
+
+    def walk(seed):
+        r, w = np.random.default_rng(seed), 0
+        for _ in range(80):
+            w = int(r.choice(follow[w])) if r.random() < 0.8 else int(r.integers(40))
+            yield f"w{w}"
+
+    rows = [(k, " ".join(walk(k))) for k in range(250)] + [(900 + k, text(k, 20)) for k in range(20)]
+    docs = documents(spark, rows).repartition(3)
+    got = {}
+    # pairs looked up, or in buckets; rare words asked for; all restaurants whole
+    for most, pairs in ((10**6, 10**6), (300, 0), (45, 100), (0, 0)):
+        monkeypatch.setattr(py, "FREQUENT", most)
+        monkeypatch.setattr(py, "PAIRS", pairs)
+        got[most] = {r["doc_id"]: r["score"] / r["n_tokens"] for r in py.scores(docs).collect()}
+    for most in (10**6, 300, 45):
+        apart = [abs(got[most][i] - s) for i, s in got[0].items()]
+        assert max(apart) < 0.1 and np.mean(apart) < 0.02, (most, max(apart), np.mean(apart))

@@ -1,7 +1,7 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-Three layers of restaurants. Words that are not too frequent as contexts have a
-restaurant of the words that follow them; all of these are children of one word
+Three layers of restaurants. Every word has a restaurant of the words that
+follow it; all of these are children of one word
 restaurant of the whole corpus; each of its tables orders its dish - a spelling -
 from a hierarchy of letter restaurants, one for each context of the last three,
 two, one or no bytes, where every context is the child of the next shorter one
@@ -18,10 +18,12 @@ over the counted vocabulary. The letter hierarchy has at most 2^26 cells however
 large the corpus, as older context bytes enter with their low five bits. Texts
 are scored in blocks: the probabilities of frequent words, at most ``FREQUENT``
 of them, go along; tokens of other words are dealt by hash to the part of the
-vocabulary that knows them, then those in open contexts to their context, and
-only sums come back to the block. Contexts are open up to the count below which
-words make ``OPEN_SHARE`` of all tokens, so no context has many customers and no
-bucket is hot; in others a word has its probability of the whole corpus.
+vocabulary that knows them, then all tokens to their contexts, and only sums come
+back to the block. A rare context's restaurant is whole in one bucket. Those of
+frequent words are dealt by context and word: their counts are summed by block
+first, the sweeps pass on nothing but each context's number of tables, and the
+most frequent pairs, at most ``PAIRS``, are looked up in the blocks, so no
+bucket is hot.
 
 Edge cases: null and empty texts consist of the end token; repeated rows are
 scored each and train as often as they occur; rows with a null doc_id do not
@@ -32,6 +34,7 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from dataclasses import dataclass, field
 from itertools import repeat
@@ -47,8 +50,8 @@ from .common import crc_mod, lower_words, saved
 
 BURN_IN, SAMPLES = 1, 2
 FREQUENT = 300_000
+PAIRS = 1_000_000
 MEMORY = 400_000       # words that a task counts before it passes them on
-OPEN_SHARE = 0.25       # of all tokens, those whose rare words open restaurants
 BLOCK_TOKENS, BLOCK_DOCS = 300_000, 2000
 BUCKET_TOKENS = 1_000_000
 THETA_WORD, THETA_LETTER = 10.0, 1.0
@@ -281,27 +284,81 @@ def _word_scores(sent):
 
 
 class Book:
-    """Frequent words with what is known of them."""
+    """Frequent words with what is known of them, in order of their hashes."""
 
     def __init__(self, rows):
+        rows = sorted(rows, key=lambda r: r[1] % (1 << 64))
         self.at = {bytes(r[0]): k for k, r in enumerate(rows)}
         self.h = np.array([r[1] for r in rows], np.int64).view(np.uint64)
         self.base, self.lp = np.array([r[2] for r in rows], float), np.array([r[3] for r in rows], float)
-        self.known, self.open = np.array([r[4] for r in rows], np.int64), np.array([r[5] for r in rows], bool)
+        self.known, self.c_train = np.array([r[4] for r in rows], np.int64), np.array([r[5] for r in rows], np.int64)
+
+
+@dataclass
+class Hot:
+    """Restaurants of the book's words: hashes, log10 probabilities, customers,
+    the sampled seatings' numbers of tables, and the pairs of context and word that
+    are looked up."""
+
+    h: np.ndarray
+    p: np.ndarray
+    c: np.ndarray
+    tables: list[np.ndarray] = field(default_factory=list)
+    pairs: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+    lp: np.ndarray = field(default_factory=lambda: np.empty(0, np.float32))
+
+    def sits(self, x: np.ndarray) -> np.ndarray:
+        """Hits written out."""
+        y = np.zeros(len(x), SIT)
+        y["d"], y["f"] = x["d"] & 0x7FFF, x["d"] >> 15
+        y["u"], y["w"], y["p"] = self.h[x["u"]], self.h[x["w"]] >> np.uint64(32), self.p[x["w"]]
+        return y
+
+    def find(self, u: np.ndarray) -> np.ndarray:
+        """Numbers of contexts, -1 of those that are not in the book."""
+        if not len(self.h):
+            return np.full(len(u), -1)
+        k = np.minimum(np.searchsorted(self.h, u), len(self.h) - 1)
+        return np.where(self.h[k] == u, k, -1)
+
+    def predict(self, u: np.ndarray, c: np.ndarray, p: np.ndarray, seed: int) -> np.ndarray:
+        """Averaged predictive probabilities of dishes of contexts u with c
+        customers, p being the parent's."""
+        rng, total = np.random.default_rng([seed, len(u)]), np.zeros(len(u))
+        for tables in self.tables:
+            a = (THETA_CONTEXT + D_CONTEXT * tables[u]) * p
+            total += (np.maximum(c - D_CONTEXT * seat(c, a, D_CONTEXT, rng), 0) + a) / (THETA_CONTEXT + self.c[u])
+        return total / len(self.tables)
+
+
+def place(u: np.ndarray, w: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """What tokens are dealt by: the context, with the word if it is hot."""
+    x = (u ^ (w.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.where(hot, x >> np.uint64(16), u)
+
+
+def dishes(u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs (u << 32 | w), the first of each and each one's pair."""
+    return np.unique((u.astype(np.uint64) << np.uint64(32)) | w.astype(np.uint64), return_index=True, return_inverse=True)
 
 
 #: A token whose word is not in the book: its text in the block, whether that
-#: trains, the word, and the word before it (0 where that seats no one).
+#: trains, the word, and the word before it.
 ASK = np.dtype([("d", "<u2"), ("f", "u1"), ("w", "<u8"), ("u", "<u8")])
-#: A token in an open context: text, whether it trains, context, word, and the
-#: word restaurant's log10 probability.
+#: A token in its context: text, whether it trains, context, word, and the word
+#: restaurant's log10 probability.
 SIT = np.dtype([("d", "<u2"), ("f", "u1"), ("u", "<u8"), ("w", "<u4"), ("p", "<f4")])
+#: A token in its context, both in the book: text and, as the highest bit, whether
+#: it trains; the context's and the word's number.
+HIT = np.dtype([("d", "<u2"), ("u", "<u4"), ("w", "<u4")])
+#: Training tokens of a block: numbers of context and word.
+TALLY = np.dtype([("u", "<u4"), ("w", "<u4"), ("c", "<u4")])
 #: What a text's tokens add up to.
 SUM = np.dtype([("d", "<u2"), ("known", "<i8"), ("base", "<f8"), ("model", "<f8")])
 DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("held", "u1"), ("n", "<i8")])
 _OUT = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
 _DDL = "key long, block long, kind int, data binary"
-_SUMS, _DOCS, _SITS, _ASKS = 0, 1, 2, 3
+_SUMS, _DOCS, _SITS, _ASKS, _TALLIES, _HITS = 0, 1, 2, 3, 4, 5
 
 
 def _rows(rows):
@@ -309,9 +366,9 @@ def _rows(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _OUT)], schema=_OUT)
 
 
-def _dealt(x: np.ndarray, by: str, buckets: int, block: int, kind: int):
+def _dealt(x: np.ndarray, by: np.ndarray, buckets: int, block: int, kind: int):
     """Tokens of a block by bucket of a hash."""
-    k = (x[by] % np.uint64(buckets)).astype(np.int64)
+    k = (by % np.uint64(buckets)).astype(np.int64)
     o = np.argsort(k, kind="stable")
     cuts = np.flatnonzero(np.r_[True, k[o][1:] != k[o][:-1], True]) if len(k) else [0]
     return [(int(k[o[a]]), block, kind, x[o[a:z]].tobytes()) for a, z in zip(cuts[:-1], cuts[1:])]
@@ -327,11 +384,11 @@ def _added(d: np.ndarray, size: int, known, base, model) -> np.ndarray:
     return out
 
 
-def _emit(sent, buckets: int, what: int):
+def _emit(sent, buckets: int, what: int, hot=None):
     """Blocks of texts, by what is wanted: the texts, what their frequent words add
-    up to and the tokens to ask about, or the frequent words in open contexts. Both
-    are scans with no union before them, so that blocks are numbered alike: they
-    read the same splits in order."""
+    up to and the tokens to ask about, the frequent words' counts in hot
+    contexts, or the frequent words as tokens. All are scans with no union before
+    them, so that blocks are numbered alike: they read the same splits in order."""
 
     def run(batches):
         book = sent.value
@@ -349,29 +406,45 @@ def _emit(sent, buckets: int, what: int):
             h[~rare] = book.h[ix[~rare]]
             at = np.flatnonzero(rare)
             h[at] = np.fromiter((xxhash.xxh3_64_intdigest(words[k]) for k in at.tolist()), np.uint64, len(at))
-            open_ = rare.copy()
-            open_[~rare] = book.open[ix[~rare]]
             first = np.r_[0, np.cumsum(sizes)[:-1]].astype(np.int64)
-            u, o = np.r_[end_h, h[:-1]], np.r_[False, open_[:-1]]
-            u[first], o[first] = end_h, end < 0 or bool(book.open[end])
+            u, before = np.r_[end_h, h[:-1]], np.r_[end, ix[:-1]]
+            u[first], before[first] = end_h, end
             d = np.repeat(np.arange(len(sizes)), sizes)
             f = np.array([x[2] for x in docs], bool)[d]
+            if what == _TALLIES:
+                m = ~rare & (before >= 0) & f
+                k, w = before[m], ix[m]
+                _, one, of = dishes(k, w)
+                x = np.zeros(len(one), TALLY)
+                x["u"], x["w"], x["c"] = k[one], w[one], np.bincount(of, minlength=len(one))
+                return _rows(_dealt(x, place(u[m][one], h[m][one] >> np.uint64(32), np.ones(len(x), bool)), buckets, me, _TALLIES))
             if what == _SITS:
-                m = ~rare & o
-                x = np.zeros(m.sum(), SIT)
-                x["d"], x["f"], x["u"], x["w"], x["p"] = d[m], f[m], u[m], h[m] >> np.uint64(32), book.lp[ix[m]]
-                return _rows(_dealt(x, "u", buckets, me, _SITS))
+                w, pairs, rows = (h >> np.uint64(32)).astype(np.uint32), hot.value.pairs, []
+                m = ~rare
+                if len(pairs):
+                    asked = (np.maximum(before, 0).astype(np.uint64) << np.uint64(32)) | w
+                    k = np.minimum(np.searchsorted(pairs, asked), len(pairs) - 1)
+                    told = m & (before >= 0) & (pairs[k] == asked)
+                    m &= ~told
+                    none = np.zeros(told.sum())
+                    rows = [(me, me, _SUMS, _added(d[told], len(sizes), none, none, hot.value.lp[k[told]]).tobytes())]
+                both, one = m & (before >= 0), m & (before < 0)
+                y = np.zeros(both.sum(), HIT)
+                y["d"], y["u"], y["w"] = d[both] | (f[both].astype(np.int64) << 15), before[both], ix[both]
+                x = np.zeros(one.sum(), SIT)
+                x["d"], x["f"], x["u"], x["w"], x["p"] = d[one], f[one], u[one], w[one], book.lp[ix[one]]
+                rows += _dealt(y, place(u[both], w[both], np.ones(len(y), bool)), buckets, me, _HITS)
+                return _rows(rows + _dealt(x, x["u"], buckets, me, _SITS))
             x = np.zeros(len(at), ASK)
-            x["d"], x["f"], x["w"], x["u"] = d[at], f[at], h[at], np.where(o[at], u[at], 0)
+            x["d"], x["f"], x["w"], x["u"] = d[at], f[at], h[at], u[at]
             own = ix[~rare]
-            model = np.where(o[~rare], 0.0, book.lp[own])
             told = np.zeros(len(docs), DOC)
             told["id"] = [x[0] or 0 for x in docs]
             told["null"] = [x[0] is None for x in docs]
             told["held"] = [bool(x[1]) for x in docs]
             told["n"] = sizes
-            sums = _added(d[~rare], len(docs), book.known[own], book.base[own], model)
-            return _rows(_dealt(x, "w", buckets, me, _ASKS) + [(me, me, _DOCS, told.tobytes()), (me, me, _SUMS, sums.tobytes())])
+            sums = _added(d[~rare], len(docs), book.known[own], book.base[own], np.zeros(len(own)))
+            return _rows(_dealt(x, x["w"], buckets, me, _ASKS) + [(me, me, _DOCS, told.tobytes()), (me, me, _SUMS, sums.tobytes())])
 
         docs, words, sizes = [], [], []
         for b in batches:
@@ -396,9 +469,9 @@ def _blobs(table, kind: np.dtype):
         yield b, np.frombuffer(raw.as_buffer(), kind)
 
 
-def _answer(buckets: int):
+def _answer(hot, buckets: int):
     """Asked words meet their part of the vocabulary: sums go back to the blocks,
-    tokens in open contexts on to their contexts."""
+    tokens on to their contexts."""
 
     def run(key, words, asked):
         h = words.column("h").to_numpy().view(np.uint64)
@@ -408,12 +481,11 @@ def _answer(buckets: int):
         rows = []
         for block, x in _blobs(asked, ASK):
             k = np.searchsorted(h, x["w"])  # every asked word is there
-            sits = x["u"] != 0
-            s = _added(x["d"].astype(np.int64), int(x["d"].max()) + 1, known[k], base[k], np.where(sits, 0.0, lp[k]))
+            s = _added(x["d"].astype(np.int64), int(x["d"].max()) + 1, known[k], base[k], np.zeros(len(k)))
             rows.append((block, block, _SUMS, s.tobytes()))
-            y = np.zeros(sits.sum(), SIT)
-            y["d"], y["f"], y["u"], y["w"], y["p"] = x["d"][sits], x["f"][sits], x["u"][sits], x["w"][sits] >> np.uint64(32), lp[k][sits]
-            rows += _dealt(y, "u", buckets, block, _SITS)
+            y = np.zeros(len(x), SIT)
+            y["d"], y["f"], y["u"], y["w"], y["p"] = x["d"], x["f"], x["u"], x["w"] >> np.uint64(32), lp[k]
+            rows += _dealt(y, place(y["u"], y["w"], hot.value.find(y["u"]) >= 0), buckets, block, _SITS)
         return pa.Table.from_batches([_rows(rows)])
 
     return run
@@ -443,18 +515,103 @@ def sit(u: np.ndarray, w: np.ndarray, trains: np.ndarray, p: np.ndarray, seed: i
     return out
 
 
-def _contexts(key, one, other):
-    """All tokens of some contexts: each context is a restaurant."""
-    blobs = [*_blobs(one, SIT), *_blobs(other, SIT)]
-    x = np.concatenate([b for _, b in blobs])
-    lp = np.log10(np.maximum(sit(x["u"], x["w"], x["f"], 10.0 ** x["p"].astype(float)), 1e-300))
-    rows, at = [], 0
-    for block, b in blobs:
-        d, v = b["d"].astype(np.int64), lp[at : at + len(b)]
-        at += len(b)
-        none = np.zeros(len(d))
-        rows.append((block, block, _SUMS, _added(d, int(d.max()) + 1, none, none, v).tobytes()))
-    return pa.Table.from_batches([_rows(rows)])
+def _pairs(hot):
+    """Training tokens of hot contexts, summed by context and word."""
+
+    def run(key, one, other):
+        u, w, p, c = [], [], [], []
+        for _, x in _blobs(other, TALLY):
+            u.append(x["u"])
+            w.append((hot.value.h[x["w"]] >> np.uint64(32)).astype(np.uint32))
+            p.append(hot.value.p[x["w"]])
+            c.append(x["c"])
+        for _, x in _blobs(one, SIT):
+            k = hot.value.find(x["u"])
+            m = (k >= 0) & (x["f"] > 0)
+            u.append(k[m].astype(np.uint32))
+            w.append(x["w"][m])
+            p.append(x["p"][m])
+            c.append(np.ones(m.sum(), np.uint32))
+        u, w, p, c = map(np.concatenate, (u, w, p, c))
+        _, first, of = dishes(u, w)
+        c = np.bincount(of, c, len(first)).astype(np.int64)
+        return pa.table({"u": pa.array(u[first].astype(np.int32)), "w": pa.array(w[first].astype(np.int64)), "p": pa.array(p[first]), "c": pa.array(c)})
+
+    return run
+
+
+def _retable(tables, n: int):
+    """Each hot context's number of tables after a sweep; before the first one
+    every dish has one table."""
+
+    def run(batches):
+        total = np.zeros(len(tables.value))
+        for no, b in enumerate(batches):
+            u, p, c = b.column(0).to_numpy(), 10.0 ** b.column(2).to_numpy().astype(float), b.column(3).to_numpy()
+            if not len(u):
+                continue
+            rng = np.random.default_rng([n, int(u[0]), int(b.column(1)[0].as_py()), no])
+            t = seat(c, (THETA_CONTEXT + D_CONTEXT * tables.value[u]) * p, D_CONTEXT, rng) if n else np.ones(len(u))
+            total += np.bincount(u, t, len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["u", "t"])
+
+    return run
+
+
+def seat_hot(pairs: DataFrame, hot: Hot) -> Hot:
+    """hot with sampled seatings and its most frequent pairs."""
+    spark, tables = pairs.sparkSession, np.zeros(len(hot.h))
+    for n in range(1 + BURN_IN + SAMPLES):
+        sent = spark.sparkContext.broadcast(tables)
+        got = pairs.mapInArrow(_retable(sent, n), "u int, t double").groupBy("u").agg(F.sum("t").alias("t")).toArrow()  # a row for each word of the book at most
+        tables = np.zeros(len(hot.h))
+        tables[got.column("u").to_numpy()] = got.column("t").to_numpy()
+        if n > BURN_IN:
+            hot.tables.append(tables)
+    least, total = 63, 0
+    for r in pairs.groupBy(F.floor(F.log2("c")).cast("int").alias("s")).agg(F.count(F.lit(1)).alias("v")).orderBy(F.desc("s")).collect():
+        total += r["v"]
+        if total > PAIRS:
+            break
+        least = r["s"]
+    got = pairs.where(F.col("c") >= F.lit(2).cast("double") ** least).toArrow()  # PAIRS rows at most
+    u, w, p, c = (got.column(k).to_numpy() for k in ("u", "w", "p", "c"))
+    hot.pairs, first, _ = dishes(u, w)
+    hot.lp = np.log10(np.maximum(hot.predict(u[first], c[first], 10.0 ** p[first].astype(float), 11), 1e-300)).astype(np.float32)
+    return hot
+
+
+def _contexts(hot):
+    """All tokens of rare contexts, each of which is a restaurant, and of some
+    dishes of hot ones; sums of looked-up pairs go on as they are."""
+
+    def run(key, one, other):
+        kind = other.column("kind").to_numpy()
+        of = lambda k: other.filter(pa.array(kind == k))
+        rows = [tuple(r.values()) for r in of(_SUMS).select(_OUT.names).to_pylist()]
+        blobs = [*_blobs(one, SIT), *_blobs(of(_SITS), SIT), *((b, hot.value.sits(x)) for b, x in _blobs(of(_HITS), HIT))]
+        if not blobs:
+            return pa.Table.from_batches([_rows(rows)])
+        x = np.concatenate([b for _, b in blobs])
+        p, k = 10.0 ** x["p"].astype(float), hot.value.find(x["u"])
+        out, m = np.empty(len(x)), k < 0
+        if m.any():
+            out[m] = sit(x["u"][m], x["w"][m], x["f"][m], p[m])
+        if not m.all():
+            _, first, of = dishes(k[~m], x["w"][~m])
+            c = np.bincount(of, x["f"][~m]).astype(np.int64)
+            out[~m] = hot.value.predict(k[~m][first], c, p[~m][first], 13)[of]
+        lp = np.log10(np.maximum(out, 1e-300))
+        at = 0
+        for block, b in blobs:
+            d, v = b["d"].astype(np.int64), lp[at : at + len(b)]
+            at += len(b)
+            none = np.zeros(len(d))
+            rows.append((block, block, _SUMS, _added(d, int(d.max()) + 1, none, none, v).tobytes()))
+        return pa.Table.from_batches([_rows(rows)])
+
+    return run
 
 
 def _finish(n: int):
@@ -482,6 +639,12 @@ def _finish(n: int):
     return run
 
 
+def _cleared(spark) -> None:
+    """Shuffle files of steps that are saved go with their last reference."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -497,7 +660,7 @@ def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
     sent = spark.sparkContext.broadcast((sample(vocabulary, d), d, n, v))
     base = F.log10((F.col("c_train") + 0.1) / (F.lit(float(n)) + 0.1 * (v + 1))) if n else F.lit(0.0)
     known = vocabulary.select("word", "c_train", "c_all").mapInArrow(_word_scores(sent), "word binary, h long, c_train long, c_all long, lp double")
-    known = saved(known.select("word", "h", "c_all", base.alias("base1"), F.col("lp").alias("model1"), (F.col("c_train") > 0).cast("long").alias("known1")), "words")
+    known = saved(known.select("word", "h", "c_all", "c_train", base.alias("base1"), F.col("lp").alias("model1"), (F.col("c_train") > 0).cast("long").alias("known1")), "words")
     # Words and tokens by the power of two of their count: 64 rows at most.
     size = F.floor(F.log2("c_all")).cast("int").alias("s")
     kinds = vocabulary.groupBy(size).agg(F.count(F.lit(1)).alias("v"), F.sum("c_all").alias("n")).orderBy("s").collect()
@@ -509,24 +672,25 @@ def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
         if total > FREQUENT:
             break
         frequent = r["s"]
-    # Contexts are open up to the power whose words make OPEN_SHARE of the tokens.
-    total, opened = 0, 0
-    for r in kinds:
-        total += r["n"]
-        if total > OPEN_SHARE * tokens:
-            break
-        opened = r["s"] + 1
     rare = F.col("c_all") < F.lit(2).cast("double") ** frequent
-    got = known.where(~rare).select("word", "h", "base1", "model1", "known1", F.col("c_all") < 2**opened).collect()  # FREQUENT rows at most
-    book = spark.sparkContext.broadcast(Book(got))
+    got = known.where(~rare).select("word", "h", "base1", "model1", "known1", "c_train").collect()  # FREQUENT rows at most
+    told = Book(got)
+    book, hot = spark.sparkContext.broadcast(told), Hot(told.h, told.lp.astype(np.float32), told.c_train)
+    named = spark.sparkContext.broadcast(hot)
     buckets = 64 + tokens // BUCKET_TOKENS
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held_out"), F.coalesce(~held, F.lit(False)).alias("trains"))
     first = saved(rows.mapInArrow(_emit(book, buckets, _DOCS), _DDL), "texts")
     asked, told = first.where(F.col("kind") == _ASKS), first.where(F.col("kind") != _ASKS)
     words = known.where(rare).select(F.expr(f"pmod(cast(h as decimal(20,0)) + if(h < 0, 18446744073709551616BD, 0BD), {buckets})").cast("long").alias("key"), "h", "base1", "model1", "known1")
-    answers = words.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(_answer(buckets), _DDL)
+    answers = words.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(_answer(named, buckets), _DDL)
     answers = saved(answers, "answers")
-    sits = rows.mapInArrow(_emit(book, buckets, _SITS), _DDL)
-    scored = answers.where(F.col("kind") == _SITS).groupBy("key").cogroup(sits.groupBy("key")).applyInArrow(_contexts, _DDL)
+    _cleared(spark)
+    asked_sits = answers.where(F.col("kind") == _SITS).groupBy("key")
+    tallies = rows.mapInArrow(_emit(book, buckets, _TALLIES), _DDL)
+    pairs = saved(asked_sits.cogroup(tallies.groupBy("key")).applyInArrow(_pairs(named), "u int, w long, p float, c long"), "pairs")
+    seated = spark.sparkContext.broadcast(seat_hot(pairs, Hot(hot.h, hot.p, hot.c)))
+    _cleared(spark)
+    sits = rows.mapInArrow(_emit(book, buckets, _SITS, seated), _DDL)
+    scored = asked_sits.cogroup(sits.groupBy("key")).applyInArrow(_contexts(seated), _DDL)
     parts = told.unionByName(answers.where(F.col("kind") != _SITS)).unionByName(scored)
     return parts.groupBy("block").applyInArrow(_finish(n), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
