@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from cases import AWKWARD, documents, text
 
 from tidemark.llm import pitmanyor as py
@@ -50,13 +51,25 @@ def seated(c, a, d, rng):
     return t
 
 
+def seeds(n, salt=0):
+    return py.mixed(np.arange(n, dtype=np.uint64) + np.uint64(salt << 40))
+
+
+def test_draws_are_binomial():
+    for k, p in ((1, 0.3), (5, 0.01), (30, 0.9), (400, 0.2), (100_000, 1e-5)):
+        n = 20_000
+        x = py.drawn(np.full(n, k), np.full(n, p), py.uniform(seeds(n), 0), py.uniform(seeds(n), 1))
+        sd = (k * p * (1 - p)) ** 0.5
+        assert x.min() >= 0 and x.max() <= k and abs(x.mean() - k * p) < 4 * sd / n**0.5 and abs(x.std() - sd) < 0.04 * sd
+
+
 def test_seating_has_the_right_mean():
     rng = np.random.default_rng(0)
     c = np.full(4000, 40)
     for a, d in ((0.5, 0.5), (3.0, 0.8)):
-        one, many = (f(c, np.full(4000, a), d, rng).mean() for f in (seated, py.seat))
+        one, many = seated(c, np.full(4000, a), d, rng).mean(), py.seat(c, np.full(4000, a), d, seeds(4000)).mean()
         assert abs(one - many) < 0.06 * one + 0.05
-    t = py.seat(np.array([0, 1, 2, 10**6]), np.full(4, 0.1), 0.5, rng)
+    t = py.seat(np.array([0, 1, 2, 10**6]), np.full(4, 0.1), 0.5, seeds(4))
     assert t[0] == 0 and t[1] == 1 and 1 <= t[2] <= 2 and t[3] <= 10**6
 
 
@@ -65,26 +78,71 @@ def test_letters_are_a_distribution():
     key, owner, first = py.events(pa.array(words, pa.binary()))
     assert len(key) == sum(map(len, words)) + len(words) and len(first) == len(words)
     keys, n = np.unique(key, return_counts=True)
-    rng = np.random.default_rng(1)
-    letters, tables = py.sweep_letters(keys, n, py.Letters(), {}, rng)
-    letters, tables = py.sweep_letters(keys, n, letters, tables, rng)
+    letters, tables = py.sweep_letters(keys, n, py.Letters(), {}, 0)
+    letters, tables = py.sweep_letters(keys, n, letters, tables, 1)
     for ctx in [*(keys[:40] >> np.uint32(8)), np.uint32(12345)]:
         p = letters.prob((np.uint32(ctx) << np.uint32(8)) | np.arange(256, dtype=np.uint32))
         assert abs(p.sum() - 1) < 1e-3 and (p > 0).all()
     assert owner[-1] == len(words) - 1
-    seen, odd = letters.log_words(*[py.events(pa.array([w], pa.binary()))[k] for w in (words[0],) for k in (0, 2)]), letters.log_words(*[py.events(pa.array([b"qqzzxxqq"], pa.binary()))[k] for k in (0, 2)])
-    assert seen[0] / len(words[0]) > odd[0] / 8
+    of = lambda w: letters.log_words(*[py.events(pa.array([w], pa.binary()))[k] for k in (0, 2)])
+    assert of(words[0])[0] / len(words[0]) > of(b"qqzzxxqq")[0] / 8
 
 
-def test_frequent_contexts_have_restaurants(spark):
-    cycle = ["tick", "tock", "ding", "dong"]
-    rows = [(k, " ".join((cycle * 20)[k % 4 : 60 + k % 4])) for k in range(200)]
-    got = py.scores(documents(spark, rows).repartition(3)).collect()
-    # without a context every fourth word has a quarter, -0.6
-    assert all(r["score"] / r["n_tokens"] > -0.2 for r in got)
+def tokens(t):
+    return [*(t or "").encode().lower().split(), b""]
+
+
+def trains(i):
+    return i is not None and zlib.crc32(str(i).encode()) % 10 != 0
+
 
+def brute(rows):
+    """The sampler in plain dictionaries, one restaurant after the other."""
+    pairs, vocabulary = Counter(), {w for _, t in rows for w in tokens(t)}
+    for i, t in rows:
+        if trains(i):
+            pairs.update(zip([b"", *tokens(t)[:-1]], tokens(t)))
+    customers = Counter()
+    for (u, _), c in pairs.items():
+        customers[u] += c
+    h = {w: np.array([xxhash.xxh3_64_intdigest(w) >> 1], np.uint64) for w in vocabulary}
+    ones = lambda x, n: sum(c == n for c in x)
+    tables = dict.fromkeys(pairs, 1)
+    by = lambda k: Counter({w: sum(t for p, t in tables.items() if p[k] == w) for w in {p[k] for p in tables}})
+    d, d_word = py.discount(ones(pairs.values(), 1), ones(pairs.values(), 2)), py.discount(ones(by(1).values(), 1), ones(by(1).values(), 2))
+    letters, levels, total, samples = py.Letters(), {}, 0.0, []
+    for n in range(py.BURN_IN + py.SAMPLES):
+        contexts, served, events, stay, spelt, now = by(0), by(1), Counter(), {}, {}, 0
+        for w in vocabulary:
+            key, _, first = py.events(pa.array([w], pa.binary()))
+            spelt[w] = letters.log_words(key, first)[0]
+            c = np.array([served[w]])
+            t = int(py.seat(c, (py.THETA_WORD + d_word * total) * np.exp([spelt[w]]), d_word, py.mixed(h[w] + np.uint64(n)))[0])
+            stay[w], now = max(c[0] - d_word * t, 0), now + t
+            for k in key.tolist():
+                events[k] += t
+        total = float(now)
+        size, weight = py.THETA_WORD + sum(stay.values()) + d_word * total, py.THETA_WORD + d_word * total
+        p = {w: np.logaddexp(np.log(stay[w]) if stay[w] else -np.inf, np.log(weight) + spelt[w]) - np.log(size) for w in vocabulary}
+        got = sorted((k, c) for k, c in events.items() if c)
+        letters, levels = py.sweep_letters(np.array([k for k, _ in got], np.uint32), np.array([c for _, c in got]), letters, levels, n)
+        for (u, w), c in pairs.items():
+            if c > 1:
+                a = (py.THETA_CONTEXT + d * contexts[u]) * np.exp([np.float32(p[w])], dtype=float)
+                tables[u, w] = int(py.seat(np.array([c]), a, d, py.mixed(py.mixed(h[u] + np.uint64(n)) ^ h[w]))[0])
+        if n >= py.BURN_IN:
+            samples.append((dict(tables), by(0), p))
+    out = {}
+    for i, t in rows:
+        s = 0.0
+        for u, w in zip([b"", *tokens(t)[:-1]], tokens(t)):
+            each = [(max(pairs[u, w] - d * t.get((u, w), 0), 0) + (py.THETA_CONTEXT + d * tu[u]) * math.exp(p[w])) / (py.THETA_CONTEXT + customers[u]) for t, tu, p in samples]
+            s += math.log10(sum(each) / len(each))
+        out[i] = s
+    return out
 
-def test_dealt_restaurants_equal_whole_ones(spark, monkeypatch):
+
+def corpus():
     rng = np.random.default_rng(3)
     follow = {w: rng.permutation(40)[:6] for w in range(40)}
 
@@ -94,14 +152,42 @@ def test_dealt_restaurants_equal_whole_ones(spark, monkeypatch):
             w = int(r.choice(follow[w])) if r.random() < 0.8 else int(r.integers(40))
             yield f"w{w}"
 
-    rows = [(k, " ".join(walk(k))) for k in range(250)] + [(900 + k, text(k, 20)) for k in range(20)]
-    docs = documents(spark, rows).repartition(3)
-    got = {}
-    # pairs looked up, or in buckets; rare words asked for; all restaurants whole
-    for most, pairs in ((10**6, 10**6), (300, 0), (45, 100), (0, 0)):
+    return [(k, " ".join(walk(k))) for k in range(100)] + [(900 + k, text(k, 20)) for k in range(20)]
+
+
+def scored(docs):
+    return {r["doc_id"]: r["score"] for r in py.scores(docs).collect()}
+
+
+def test_scores_equal_brute_force(spark, monkeypatch):
+    """With all words in the book, some of them and none, in small blocks."""
+    rows = corpus()
+    want = brute(rows)
+    monkeypatch.setattr(py, "BLOCK_TOKENS", 700)
+    for most in (10**6, 45, 0):
         monkeypatch.setattr(py, "FREQUENT", most)
-        monkeypatch.setattr(py, "PAIRS", pairs)
-        got[most] = {r["doc_id"]: r["score"] / r["n_tokens"] for r in py.scores(docs).collect()}
-    for most in (10**6, 300, 45):
-        apart = [abs(got[most][i] - s) for i, s in got[0].items()]
-        assert max(apart) < 0.1 and np.mean(apart) < 0.02, (most, max(apart), np.mean(apart))
+        got = scored(documents(spark, rows).repartition(3))
+        for i, s in want.items():
+            assert abs(got[i] - s) < 1e-4 * abs(s), (most, i, got[i], s)
+
+
+def test_held_out_texts_and_layout_change_nothing(spark):
+    rows = corpus()
+    other = [(i, t if trains(i) else text(i, 70) + " w1 w2 w3") for i, t in rows]
+    one, two = scored(documents(spark, rows).repartition(1)), scored(documents(spark, other).repartition(5))
+    for i, t in rows:
+        if trains(i):
+            assert abs(one[i] - two[i]) < 1e-4 * abs(one[i])
+
+
+def test_frequent_contexts_have_restaurants(spark):
+    cycle = ["tick", "tock", "ding", "dong"]
+    rows = [(k, " ".join((cycle * 20)[k % 4 : 60 + k % 4])) for k in range(200)]
+    got = py.scores(documents(spark, rows).repartition(3)).collect()
+    # without a context every fourth word has a quarter, -0.6
+    assert all(r["score"] / r["n_tokens"] > -0.2 for r in got)
+
+
+def test_better_than_the_base_on_held_out_texts(spark):
+    got = py.scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
+    assert got["sum(score)"] > 0.9 * got["sum(base_score)"]

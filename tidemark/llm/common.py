@@ -37,15 +37,26 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
-def saved(df: DataFrame, tag: str) -> DataFrame:
+def saved(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and reread: it cuts the lineage,
-    survives lost executors and is read by column."""
+    survives lost executors and is read by column, and by parts of column ``by``."""
     spark = df.sparkSession
     # whole texts may be long: fewer rows at once between the JVM and Python
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = df.write.option("compression", "zstd")
+    (out.partitionBy(by) if by else out).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._saved_at = path
+    return back
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables that ``saved`` wrote and nothing reads any more."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        where = jvm.org.apache.hadoop.fs.Path(t._saved_at)
+        where.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def words_col(text: Column) -> Column:

@@ -1,35 +1,41 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-Three layers of restaurants. Every word has a restaurant of the words that
-follow it; all of these are children of one word
-restaurant of the whole corpus; each of its tables orders its dish - a spelling -
-from a hierarchy of letter restaurants, one for each context of the last three,
-two, one or no bytes, where every context is the child of the next shorter one
-and the top one serves all bytes alike. Seating is sampled by Gibbs sweeps of the
-Chinese-restaurant process: given everything else, the number of tables of every
-word and letter is drawn anew by seating its customers one after the other (in
-growing groups for large counts). Letters' customers are the tables above them;
-the word restaurant seats every training token itself. A probability is the
-average of the predictive probabilities of the sampled seatings after
-``BURN_IN`` sweeps.
-
-Word counts are aggregated over the whole corpus, and every sweep is one pass
-over the counted vocabulary. The letter hierarchy has at most 2^26 cells however
-large the corpus, as older context bytes enter with their low five bits. Texts
-are scored in blocks: the probabilities of frequent words, at most ``FREQUENT``
-of them, go along; tokens of other words are dealt by hash to the part of the
-vocabulary that knows them, then all tokens to their contexts, and only sums come
-back to the block. A rare context's restaurant is whole in one bucket. Those of
-frequent words are dealt by context and word: their counts are summed by block
-first, the sweeps pass on nothing but each context's number of tables, and the
-most frequent pairs, at most ``PAIRS``, are looked up in the blocks, so no
-bucket is hot.
+Three layers of restaurants. Every word is a context with a restaurant of the
+words that follow it; all of these share one parent, the word restaurant of the
+whole corpus, whose customers are the tables of the contexts; each of its tables
+orders its dish - a spelling - from a hierarchy of letter restaurants, one for
+each context of the last three, two, one or no bytes, where every context is the
+child of the next shorter one and the top one serves all bytes alike. Seating is
+sampled by Gibbs sweeps of the Chinese-restaurant process: given everything else,
+the number of tables of every dish is drawn anew by seating its customers one
+after the other (in growing groups for large counts). A probability is the average
+of the predictive probabilities of the sampled seatings after ``BURN_IN`` sweeps.
+
+How it is spread out:
+
+1. Words are counted. At most ``FREQUENT`` frequent ones form a book, which goes
+   to all tasks with its numbers; other words are known by a hash of 63 bits.
+2. Texts are cut into blocks, saved once. A block holds its tokens as numbers of
+   its own distinct pairs of context and word; these pairs are dealt by hash to
+   buckets, with training counts, so that a frequent pair costs a bucket one entry
+   a block. A context outside the book lies whole in one bucket, one in the book is
+   dealt by pair, so no bucket is hot.
+3. Buckets sum up their pairs. A dish of one customer has one table; only pairs
+   seen twice or more need sampling and become a table, rewritten by each sweep:
+   contexts and words of the book are looked up, others are joined. Then the word
+   restaurant is seated, one pass over the vocabulary, and the letters on the
+   driver, which have at most 2^23 cells however large the corpus.
+4. Buckets answer every pair of every block with its probability, and blocks sum
+   them up by text.
+
+Draws depend on the dish and the sweep alone, so results are the same however
+rows are dealt, and held-out texts change nothing that is learnt.
 
 Edge cases: null and empty texts consist of the end token; repeated rows are
 scored each and train as often as they occur; rows with a null doc_id do not
 train and have a null held_out; without any training row every probability
-comes from the letter hierarchy alone and base_score is null; an empty table
-gives an empty result; other columns are ignored.
+comes from uniform letters and base_score is null; an empty table gives an empty
+result; other columns are ignored. A text is one block at least.
 """
 
 from __future__ import annotations
@@ -37,57 +43,95 @@ from __future__ import annotations
 import gc
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, lower_words, saved
+from .common import crc_mod, forget, lower_words, saved
 
-BURN_IN, SAMPLES = 1, 2
-FREQUENT = 300_000
-PAIRS = 1_000_000
+BURN_IN, SAMPLES = 2, 2
+FREQUENT = 250_000     # below 2^20, as two numbers share a long
 MEMORY = 400_000       # words that a task counts before it passes them on
-BLOCK_TOKENS, BLOCK_DOCS = 300_000, 2000
-BUCKET_TOKENS = 1_000_000
-THETA_WORD, THETA_LETTER = 10.0, 1.0
-THETA_CONTEXT, D_CONTEXT = 1.0, 0.8
+BLOCK_TOKENS = 500_000
+BUCKET_TOKENS = 2_000_000
+THETA_CONTEXT, THETA_WORD, THETA_LETTER = 1.0, 10.0, 1.0
 #: Fixed: bytes that no word holds, used for the end of a word and before it.
 STOP, START = 0x20, 0x0A
-#: Bits of a context by level: none, the last byte, and the low five bits of the
-#: two before it.
-BITS = (0, 8, 13, 18)
+#: Bits of a context by level: none, the low six bits of the last byte, five of the
+#: one before it and four of the third.
+BITS = (0, 6, 11, 15)
+CELLS = 1 << (BITS[3] + 8)
 
 
-def _count(batches):
-    """word, c_train, c_all of a task's texts, in parts of bounded size."""
-    train, rest = Counter(), Counter()
+# -- draws that depend on nothing but the dish and the sweep
 
-    def out():
-        words = list(train.keys() | rest.keys())
-        t = [train[w] for w in words]
-        a = [x + rest[w] for x, w in zip(t, words)]
-        train.clear()
-        rest.clear()
-        for k in range(0, len(words), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(words[k : k + 50_000], pa.binary()), pa.array(t[k : k + 50_000], pa.int64()), pa.array(a[k : k + 50_000], pa.int64())], ["word", "c_train", "c_all"])
 
-    for b in batches:
-        for text, trains in zip(b.column(0), b.column(1).to_pylist()):
-            into = train if trains else rest
-            into.update(lower_words(text.as_py()))
-            into[b""] += 1  # the end token
-            if len(train) + len(rest) > MEMORY:
-                yield from out()
-    yield from out()
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def uniform(seed: np.ndarray, step: int) -> np.ndarray:
+    x = mixed(seed + np.uint64((0x9E3779B97F4A7C15 * (step + 1)) % (1 << 64)))
+    return ((x >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
+
+
+def drawn(k: np.ndarray, p: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Binomial numbers from uniform ones: by inversion where the mean is below
+    20, else by the normal approximation."""
+    flip = p > 0.5
+    q = np.where(flip, 1 - p, p)
+    mean = k * q
+    out = np.rint(mean + np.sqrt(mean * (1 - q) * -2 * np.log(u)) * np.cos(2 * np.pi * v))
+    at = np.flatnonzero(mean < 20)
+    kk, odds, uu = k[at], q[at] / (1 - q[at]), u[at]
+    mass = np.exp(kk * np.log1p(-q[at]))
+    below, x, live, j = mass.copy(), np.zeros(len(at)), np.arange(len(at)), 0
+    while len(live := live[(uu[live] >= below[live]) & (j < kk[live])]):
+        mass[live] *= (kk[live] - j) / (j + 1) * odds[live]
+        below[live] += mass[live]
+        j += 1
+        x[live] = j
+    out[at] = x
+    out = np.clip(out, 0, k)
+    return np.where(flip, k - out, out).astype(np.int64)
+
+
+def seat(c: np.ndarray, a: np.ndarray, d: float, seed: np.ndarray) -> np.ndarray:
+    """Tables of one dish each for c customers, a being the weight (theta + d *
+    tables of the restaurant) * (parent's probability). Customers come one by
+    one at first, later in groups of an eighth of those seated."""
+    t = np.minimum(c, 1).astype(np.int64)
+    done = t.copy()
+    at, step = np.flatnonzero(c > 1), 0
+    while len(at):
+        k = np.minimum(np.maximum(1, done[at] // 8), c[at] - done[at])
+        p = a[at] / (a[at] + np.maximum(done[at] - d * t[at], 1e-9))
+        u = uniform(seed[at], 2 * step)
+        t[at] += (u < p) if done[at[0]] < 16 and k.max() == 1 else drawn(k, p, u, uniform(seed[at], 2 * step + 1))
+        done[at] += k
+        at, step = at[done[at] < c[at]], step + 1
+    return t
+
+
+def discount(n1: float, n2: float) -> float:
+    """From the numbers of ones and twos, within sensible bounds."""
+    return float(np.clip(n1 / (n1 + 2 * n2) if n1 else 0.5, 0.05, 0.95))
+
+
+# -- letters
 
 
 def events(col) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Letter events of a column of words: keys (context of 18 bits, letter),
+    """Letter events of a column of words: keys (context of 15 bits, letter),
     word numbers and the first event of each word."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
@@ -103,7 +147,7 @@ def events(col) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(n)), n + 1)
     at = np.arange(len(owner)) + 3 * (owner + 1)
     x = buf.astype(np.uint32)
-    key = ((x[at - 3] & 31) << 21) | ((x[at - 2] & 31) << 16) | (x[at - 1] << 8) | x[at]
+    key = ((x[at - 3] & 15) << 19) | ((x[at - 2] & 31) << 14) | ((x[at - 1] & 63) << 8) | x[at]
     return key, owner, np.r_[0, np.cumsum(n + 1)[:-1]]
 
 
@@ -112,29 +156,6 @@ def up(key: np.ndarray, level: int) -> np.ndarray:
     return key & np.uint32((1 << (BITS[level] + 8)) - 1)
 
 
-def seat(c: np.ndarray, a: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of one dish each for c customers, a being the weight (theta + d *
-    tables of the restaurant) * (parent's probability). Customers come one by
-    one at first, later in groups of an eighth of those seated."""
-    t = np.minimum(c, 1).astype(np.int64)
-    done = t.copy()
-    at = np.flatnonzero(c > 1)
-    while len(at):
-        k = np.maximum(1, done[at] // 8)
-        k = np.minimum(k, c[at] - done[at])
-        p = a[at] / (a[at] + np.maximum(done[at] - d * t[at], 1e-9))
-        t[at] += rng.binomial(k, np.clip(p, 0, 1))
-        done[at] += k
-        at = at[done[at] < c[at]]
-    return t
-
-
-def discount(counts: np.ndarray) -> float:
-    """From the numbers of ones and twos, within sensible bounds."""
-    n1, n2 = int((counts == 1).sum()), int((counts == 2).sum())
-    return float(np.clip(n1 / (n1 + 2 * n2) if n1 else 0.5, 0.05, 0.95))
-
-
 @dataclass
 class Letters:
     """One sampled seating of the letter hierarchy, ready to predict."""
@@ -157,18 +178,18 @@ class Letters:
         return np.add.reduceat(np.log(self.prob(key)), first) if len(first) else np.empty(0)
 
 
-def sweep_letters(keys: np.ndarray, counts: np.ndarray, before: Letters, tables: dict, rng) -> tuple[Letters, dict]:
-    """A Gibbs sweep from the longest contexts up, then predictions down. keys
+def sweep_letters(keys: np.ndarray, counts: np.ndarray, before: Letters, tables: dict, n: int) -> tuple[Letters, dict]:
+    """Gibbs sweep n from the longest contexts up, then predictions down. keys
     are sorted; ``tables`` holds each level's tables by context of the sweep
     before."""
     cells = [None] * 4
     key, c = keys, counts
     for level in (3, 2, 1, 0):
         ctx = (key >> np.uint32(8)).astype(np.int64)
-        d = discount(c)
+        d = discount((c == 1).sum(), (c == 2).sum())
         parent = before.prob(key) if level == 3 else before.below[key] if level == 2 else np.full(len(key), 1 / 256)
         total_t = tables.get(level, np.zeros(1 << BITS[level]))[ctx]
-        t = seat(c, (THETA_LETTER + d * total_t) * parent, d, rng)
+        t = seat(c, (THETA_LETTER + d * total_t) * parent, d, mixed(key.astype(np.uint64) + np.uint64((4 * n + level) << 32)))
         cells[level] = (key, ctx, c, t, d)
         tables = tables | {level: np.bincount(ctx, t, 1 << BITS[level])}
         if level:
@@ -192,35 +213,90 @@ def sweep_letters(keys: np.ndarray, counts: np.ndarray, before: Letters, tables:
     return Letters(key, p, back.astype(np.float32), dense.astype(np.float32)), tables
 
 
-@dataclass
-class Seating:
-    """A sweep's letters and the word restaurant's number of tables."""
+# -- words
+
+
+def _count(batches):
+    """word, c_train, c_all of a task's texts, in parts of bounded size."""
+    train, rest = Counter(), Counter()
+
+    def out():
+        words = list(train.keys() | rest.keys())
+        t = [train[w] for w in words]
+        a = [x + rest[w] for x, w in zip(t, words)]
+        train.clear()
+        rest.clear()
+        for k in range(0, len(words), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(words[k : k + 50_000], pa.binary()), pa.array(t[k : k + 50_000], pa.int64()), pa.array(a[k : k + 50_000], pa.int64())], ["word", "c_train", "c_all"])
+
+    for b in batches:
+        for text, trains in zip(b.column(0), b.column(1).to_pylist()):
+            into = train if trains else rest
+            into.update(lower_words(text.as_py()))
+            into[b""] += 1  # the end token
+            if len(train) + len(rest) > MEMORY:
+                yield from out()
+    yield from out()
+
 
-    letters: Letters
-    tables: float
+def rare_code(w: bytes) -> int:
+    """Code of a word that is not in the book; codes in the book are its places."""
+    return -(xxhash.xxh3_64_intdigest(w) >> 1) - 1
 
 
-def _seat_words(seating: Seating, d: float, n_sweep: int):
-    """Draws every word's tables and passes on their letters' counts, summed
-    within the task; key 2^26 stands for the number of tables."""
+class Book:
+    """Frequent words: place of each, hash of 63 bits and training count."""
+
+    def __init__(self, rows):
+        rows = sorted((xxhash.xxh3_64_intdigest(w) >> 1, bytes(w), c) for w, c in rows)
+        self.at = {w: k for k, (_, w, _) in enumerate(rows)}
+        self.h = np.array([h for h, _, _ in rows], np.uint64)
+        self.c = np.array([c for _, _, c in rows], np.int64)
 
+    def ident(self, code: np.ndarray) -> np.ndarray:
+        """The hashes of words by their codes."""
+        if not len(self.h):
+            return (-code - 1).astype(np.uint64)
+        return np.where(code >= 0, self.h[np.maximum(code, 0)], (-code - 1).astype(np.uint64))
+
+
+def _coded(book):
     def run(batches):
-        acc_k, acc_c, tables, held = [], [], 0, 0
+        at = book.value.at
+        for b in batches:
+            codes = [at.get(w, None) for w in b.column(0).to_pylist()]
+            codes = [rare_code(w) if k is None else k for k, w in zip(codes, b.column(0).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes, pa.int64()), b.column(1)], ["word", "code", "c_train"])
+
+    return run
+
+
+def _seat_words(sent):
+    """Draws the tables of every word: kind 0 has its code, the customers that
+    stay after the discount and the log probability of its spelling; kind 1 the
+    letters' customers, summed within the task, key CELLS the number of tables."""
+
+    def run(batches):
+        book, letters, d, tables, n = sent.value
+        acc_k, acc_c, total, held = [], [], 0, 0
 
         def merge():
             nonlocal acc_k, acc_c, held
             k, inv = np.unique(np.concatenate(acc_k), return_inverse=True)
             acc_k, acc_c, held = [k], [np.bincount(inv, np.concatenate(acc_c))], len(k)
 
-        for no, b in enumerate(batches):
-            c = b.column(1).to_numpy()
-            key, owner, first = events(b.column(0))
+        def rows(kind, k, x, y):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(x), pa.array(y)], ["kind", "k", "x", "y"])
+
+        for b in batches:
+            code, c = b.column(1).to_numpy(), b.column(2).to_numpy()
             if not len(c):
                 continue
-            p0 = np.exp(seating.letters.log_words(key, first))
-            rng = np.random.default_rng([n_sweep, int(key[0]), len(key), no])
-            t = seat(c, (THETA_WORD + d * seating.tables) * p0, d, rng)
-            tables += int(t.sum())
+            key, owner, first = events(b.column(0))
+            lp0 = letters.log_words(key, first)
+            t = seat(c, (THETA_WORD + d * tables) * np.exp(lp0), d, mixed(book.ident(code) + np.uint64(n)))
+            yield rows(0, code, np.maximum(c - d * t, 0.0), lp0)
+            total += int(t.sum())
             acc_k.append(key)
             acc_c.append(t[owner].astype(float))
             held += len(key)
@@ -228,412 +304,260 @@ def _seat_words(seating: Seating, d: float, n_sweep: int):
                 merge()
         if acc_k:
             merge()
-            k = np.r_[acc_k[0].astype(np.int64), 1 << 26]
-            n = np.r_[np.rint(acc_c[0]).astype(np.int64), tables]
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n)], ["k", "n"])
+            m = acc_c[0] > 0
+            yield rows(1, np.r_[acc_k[0][m].astype(np.int64), CELLS], np.r_[acc_c[0][m], float(total)], np.zeros(m.sum() + 1))
 
     return run
 
 
-def sample(vocabulary: DataFrame, d: float) -> list[Seating]:
-    """Gibbs sweeps over the counted vocabulary; the seatings after burn-in."""
-    spark = vocabulary.sparkSession
-    now, tables, out = Seating(Letters(), 0.0), {}, []
-    trained = vocabulary.where("c_train > 0").select("word", "c_train")
-    for n in range(BURN_IN + SAMPLES):
-        sent = spark.sparkContext.broadcast((now, d, n))
-
-        def run(batches, sent=sent):
-            yield from _seat_words(*sent.value)(batches)
-
-        # 2^26 + 1 sums at most
-        got = trained.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).orderBy("k").collect()
-        k = np.array([r[0] for r in got], np.int64)
-        c = np.array([r[1] for r in got], np.int64)
-        inside = k < 1 << 26
-        keys, counts = k[inside].astype(np.uint32), c[inside]
-        letters, tables = sweep_letters(keys, counts, now.letters, tables, np.random.default_rng([7, n]))
-        now = Seating(letters, float(c[~inside].sum()))
-        if n >= BURN_IN:
-            out.append(now)
-    return out
+# -- blocks of texts and buckets of pairs
 
 
-def _word_scores(sent):
-    """word, hash, c_train, c_all, model log10 probability of each word."""
+def squeeze(x: np.ndarray) -> bytes:
+    """Compressed by planes of bytes."""
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T).tobytes(), 1) if len(x) else b""
 
-    def run(batches):
-        seatings, d, n, _ = sent.value
-        for b in batches:
-            c = b.column(1).to_numpy()
-            if not len(c):
-                continue
-            key, _, first = events(b.column(0))
-            p = np.zeros(len(c))
-            for s in seatings:
-                rng = np.random.default_rng([99, int(key[0]), len(key)])
-                p0 = np.exp(s.letters.log_words(key, first))
-                a = (THETA_WORD + d * s.tables) * p0
-                t = seat(c, a, d, rng)
-                p += np.maximum(c - d * t, 0) / (THETA_WORD + n) + a / (THETA_WORD + n)
-            lp = np.log10(np.maximum(p / len(seatings), 1e-300))
-            h = np.fromiter(map(xxhash.xxh3_64_intdigest, b.column(0).to_pylist()), np.uint64, len(c)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h), b.column(1), b.column(2), pa.array(lp)], ["word", "h", "c_train", "c_all", "lp"])
 
-    return run
+def expand(raw: bytes, kind) -> np.ndarray:
+    kind = np.dtype(kind)
+    if not raw:
+        return np.empty(0, kind)
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(kind.itemsize, -1).T).reshape(-1).view(kind)
 
 
-class Book:
-    """Frequent words with what is known of them, in order of their hashes."""
+def place(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """What pairs are dealt by: the context, with the word if it is in the book."""
+    x = u.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed(np.where(u >= 0, x ^ (w.view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), x))
 
-    def __init__(self, rows):
-        rows = sorted(rows, key=lambda r: r[1] % (1 << 64))
-        self.at = {bytes(r[0]): k for k, r in enumerate(rows)}
-        self.h = np.array([r[1] for r in rows], np.int64).view(np.uint64)
-        self.base, self.lp = np.array([r[2] for r in rows], float), np.array([r[3] for r in rows], float)
-        self.known, self.c_train = np.array([r[4] for r in rows], np.int64), np.array([r[5] for r in rows], np.int64)
 
+DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("held", "u1"), ("n", "<i8"), ("known", "<i8"), ("base", "<f8")])
+#: Rows of a block: texts with each token's number of its pair; pairs by bucket,
+#: both in the book (sorted places in one long) or not (contexts, words); counts.
+TEXTS, BOTH, ANY = 0, 1, 2
+_OUT = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
+_DDL = "key long, block long, kind int, a binary, b binary, c binary"
+
+
+def _rows(rows, schema=_OUT):
+    cols = list(zip(*rows)) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
-@dataclass
-class Hot:
-    """Restaurants of the book's words: hashes, log10 probabilities, customers,
-    the sampled seatings' numbers of tables, and the pairs of context and word that
-    are looked up."""
-
-    h: np.ndarray
-    p: np.ndarray
-    c: np.ndarray
-    tables: list[np.ndarray] = field(default_factory=list)
-    pairs: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
-    lp: np.ndarray = field(default_factory=lambda: np.empty(0, np.float32))
-
-    def sits(self, x: np.ndarray) -> np.ndarray:
-        """Hits written out."""
-        y = np.zeros(len(x), SIT)
-        y["d"], y["f"] = x["d"] & 0x7FFF, x["d"] >> 15
-        y["u"], y["w"], y["p"] = self.h[x["u"]], self.h[x["w"]] >> np.uint64(32), self.p[x["w"]]
-        return y
-
-    def find(self, u: np.ndarray) -> np.ndarray:
-        """Numbers of contexts, -1 of those that are not in the book."""
-        if not len(self.h):
-            return np.full(len(u), -1)
-        k = np.minimum(np.searchsorted(self.h, u), len(self.h) - 1)
-        return np.where(self.h[k] == u, k, -1)
-
-    def predict(self, u: np.ndarray, c: np.ndarray, p: np.ndarray, seed: int) -> np.ndarray:
-        """Averaged predictive probabilities of dishes of contexts u with c
-        customers, p being the parent's."""
-        rng, total = np.random.default_rng([seed, len(u)]), np.zeros(len(u))
-        for tables in self.tables:
-            a = (THETA_CONTEXT + D_CONTEXT * tables[u]) * p
-            total += (np.maximum(c - D_CONTEXT * seat(c, a, D_CONTEXT, rng), 0) + a) / (THETA_CONTEXT + self.c[u])
-        return total / len(self.tables)
-
-
-def place(u: np.ndarray, w: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """What tokens are dealt by: the context, with the word if it is hot."""
-    x = (u ^ (w.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
-    return np.where(hot, x >> np.uint64(16), u)
-
-
-def dishes(u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs (u << 32 | w), the first of each and each one's pair."""
-    return np.unique((u.astype(np.uint64) << np.uint64(32)) | w.astype(np.uint64), return_index=True, return_inverse=True)
-
-
-#: A token whose word is not in the book: its text in the block, whether that
-#: trains, the word, and the word before it.
-ASK = np.dtype([("d", "<u2"), ("f", "u1"), ("w", "<u8"), ("u", "<u8")])
-#: A token in its context: text, whether it trains, context, word, and the word
-#: restaurant's log10 probability.
-SIT = np.dtype([("d", "<u2"), ("f", "u1"), ("u", "<u8"), ("w", "<u4"), ("p", "<f4")])
-#: A token in its context, both in the book: text and, as the highest bit, whether
-#: it trains; the context's and the word's number.
-HIT = np.dtype([("d", "<u2"), ("u", "<u4"), ("w", "<u4")])
-#: Training tokens of a block: numbers of context and word.
-TALLY = np.dtype([("u", "<u4"), ("w", "<u4"), ("c", "<u4")])
-#: What a text's tokens add up to.
-SUM = np.dtype([("d", "<u2"), ("known", "<i8"), ("base", "<f8"), ("model", "<f8")])
-DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("held", "u1"), ("n", "<i8")])
-_OUT = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
-_DDL = "key long, block long, kind int, data binary"
-_SUMS, _DOCS, _SITS, _ASKS, _TALLIES, _HITS = 0, 1, 2, 3, 4, 5
-
-
-def _rows(rows):
-    cols = list(zip(*rows)) if rows else [[]] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _OUT)], schema=_OUT)
-
-
-def _dealt(x: np.ndarray, by: np.ndarray, buckets: int, block: int, kind: int):
-    """Tokens of a block by bucket of a hash."""
-    k = (by % np.uint64(buckets)).astype(np.int64)
-    o = np.argsort(k, kind="stable")
-    cuts = np.flatnonzero(np.r_[True, k[o][1:] != k[o][:-1], True]) if len(k) else [0]
-    return [(int(k[o[a]]), block, kind, x[o[a:z]].tobytes()) for a, z in zip(cuts[:-1], cuts[1:])]
-
-
-def _added(d: np.ndarray, size: int, known, base, model) -> np.ndarray:
-    """Sums by text, of the texts that occur."""
-    at = np.flatnonzero(np.bincount(d, minlength=size))
-    out = np.zeros(len(at), SUM)
-    out["d"] = at
-    for c, v in (("known", known), ("base", base), ("model", model)):
-        out[c] = np.bincount(d, v, size)[at]
-    return out
-
-
-def _emit(sent, buckets: int, what: int, hot=None):
-    """Blocks of texts, by what is wanted: the texts, what their frequent words add
-    up to and the tokens to ask about, the frequent words' counts in hot
-    contexts, or the frequent words as tokens. All are scans with no union before
-    them, so that blocks are numbered alike: they read the same splits in order."""
 
+def _blocks(sent, buckets: int):
     def run(batches):
-        book = sent.value
+        book, n_train, v = sent.value
+        at, end = book.at, book.at.get(b"", rare_code(b""))
+        base = np.log10((book.c + 0.1) / (n_train + 0.1 * (v + 1))) if n_train else np.zeros(len(book.c))
         part, block = TaskContext.get().partitionId(), 0
-        end = book.at.get(b"", -1)
-        end_h = np.uint64(xxhash.xxh3_64_intdigest(b""))
 
-        def flush(docs, words, sizes):
+        def flush(docs, codes, sizes):
             nonlocal block
-            me = (part << 30) + block
+            me = (part << 32) + block
             block += 1
-            ix = np.fromiter(map(book.at.get, words, repeat(-1)), np.int64, len(words))
-            rare = ix < 0
-            h = np.empty(len(ix), np.uint64)
-            h[~rare] = book.h[ix[~rare]]
-            at = np.flatnonzero(rare)
-            h[at] = np.fromiter((xxhash.xxh3_64_intdigest(words[k]) for k in at.tolist()), np.uint64, len(at))
-            first = np.r_[0, np.cumsum(sizes)[:-1]].astype(np.int64)
-            u, before = np.r_[end_h, h[:-1]], np.r_[end, ix[:-1]]
-            u[first], before[first] = end_h, end
-            d = np.repeat(np.arange(len(sizes)), sizes)
-            f = np.array([x[2] for x in docs], bool)[d]
-            if what == _TALLIES:
-                m = ~rare & (before >= 0) & f
-                k, w = before[m], ix[m]
-                _, one, of = dishes(k, w)
-                x = np.zeros(len(one), TALLY)
-                x["u"], x["w"], x["c"] = k[one], w[one], np.bincount(of, minlength=len(one))
-                return _rows(_dealt(x, place(u[m][one], h[m][one] >> np.uint64(32), np.ones(len(x), bool)), buckets, me, _TALLIES))
-            if what == _SITS:
-                w, pairs, rows = (h >> np.uint64(32)).astype(np.uint32), hot.value.pairs, []
-                m = ~rare
-                if len(pairs):
-                    asked = (np.maximum(before, 0).astype(np.uint64) << np.uint64(32)) | w
-                    k = np.minimum(np.searchsorted(pairs, asked), len(pairs) - 1)
-                    told = m & (before >= 0) & (pairs[k] == asked)
-                    m &= ~told
-                    none = np.zeros(told.sum())
-                    rows = [(me, me, _SUMS, _added(d[told], len(sizes), none, none, hot.value.lp[k[told]]).tobytes())]
-                both, one = m & (before >= 0), m & (before < 0)
-                y = np.zeros(both.sum(), HIT)
-                y["d"], y["u"], y["w"] = d[both] | (f[both].astype(np.int64) << 15), before[both], ix[both]
-                x = np.zeros(one.sum(), SIT)
-                x["d"], x["f"], x["u"], x["w"], x["p"] = d[one], f[one], u[one], w[one], book.lp[ix[one]]
-                rows += _dealt(y, place(u[both], w[both], np.ones(len(y), bool)), buckets, me, _HITS)
-                return _rows(rows + _dealt(x, x["u"], buckets, me, _SITS))
-            x = np.zeros(len(at), ASK)
-            x["d"], x["f"], x["w"], x["u"] = d[at], f[at], h[at], u[at]
-            own = ix[~rare]
-            told = np.zeros(len(docs), DOC)
-            told["id"] = [x[0] or 0 for x in docs]
-            told["null"] = [x[0] is None for x in docs]
-            told["held"] = [bool(x[1]) for x in docs]
-            told["n"] = sizes
-            sums = _added(d[~rare], len(docs), book.known[own], book.base[own], np.zeros(len(own)))
-            return _rows(_dealt(x, x["w"], buckets, me, _ASKS) + [(me, me, _DOCS, told.tobytes()), (me, me, _SUMS, sums.tobytes())])
-
-        docs, words, sizes = [], [], []
+            code = np.concatenate(codes)
+            size = np.array(sizes)
+            first = np.r_[0, np.cumsum(size)[:-1]]
+            own, local = np.unique(code, return_inverse=True)
+            before = np.r_[0, local[:-1]]
+            before[first] = np.searchsorted(own, end)
+            trains = np.repeat(np.array([x[2] for x in docs], bool), size)
+            pair, of = np.unique(before * len(own) + local, return_inverse=True)
+            c = np.bincount(of, trains, len(pair)).astype(np.uint32)
+            u, w = own[pair // len(own)], own[pair % len(own)]
+            key, kind = (place(u, w) % np.uint64(buckets)).astype(np.int64), np.where((u >= 0) & (w >= 0), BOTH, ANY)
+            o = np.lexsort((w, u, kind, key))
+            number = np.empty(len(o), np.uint32)
+            number[o] = np.arange(len(o))
+            u, w, key, kind, c = u[o], w[o], key[o], kind[o], c[o]
+            doc = np.zeros(len(docs), DOC)
+            doc["id"], doc["null"], doc["held"], doc["n"] = [x[0] or 0 for x in docs], [x[0] is None for x in docs], [bool(x[1]) for x in docs], size
+            m = code >= 0
+            d = np.repeat(np.arange(len(size)), size)[m]
+            doc["known"] = np.bincount(d, book.c[code[m]] > 0, len(size))
+            doc["base"] = np.bincount(d, base[code[m]], len(size))
+            yield (me, me, TEXTS, squeeze(doc), squeeze(number[of]), b"")
+            cuts = np.flatnonzero(np.r_[True, (np.diff(key) != 0) | (np.diff(kind) != 0), True])
+            for x, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if kind[x] == BOTH:
+                    a, b = squeeze(np.diff((u[x:z].astype(np.uint64) << np.uint64(20)) | w[x:z].astype(np.uint64), prepend=np.uint64(0))), b""
+                else:
+                    a, b = squeeze(np.diff(u[x:z], prepend=0)), squeeze(w[x:z])
+                yield (int(key[x]), me, int(kind[x]), a, b, squeeze(c[x:z]))
+
+        docs, codes, sizes, held = [], [], [], 0
         for b in batches:
-            for d, t, held, trains in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist()):
-                w = lower_words(t.as_py())
-                w.append(b"")
-                docs.append((d, held, trains))
-                words += w
-                sizes.append(len(w))
-                if len(words) >= BLOCK_TOKENS or len(docs) >= BLOCK_DOCS:
-                    yield flush(docs, words, sizes)
-                    docs, words, sizes = [], [], []
+            for d, t, is_held, trains in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist()):
+                words = lower_words(t.as_py())
+                words.append(b"")
+                code = np.fromiter(map(at.get, words, repeat(1 << 40)), np.int64, len(words))
+                rare = np.flatnonzero(code == 1 << 40)
+                if len(rare):
+                    code[rare] = [rare_code(words[k]) for k in rare.tolist()]
+                docs.append((d, is_held, trains))
+                codes.append(code)
+                sizes.append(len(code))
+                held += len(code)
+                if held >= BLOCK_TOKENS:
+                    yield _rows(list(flush(docs, codes, sizes)))
+                    docs, codes, sizes, held = [], [], [], 0
         if docs:
-            yield flush(docs, words, sizes)
-
-    return run
-
-
-def _blobs(table, kind: np.dtype):
-    """(block, tokens) of the rows of a group."""
-    for b, raw in zip(table.column("block").to_pylist(), table.column("data")):
-        yield b, np.frombuffer(raw.as_buffer(), kind)
-
-
-def _answer(hot, buckets: int):
-    """Asked words meet their part of the vocabulary: sums go back to the blocks,
-    tokens on to their contexts."""
-
-    def run(key, words, asked):
-        h = words.column("h").to_numpy().view(np.uint64)
-        o = np.argsort(h)
-        h = h[o]
-        base, lp, known = (words.column(c).to_numpy()[o] for c in ("base1", "model1", "known1"))
-        rows = []
-        for block, x in _blobs(asked, ASK):
-            k = np.searchsorted(h, x["w"])  # every asked word is there
-            s = _added(x["d"].astype(np.int64), int(x["d"].max()) + 1, known[k], base[k], np.zeros(len(k)))
-            rows.append((block, block, _SUMS, s.tobytes()))
-            y = np.zeros(len(x), SIT)
-            y["d"], y["f"], y["u"], y["w"], y["p"] = x["d"], x["f"], x["u"], x["w"] >> np.uint64(32), lp[k]
-            rows += _dealt(y, place(y["u"], y["w"], hot.value.find(y["u"]) >= 0), buckets, block, _SITS)
-        return pa.Table.from_batches([_rows(rows)])
-
-    return run
-
-
-def sit(u: np.ndarray, w: np.ndarray, trains: np.ndarray, p: np.ndarray, seed: int = 5) -> np.ndarray:
-    """Averaged predictive probabilities of words w in context restaurants u,
-    whose customers are the training tokens; p is the parent's probability."""
-    o = np.lexsort((w, u))
-    us, ws, ts, ps = u[o], w[o], trains[o].astype(np.int64), p[o]
-    new_u = np.r_[True, us[1:] != us[:-1]]
-    new = new_u | np.r_[True, ws[1:] != ws[:-1]]
-    dish, first = np.cumsum(new) - 1, np.flatnonzero(new)
-    room = (np.cumsum(new_u) - 1)[first]
-    c = np.bincount(dish, ts).astype(np.int64)
-    cu = np.bincount(room, c)
-    tables = np.bincount(room, c > 0)
-    rng = np.random.default_rng([seed, int(us[0] >> np.uint64(32)), len(us)])
-    total = np.zeros(len(c))
-    for n in range(BURN_IN + SAMPLES):
-        t = seat(c, (THETA_CONTEXT + D_CONTEXT * tables[room]) * ps[first], D_CONTEXT, rng)
-        tables = np.bincount(room, t)
-        if n >= BURN_IN:
-            total += (np.maximum(c - D_CONTEXT * t, 0) + (THETA_CONTEXT + D_CONTEXT * tables[room]) * ps[first]) / (THETA_CONTEXT + cu[room])
-    out = np.empty(len(u))
-    out[o] = (total / SAMPLES)[dish]
-    return out
-
-
-def _pairs(hot):
-    """Training tokens of hot contexts, summed by context and word."""
-
-    def run(key, one, other):
-        u, w, p, c = [], [], [], []
-        for _, x in _blobs(other, TALLY):
-            u.append(x["u"])
-            w.append((hot.value.h[x["w"]] >> np.uint64(32)).astype(np.uint32))
-            p.append(hot.value.p[x["w"]])
-            c.append(x["c"])
-        for _, x in _blobs(one, SIT):
-            k = hot.value.find(x["u"])
-            m = (k >= 0) & (x["f"] > 0)
-            u.append(k[m].astype(np.uint32))
-            w.append(x["w"][m])
-            p.append(x["p"][m])
-            c.append(np.ones(m.sum(), np.uint32))
-        u, w, p, c = map(np.concatenate, (u, w, p, c))
-        _, first, of = dishes(u, w)
-        c = np.bincount(of, c, len(first)).astype(np.int64)
-        return pa.table({"u": pa.array(u[first].astype(np.int32)), "w": pa.array(w[first].astype(np.int64)), "p": pa.array(p[first]), "c": pa.array(c)})
+            yield _rows(list(flush(docs, codes, sizes)))
 
     return run
 
 
-def _retable(tables, n: int):
-    """Each hot context's number of tables after a sweep; before the first one
-    every dish has one table."""
+def _asked(table: pa.Table, kind: int):
+    """(block, u, w, training counts) of a bucket's rows of a kind."""
+    for block, k, a, b, c in zip(*(table.column(x).to_pylist() for x in ("block", "kind", "a", "b", "c"))):
+        if k == kind:
+            if kind == BOTH:
+                x = np.cumsum(expand(a, np.uint64))
+                u, w = (x >> np.uint64(20)).astype(np.int64), (x & np.uint64((1 << 20) - 1)).astype(np.int64)
+            else:
+                u, w = np.cumsum(expand(a, np.int64)), expand(b, np.int64)
+            yield block, u, w, expand(c, np.uint32).astype(np.int64)
+
+
+def _summed(blobs, kind: int):
+    """Distinct pairs u, w of (block, u, w, c), their counts, and each blob's
+    numbers of them."""
+    u, w, c = (np.concatenate([b[k] for b in blobs]) for k in (1, 2, 3))
+    if kind == BOTH:
+        key, of = np.unique((u << 20) | w, return_inverse=True)
+        u, w = key >> 20, key & ((1 << 20) - 1)
+    else:
+        o = np.lexsort((w, u))
+        new = np.r_[True, (np.diff(u[o]) != 0) | (np.diff(w[o]) != 0)]
+        of = np.empty(len(o), np.int64)
+        of[o] = np.cumsum(new) - 1
+        u, w = u[o][new], w[o][new]
+    c = np.bincount(of, c, len(u)).astype(np.int64)
+    return u, w, c, np.split(of, np.cumsum([len(b[1]) for b in blobs])[:-1])
+
+
+#: What buckets tell: pairs seen twice or more, the numbers of pairs seen once by
+#: context and by word, and the words outside the book.
+MULTI, ONCE_U, ONCE_W, WANTED = 0, 1, 2, 3
+
+
+def _pairs(key, table):
+    out = []
+    add = lambda kind, u, w, c: out.append((np.full(len(c), kind, np.int32), np.full(len(c), key[0].as_py()), u, w, c))
+    for kind in (BOTH, ANY):
+        if blobs := list(_asked(table, kind)):
+            u, w, c, _ = _summed(blobs, kind)
+            m, one = c > 1, c == 1
+            add(MULTI, u[m], w[m], c[m])
+            for told, x in ((ONCE_U, u[one]), (ONCE_W, w[one])):
+                x, n = np.unique(x, return_counts=True)
+                add(told, x, x, n.astype(np.int64))
+            if kind == ANY:
+                x = np.unique(w[w < 0])
+                add(WANTED, x, x, np.zeros(len(x), np.int64))
+    cols = [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, np.int32)] + [np.empty(0, np.int64)] * 4
+    return pa.table(dict(zip(("kind", "key", "u", "w", "c"), cols)))
+
+
+def _seat_pairs(sent, sample: int):
+    """Draws the tables of every pair seen twice or more; those of a sample are
+    kept in its column."""
 
     def run(batches):
-        total = np.zeros(len(tables.value))
-        for no, b in enumerate(batches):
-            u, p, c = b.column(0).to_numpy(), 10.0 ** b.column(2).to_numpy().astype(float), b.column(3).to_numpy()
+        book, d, tables, lp, n = sent.value
+        for b in batches:
+            key, u, w, c, tu, lw = (b.column(k).to_numpy(zero_copy_only=False) for k in range(6))
             if not len(u):
                 continue
-            rng = np.random.default_rng([n, int(u[0]), int(b.column(1)[0].as_py()), no])
-            t = seat(c, (THETA_CONTEXT + D_CONTEXT * tables.value[u]) * p, D_CONTEXT, rng) if n else np.ones(len(u))
-            total += np.bincount(u, t, len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["u", "t"])
+            at = lambda x, k: x[np.maximum(k, 0)] if len(x) else np.zeros(len(k))
+            total = np.where(u >= 0, at(tables, u), tu)
+            p = np.exp(np.where(w >= 0, at(lp, w), lw))
+            t = seat(c, (THETA_CONTEXT + d * total) * p, d, mixed(mixed(book.ident(u) + np.uint64(n)) ^ book.ident(w)))
+            kept = [b.column(6 + k) if k != sample else pa.array(t) for k in range(SAMPLES)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(3), pa.array(t), *kept], ["key", "u", "w", "c", "t", *_TS])
 
     return run
 
 
-def seat_hot(pairs: DataFrame, hot: Hot) -> Hot:
-    """hot with sampled seatings and its most frequent pairs."""
-    spark, tables = pairs.sparkSession, np.zeros(len(hot.h))
-    for n in range(1 + BURN_IN + SAMPLES):
-        sent = spark.sparkContext.broadcast(tables)
-        got = pairs.mapInArrow(_retable(sent, n), "u int, t double").groupBy("u").agg(F.sum("t").alias("t")).toArrow()  # a row for each word of the book at most
-        tables = np.zeros(len(hot.h))
-        tables[got.column("u").to_numpy()] = got.column("t").to_numpy()
-        if n > BURN_IN:
-            hot.tables.append(tables)
-    least, total = 63, 0
-    for r in pairs.groupBy(F.floor(F.log2("c")).cast("int").alias("s")).agg(F.count(F.lit(1)).alias("v")).orderBy(F.desc("s")).collect():
-        total += r["v"]
-        if total > PAIRS:
-            break
-        least = r["s"]
-    got = pairs.where(F.col("c") >= F.lit(2).cast("double") ** least).toArrow()  # PAIRS rows at most
-    u, w, p, c = (got.column(k).to_numpy() for k in ("u", "w", "p", "c"))
-    hot.pairs, first, _ = dishes(u, w)
-    hot.lp = np.log10(np.maximum(hot.predict(u[first], c[first], 10.0 ** p[first].astype(float), 11), 1e-300)).astype(np.float32)
-    return hot
-
-
-def _contexts(hot):
-    """All tokens of rare contexts, each of which is a restaurant, and of some
-    dishes of hot ones; sums of looked-up pairs go on as they are."""
-
-    def run(key, one, other):
-        kind = other.column("kind").to_numpy()
-        of = lambda k: other.filter(pa.array(kind == k))
-        rows = [tuple(r.values()) for r in of(_SUMS).select(_OUT.names).to_pylist()]
-        blobs = [*_blobs(one, SIT), *_blobs(of(_SITS), SIT), *((b, hot.value.sits(x)) for b, x in _blobs(of(_HITS), HIT))]
-        if not blobs:
-            return pa.Table.from_batches([_rows(rows)])
-        x = np.concatenate([b for _, b in blobs])
-        p, k = 10.0 ** x["p"].astype(float), hot.value.find(x["u"])
-        out, m = np.empty(len(x)), k < 0
-        if m.any():
-            out[m] = sit(x["u"][m], x["w"][m], x["f"][m], p[m])
-        if not m.all():
-            _, first, of = dishes(k[~m], x["w"][~m])
-            c = np.bincount(of, x["f"][~m]).astype(np.int64)
-            out[~m] = hot.value.predict(k[~m][first], c, p[~m][first], 13)[of]
-        lp = np.log10(np.maximum(out, 1e-300))
-        at = 0
-        for block, b in blobs:
-            d, v = b["d"].astype(np.int64), lp[at : at + len(b)]
-            at += len(b)
-            none = np.zeros(len(d))
-            rows.append((block, block, _SUMS, _added(d, int(d.max()) + 1, none, none, v).tobytes()))
-        return pa.Table.from_batches([_rows(rows)])
+_TS = [f"t{k}" for k in range(SAMPLES)]
+_XS = [f"x{k}" for k in range(SAMPLES)]
+_TOLD = pa.schema([("block", pa.int64()), ("key", pa.int64()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
+
+
+def predict(c, t, total, customers, lp, d) -> np.ndarray:
+    """log10 of the averaged predictive probability; t, total and lp have a row
+    for each sample, lp being the word restaurant's natural log."""
+    own = np.maximum(c - d * t, 0.0).sum(0)
+    top = lp.max(0)
+    rest = top + np.log(((THETA_CONTEXT + d * total) * np.exp(lp - top)).sum(0))
+    with np.errstate(divide="ignore"):
+        return (np.logaddexp(np.log(own), rest) - np.log(len(t) * (THETA_CONTEXT + customers))) / np.log(10)
+
+
+def _answer(sent):
+    """Log probabilities of a bucket's pairs, block by block, and the training
+    counts of words outside the book, plus one."""
+
+    def run(key, table, told):
+        book, d, tables, lp = sent.value
+        what, tu, tw, n = (told.column(c).to_numpy() for c in ("kind", "u", "w", "n"))
+        xs = np.array([told.column(c).to_numpy() for c in _XS])
+        m = what == MULTI
+        mu, mw, mt = tu[m], tw[m], xs[:, m]
+        o = np.lexsort((mw, mu))
+        mu, mw, mt = mu[o], mw[o], mt[:, o]
+        m = what == WANTED
+        o = np.argsort(tw[m])
+        word, word_n, word_lp = tw[m][o], n[m][o], xs[:, m][:, o]
+        out = []
+        for kind in (BOTH, ANY):
+            blobs = list(_asked(table, kind))
+            if not blobs:
+                continue
+            u, w, c, of = _summed(blobs, kind)
+            t = np.tile(np.minimum(c, 1.0), (SAMPLES, 1))
+            # both are in order of context and word, and every pair seen twice is there
+            mine = ((mu >= 0) & (mw >= 0)) == (kind == BOTH)
+            t[:, c > 1] = mt[:, mine]
+            if kind == BOTH:
+                total, customers, q = tables[:, u], book.c[u], lp[:, w]
+                known = None
+            else:
+                first = np.flatnonzero(np.r_[True, np.diff(u) != 0])
+                size = np.diff(np.r_[first, len(u)])
+                total, customers = np.repeat(np.add.reduceat(t, first, axis=1), size, axis=1), np.repeat(np.add.reduceat(c, first), size)
+                k = u >= 0
+                total[:, k], customers[k] = tables[:, u[k]], book.c[u[k]]
+                q, known = np.empty(t.shape), np.zeros(len(w), np.uint32)
+                k = w >= 0
+                q[:, k] = lp[:, w[k]]
+                at = np.searchsorted(word, w[~k])
+                q[:, ~k], known[~k] = word_lp[:, at], word_n[at] + 1
+            p = predict(c, t, total, customers, q, d).astype(np.float32)
+            for b, k in zip(blobs, of):
+                out.append((b[0], key[0].as_py(), kind, squeeze(p[k]), b"" if known is None else squeeze(known[k])))
+        return pa.Table.from_batches([_rows(out, _TOLD)])
 
     return run
 
 
-def _finish(n: int):
-    """A block's sums, one row for each text."""
+def _finish(n: int, v: int):
+    """A block's texts, each with the sums of its tokens."""
 
-    def run(key, table):
-        docs = None
-        sums = []
-        for kind, raw in zip(table.column("kind").to_pylist(), table.column("data")):
-            if kind == _DOCS:
-                docs = np.frombuffer(raw.as_buffer(), DOC)
-            else:
-                sums.append(np.frombuffer(raw.as_buffer(), SUM))
-        s = np.concatenate(sums)
-        d = s["d"].astype(np.int64)
-        add = lambda c: np.bincount(d, s[c], len(docs))
-        null = docs["null"] > 0
+    def run(key, texts, told):
+        doc, number = expand(texts.column("a")[0].as_py(), DOC), expand(texts.column("b")[0].as_py(), np.uint32)
+        rows = sorted(zip(*(told.column(c).to_pylist() for c in ("key", "kind", "a", "b"))), key=lambda r: r[:2])
+        p = np.concatenate([expand(r[2], np.float32) for r in rows]).astype(float)
+        c = np.concatenate([expand(r[3], np.uint32).astype(np.int64) if r[1] == ANY else np.zeros(len(expand(r[2], np.float32)), np.int64) for r in rows])
+        base = np.where(c > 0, np.log10((np.maximum(c, 1) - 0.9) / (n + 0.1 * (v + 1))), 0.0) if n else np.zeros(len(c))
+        of = np.repeat(np.arange(len(doc)), doc["n"])
+        add = lambda x: np.bincount(of, x[number], len(doc))
+        null = doc["null"] > 0
         return pa.table({
-            "doc_id": pa.array(docs["id"], pa.int64(), mask=null), "held_out": pa.array(docs["held"] > 0, pa.bool_(), mask=null),
-            "n_tokens": pa.array(docs["n"], pa.int64()), "n_known": pa.array(np.rint(add("known")).astype(np.int64)),
-            "train_tokens": pa.array(np.full(len(docs), n, np.int64)),
-            "base_score": pa.array(add("base"), pa.float64(), mask=np.full(len(docs), n == 0)), "score": pa.array(add("model"), pa.float64()),
+            "doc_id": pa.array(doc["id"], pa.int64(), mask=null), "held_out": pa.array(doc["held"] > 0, pa.bool_(), mask=null),
+            "n_tokens": pa.array(doc["n"], pa.int64()), "n_known": pa.array(doc["known"] + np.rint(add(c > 1)).astype(np.int64)),
+            "train_tokens": pa.array(np.full(len(doc), n, np.int64)),
+            "base_score": pa.array(doc["base"] + add(base), pa.float64(), mask=np.full(len(doc), n == 0)), "score": pa.array(add(p), pa.float64()),
         })
 
     return run
@@ -645,52 +569,123 @@ def _cleared(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+class Model:
+    """The seating of contexts and words: a table of pairs seen twice or more, a
+    table of the vocabulary, arrays for the book."""
+
+    def __init__(self, spark, book: Book, words: DataFrame, told: DataFrame):
+        self.spark, self.book = spark, book
+        kind = lambda k: told.where(F.col("kind") == k)
+        zeros = [F.lit(0).cast("long").alias(c) for c in _TS]
+        self.multi = saved(kind(MULTI).select("key", "u", "w", "c", F.lit(1).cast("long").alias("t"), *zeros), "pairs")
+        self.once = saved(kind(ONCE_U).groupBy("u").agg(F.sum("c").alias("n")), "contexts")
+        once_w = kind(ONCE_W).groupBy("w").agg(F.sum("c").alias("n"))
+        self.words = saved(words.join(once_w.withColumnRenamed("w", "code"), "code", "left").select("word", "code", "c_train", F.coalesce("n", F.lit(0)).alias("n")), "words")
+        self.once_book = self.array(self.once.where("u >= 0"), "u", "n")
+        n1, n2 = self.once.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], self.multi.where("c = 2").count()
+        self.d = discount(n1, n2)
+        ones = self.customers().agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") == 1).alias("one"), F.count_if(F.col("c") == 2).alias("two")).first()
+        self.d_word = discount(ones["one"], ones["two"])
+        self.letters, self.letter_tables, self.tables = Letters(), {}, 0.0
+        self.book_tables, self.rare_tables = self.contexts()
+        self.samples = []  # of the book: tables and log probabilities
+        self.rare = []     # of other words: log probabilities
+
+    def array(self, rows: DataFrame, at: str, value: str) -> np.ndarray:
+        """By place in the book; FREQUENT rows at most."""
+        got, out = rows.select(at, value).toArrow(), np.zeros(len(self.book.h))
+        out[got.column(0).to_numpy()] = got.column(1).to_numpy()
+        return out
+
+    def customers(self) -> DataFrame:
+        """The word restaurant's customers: tables of the contexts by word."""
+        t = self.multi.groupBy("w").agg(F.sum("t").alias("t")).withColumnRenamed("w", "code")
+        return self.words.join(t, "code", "left").select("word", "code", (F.col("n") + F.coalesce("t", F.lit(0))).alias("c"))
+
+    def contexts(self) -> tuple[np.ndarray, DataFrame]:
+        """Tables by context: of the book, and of others with pairs seen twice."""
+        t = self.multi.groupBy("u").agg(F.sum("t").alias("t"))
+        rare = t.where("u < 0").join(self.once, "u", "left").select("u", (F.col("t") + F.coalesce("n", F.lit(0))).cast("double").alias("tu"))
+        return self.once_book + self.array(t.where("u >= 0"), "u", "t"), saved(rare, "tables")
+
+    def sweep(self, n: int) -> None:
+        sc = self.spark.sparkContext
+        sent = sc.broadcast((self.book, self.letters, self.d_word, self.tables, n))
+        seated = saved(self.customers().mapInArrow(_seat_words(sent), "kind int, k long, x double, y double"), "seated", by="kind")
+        got = seated.where("kind = 1").groupBy("k").agg(F.sum("x").alias("x")).toArrow()  # CELLS + 1 sums at most
+        k, c = got.column("k").to_numpy(), np.rint(got.column("x").to_numpy()).astype(np.int64)
+        o = np.argsort(k)
+        k, c = k[o], c[o]
+        self.tables, left = float(c[k == CELLS].sum()), float(seated.where("kind = 0").agg(F.coalesce(F.sum("x"), F.lit(0.0))).first()[0])
+        # all customers are those that stay plus a discount a table
+        size, weight = THETA_WORD + left + self.d_word * self.tables, THETA_WORD + self.d_word * self.tables
+        lp = F.when(F.col("x") > 0, F.log(F.col("x") + weight * F.exp("y"))).otherwise(F.lit(float(np.log(weight))) + F.col("y")) - F.lit(float(np.log(size)))
+        words = seated.where("kind = 0").select(F.col("k").alias("w"), lp.cast("float").cast("double").alias("lp"))
+        own = self.array(words.where("w >= 0"), "w", "lp")
+        if (inside := k < CELLS).any():
+            self.letters, self.letter_tables = sweep_letters(k[inside].astype(np.uint32), c[inside], self.letters, self.letter_tables, n)
+        both = self.multi.where("u >= 0 AND w >= 0")
+        other = self.multi.where("u < 0 OR w < 0").join(self.rare_tables, "u", "left").join(words.where("w < 0"), "w", "left")
+        cols = ["key", "u", "w", "c", "tu", "lp", *_TS]
+        nothing = F.lit(0.0).alias
+        rows = both.select("key", "u", "w", "c", nothing("tu"), nothing("lp"), *_TS).unionByName(other.fillna(0.0, ["tu", "lp"]).select(*cols))
+        sent = sc.broadcast((self.book, self.d, self.book_tables, own, n))
+        ddl = ", ".join(f"{c} long" for c in ("key", "u", "w", "c", "t", *_TS))
+        before, old = self.multi, self.rare_tables
+        self.multi = saved(rows.mapInArrow(_seat_pairs(sent, n - BURN_IN), ddl), "pairs")
+        self.book_tables, self.rare_tables = self.contexts()
+        forget(before, old)
+        if n >= BURN_IN:
+            self.samples.append((self.book_tables, own))
+            self.rare.append(saved(words.where("w < 0"), "rare"))
+        forget(seated)
+        _cleared(self.spark)
+
+
 def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     held = crc_mod(F.col("doc_id"), folds) == held_out
     counted = docs.select("text", F.coalesce(~held, F.lit(False)).alias("trains")).mapInArrow(_count, "word binary, c_train long, c_all long")
     vocabulary = saved(counted.groupBy("word").agg(F.sum("c_train").alias("c_train"), F.sum("c_all").alias("c_all")), "vocabulary")
-    stats = vocabulary.agg(
-        F.coalesce(F.sum("c_train"), F.lit(0)).alias("n"), F.count_if(F.col("c_train") > 0).alias("v"),
-        F.count_if(F.col("c_train") == 1).alias("n1"), F.count_if(F.col("c_train") == 2).alias("n2"),
-    ).first()
+    stats = vocabulary.agg(F.coalesce(F.sum("c_train"), F.lit(0)).alias("n"), F.count_if(F.col("c_train") > 0).alias("v")).first()
     n, v = int(stats["n"]), int(stats["v"])
-    d = float(np.clip(stats["n1"] / (stats["n1"] + 2 * stats["n2"]) if stats["n1"] else 0.5, 0.05, 0.95))
-    sent = spark.sparkContext.broadcast((sample(vocabulary, d), d, n, v))
-    base = F.log10((F.col("c_train") + 0.1) / (F.lit(float(n)) + 0.1 * (v + 1))) if n else F.lit(0.0)
-    known = vocabulary.select("word", "c_train", "c_all").mapInArrow(_word_scores(sent), "word binary, h long, c_train long, c_all long, lp double")
-    known = saved(known.select("word", "h", "c_all", "c_train", base.alias("base1"), F.col("lp").alias("model1"), (F.col("c_train") > 0).cast("long").alias("known1")), "words")
-    # Words and tokens by the power of two of their count: 64 rows at most.
-    size = F.floor(F.log2("c_all")).cast("int").alias("s")
-    kinds = vocabulary.groupBy(size).agg(F.count(F.lit(1)).alias("v"), F.sum("c_all").alias("n")).orderBy("s").collect()
-    tokens = sum(r["n"] for r in kinds)
-    # The book holds the words from the least power on that keeps it in bounds.
-    total, frequent = 0, 63
+    # Words and tokens by the power of two of their count: 64 rows at most. The
+    # book holds the words from the least power on that keeps it in bounds.
+    kinds = vocabulary.groupBy(F.floor(F.log2("c_all")).cast("int").alias("s")).agg(F.count(F.lit(1)).alias("v"), F.sum("c_all").alias("n")).orderBy("s").collect()
+    total, least = 0, 63
     for r in reversed(kinds):
         total += r["v"]
         if total > FREQUENT:
             break
-        frequent = r["s"]
-    rare = F.col("c_all") < F.lit(2).cast("double") ** frequent
-    got = known.where(~rare).select("word", "h", "base1", "model1", "known1", "c_train").collect()  # FREQUENT rows at most
-    told = Book(got)
-    book, hot = spark.sparkContext.broadcast(told), Hot(told.h, told.lp.astype(np.float32), told.c_train)
-    named = spark.sparkContext.broadcast(hot)
-    buckets = 64 + tokens // BUCKET_TOKENS
+        least = r["s"]
+    got = vocabulary.where(F.col("c_all") >= F.lit(2).cast("double") ** least).select("word", "c_train").collect()  # FREQUENT rows at most
+    book = Book(got)
+    sent = spark.sparkContext.broadcast(book)
+    words = saved(vocabulary.select("word", "c_train").mapInArrow(_coded(sent), "word binary, code long, c_train long"), "coded")
+    forget(vocabulary)
+    _cleared(spark)
+    buckets = 32 + sum(r["n"] for r in kinds) // BUCKET_TOKENS
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held_out"), F.coalesce(~held, F.lit(False)).alias("trains"))
-    first = saved(rows.mapInArrow(_emit(book, buckets, _DOCS), _DDL), "texts")
-    asked, told = first.where(F.col("kind") == _ASKS), first.where(F.col("kind") != _ASKS)
-    words = known.where(rare).select(F.expr(f"pmod(cast(h as decimal(20,0)) + if(h < 0, 18446744073709551616BD, 0BD), {buckets})").cast("long").alias("key"), "h", "base1", "model1", "known1")
-    answers = words.groupBy("key").cogroup(asked.groupBy("key")).applyInArrow(_answer(named, buckets), _DDL)
-    answers = saved(answers, "answers")
+    blocks = saved(rows.mapInArrow(_blocks(spark.sparkContext.broadcast((book, n, v)), buckets), _DDL), "blocks", by="kind")
+    asked = blocks.where(F.col("kind") != TEXTS).groupBy("key")
+    told = saved(asked.applyInArrow(_pairs, "kind int, key long, u long, w long, c long"), "told", by="kind")
+    model = Model(spark, book, words, told)
+    forget(words)
     _cleared(spark)
-    asked_sits = answers.where(F.col("kind") == _SITS).groupBy("key")
-    tallies = rows.mapInArrow(_emit(book, buckets, _TALLIES), _DDL)
-    pairs = saved(asked_sits.cogroup(tallies.groupBy("key")).applyInArrow(_pairs(named), "u int, w long, p float, c long"), "pairs")
-    seated = spark.sparkContext.broadcast(seat_hot(pairs, Hot(hot.h, hot.p, hot.c)))
+    for k in range(BURN_IN + SAMPLES):
+        model.sweep(k)
+    tagged = [r.select("w", *[F.col("lp").alias(x) if i == k else F.lit(None).cast("double").alias(x) for i, x in enumerate(_XS)]) for k, r in enumerate(model.rare)]
+    lps = reduce(DataFrame.unionByName, tagged).groupBy("w").agg(*[F.max(x).alias(x) for x in _XS])
+    rare = lps.join(model.words.where("code < 0").select(F.col("code").alias("w"), F.col("c_train").alias("n")), "w")
+    wanted = told.where(F.col("kind") == WANTED).select("key", "w").join(rare, "w")
+    known = model.multi.select("key", F.lit(MULTI).alias("kind"), "u", "w", F.col("c").alias("n"), *[F.col(t).cast("double").alias(x) for t, x in zip(_TS, _XS)]).unionByName(
+        wanted.select("key", F.lit(WANTED).alias("kind"), F.lit(0).cast("long").alias("u"), "w", "n", *_XS)
+    )
+    final = spark.sparkContext.broadcast((book, model.d, np.array([t for t, _ in model.samples]), np.array([p for _, p in model.samples])))
+    answers = asked.cogroup(known.groupBy("key")).applyInArrow(_answer(final), "block long, key long, kind int, a binary, b binary")
+    answers = saved(answers, "answers")
+    forget(told, model.multi, model.words, model.once, model.rare_tables, *model.rare)
     _cleared(spark)
-    sits = rows.mapInArrow(_emit(book, buckets, _SITS, seated), _DDL)
-    scored = asked_sits.cogroup(sits.groupBy("key")).applyInArrow(_contexts(seated), _DDL)
-    parts = told.unionByName(answers.where(F.col("kind") != _SITS)).unionByName(scored)
-    return parts.groupBy("block").applyInArrow(_finish(n), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    texts = blocks.where(F.col("kind") == TEXTS).select("block", "a", "b")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_finish(n, v), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
