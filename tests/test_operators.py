@@ -19,6 +19,26 @@ def test_asof_ties_fallback_and_both_ways(spark):
     assert asof.asof(facts.limit(0), dim, "k", "t", "at", "v", ["v"]).count() == 0
 
 
+def test_asof_forms_agree_on_number_ties_and_missing_times(spark):
+    dim = spark.createDataFrame(
+        [(7, T(2), 9), (7, T(2), 10), (7, None, 11), (8, T(3), 1), (9, None, 5), (6, T(1), None), (6, T(1), 2), (6, T(5), 100), (6, T(5), 20), (None, T(1), 77)],
+        "k int, at timestamp, v int")
+    times = [T(1), T(2), T(4), T(9), None]
+    facts = spark.createDataFrame([(100 * k + n, k, t) for k in (5, 6, 7, 8, 9) for n, t in enumerate(times)] + [(1, None, T(3))], "i int, k int, t timestamp")
+    want = {1: None} | {500 + n: None for n in range(5)} | dict(zip(range(600, 605), (None, None, None, 100, None)))
+    want |= dict(zip(range(700, 705), (9, 10, 10, 10, None))) | {800 + n: 1 for n in range(5)} | {900 + n: 5 for n in range(5)}
+    got = [{r["i"]: r["v"] for r in f(facts, dim, "k", "t", "at", "v", ["v"]).collect()} for f in (asof.asof, asof.merged)]
+    assert got[0] == got[1] == want
+
+
+def test_many_versions_of_a_key_are_merged(spark):
+    at = F.timestamp_seconds(F.col("id") * 60)
+    dim = spark.range(0, 100_000).select(F.lit("a").alias("k"), at.alias("at"), F.col("id").alias("v"))
+    facts = spark.range(0, 100_000, 7).select(F.col("id").alias("i"), F.lit("a").alias("k"), F.timestamp_seconds(F.col("id") * 60 + 30).alias("t"))
+    out = asof.asof(facts, dim, "k", "t", "at", "v", ["v"])
+    assert out.where("v = i").count() == facts.count() == out.count()
+
+
 def test_large_dimension_takes_the_merge(spark, monkeypatch):
     monkeypatch.setattr(asof, "BROADCAST_ROWS", 0)
     dim = spark.createDataFrame([("a", datetime(2026, 1, 1), "v1"), ("a", datetime(2026, 1, 3), "v2")], "k string, at timestamp, v string")
