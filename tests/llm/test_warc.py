@@ -73,3 +73,14 @@ def test_keys():
     assert warc.key_of("https://x.org:8443") == "org,x:8443)/"
     assert warc.key_of("urn:page:4") == "urn:page:4"
     assert warc.sort_id(None) < warc.sort_id(-5) < warc.sort_id(3) < warc.sort_id(20)
+
+
+def test_rows_of_one_id_are_judged_by_their_own_payloads(spark):
+    rows = [(1, "http://a.b/1", "AAA"), (5, "http://a.b/5", "AAA"), (5, "http://a.b/5", "UNIQUE"), (5, "http://a.b/5", "BBB"), (3, "http://a.b/3", "BBB"), (None, None, "AAA"), (7, None, None), (8, None, "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((str(r["page_id"]), r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.capture(pages).collect())
+    d = lambda t: warc.digest(t.encode())
+    assert got == sorted([
+        ("1", d("AAA"), "response", None), ("5", d("AAA"), "revisit", 1), ("5", d("UNIQUE"), "response", None), ("5", d("BBB"), "revisit", 3),
+        ("3", d("BBB"), "response", None), ("None", d("AAA"), "response", None), ("7", d(""), "response", None), ("8", d(""), "revisit", 7),
+    ])

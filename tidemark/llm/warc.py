@@ -13,8 +13,8 @@ referred to, as only the committed tables name files.
 
 Edge cases: null html is an empty payload; a null or odd url is archived under
 ``urn:page:<id>`` or its escaped form; rows that share the smallest page_id of a
-payload are all responses and rows that share url and page_id are each read
-back; a null page_id is archived as a response of its own; an empty table gives
+payload are all responses; of rows that share a page_id each is judged by its own
+payload, and rows that share url and page_id are each read back; a null page_id is archived as a response of its own; an empty table gives
 an empty result; other columns are ignored.
 """
 
@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from .common import saved, shared_dir
 
 BLOCK = 3000
+SHARD_ROWS, READ_ROWS = 500_000, 20_000  # of an index shard; read back by a task
 BROADCAST_ROWS = 500_000
 DIRECTORY_ROWS = 500_000  # directory rows that are sent to the tasks at once
 DATE = "2024-01-01T00:00:00Z"
@@ -93,12 +94,6 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes, bytes]:
     return fields, http, payload
 
 
-def _digests(batches):
-    for b in batches:
-        body = [(t.as_py() or "").encode() for t in b.column(1)]
-        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array([digest(x) for x in body], pa.string())], ["page_id", "digest"])
-
-
 def _archive(folder: str):
     def run(batches):
         fs, root = filesystem(folder)
@@ -129,13 +124,13 @@ def _archive(folder: str):
 
 def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
     """Writes a record per row and returns key, page_id, file, off, size."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    large = rows.select("page_id", "html").where(F.coalesce(F.octet_length("html"), F.lit(0)) >= least)
-    seen = saved(large.mapInArrow(_digests, "page_id long, digest string"), "digests")
-    firsts = seen.where("page_id IS NOT NULL").groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("most")).where("first < most")
-    again = saved(seen.join(firsts, "digest").where("page_id > first").select("page_id", F.col("first").alias("refers_to")).distinct(), "revisits")
+    body = F.coalesce("html", F.lit(""))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.when(F.octet_length(body) >= least, F.sha1(body.cast("binary"))).alias("digest"))
+    seen = saved(rows.where("digest IS NOT NULL AND page_id IS NOT NULL").select("page_id", "digest"), "digests")
+    firsts = seen.groupBy("digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("most")).where("first < most")
+    again = saved(seen.join(firsts, "digest").where("page_id > first").select("page_id", "digest", F.col("first").alias("refers_to")).distinct(), "revisits")
     few = again.count() <= BROADCAST_ROWS
-    told = rows.join(F.broadcast(again) if few else again, "page_id", "left").select("page_id", "url", "html", "refers_to")
+    told = rows.join(F.broadcast(again) if few else again, ["page_id", "digest"], "left").select("page_id", "url", "html", "refers_to")
     filesystem(folder)[0].create_dir(filesystem(folder)[1], recursive=True)
     return saved(told.mapInArrow(_archive(folder), "key string, page_id long, file string, off long, size long"), "records")
 
@@ -177,12 +172,17 @@ def sort_id(i) -> str:
     return "" if i is None else f"{i + (1 << 63):020d}"
 
 
+def _parts(spark, rows: int, each: int) -> int:
+    """Tasks for so many rows; a number that is named is not made smaller."""
+    return max(-(-rows // each), min(rows, 2 * spark.sparkContext.defaultParallelism), 1)
+
+
 def write_index(records: DataFrame, folder: str, block: int = BLOCK) -> DataFrame:
     """Sorts the records' keys into shards of compressed blocks; returns the
     directory: first key and id of each block, its file and byte range."""
     # Binary order of key and id; equal keys spread over several shards.
     keyed = records.select("key", "page_id", "file", "off", "size")
-    ordered = keyed.repartitionByRange("key", "page_id").sortWithinPartitions("key", F.col("page_id").asc_nulls_first(), "file", "off")
+    ordered = keyed.repartitionByRange(_parts(keyed.sparkSession, records.count(), SHARD_ROWS), "key", "page_id").sortWithinPartitions("key", F.col("page_id").asc_nulls_first(), "file", "off")
     return saved(ordered.mapInArrow(_shards(folder, block), "key string, id string, file string, off long, size long, n long"), "directory")
 
 
@@ -248,7 +248,8 @@ def read_captures(pages: DataFrame, folder: str, directory: DataFrame) -> DataFr
     directory is read in parts of at most DIRECTORY_ROWS rows, one pass each."""
     spark = pages.sparkSession
     wanted = pages.select(F.col("page_id").cast("long").alias("page_id"), "url").distinct()
-    n = directory.count()
+    n, records = directory.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    tasks = _parts(spark, records, READ_ROWS)
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     out = None
     for k in range(max(1, -(-n // DIRECTORY_ROWS))):
@@ -256,7 +257,7 @@ def read_captures(pages: DataFrame, folder: str, directory: DataFrame) -> DataFr
         own = directory if parts == 1 else directory.where(F.pmod(F.xxhash64("file"), F.lit(parts)) == k)
         sent = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])
         # Sorted queries meet each block once.
-        near = wanted.repartitionByRange(F.substring_index(F.regexp_replace("url", r"^\w+://", ""), "/", 1), "url", "page_id").sortWithinPartitions("url", "page_id")
+        near = wanted.repartitionByRange(tasks, F.substring_index(F.regexp_replace("url", r"^\w+://", ""), "/", 1), "url", "page_id").sortWithinPartitions("url", "page_id")
         found = near.mapInArrow(_captures(folder, sent), schema)
         out = found if out is None else out.unionByName(found)
     return out
