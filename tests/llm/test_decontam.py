@@ -112,3 +112,10 @@ def test_every_run_of_a_diagonal(spark):
     # the best run is of 11 words, a lesser one of 13 with a substitution
     same = np.array([True] * 11 + [False] * 6 + [True] * 6 + [False] + [True] * 6)
     assert dc.best_overlap(same)[1] < dc.LEAST and dc.all_overlaps(same) == [(17, 13, 12)]
+
+
+def test_contaminated_rows_without_id_are_dropped(spark):
+    item = text(33, 40)
+    b = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = documents(spark, [(None, "a b " + item), (None, text(34, 40)), (5, item), (5, text(35, 40))])
+    assert sorted(str(r["doc_id"]) for r in dc.drop_contaminated(docs, b).collect()) == ["5", "None"]

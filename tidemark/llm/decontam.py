@@ -18,7 +18,8 @@ Edge cases: null or empty texts, and items or documents of fewer than ``SPAN``
 words, have no window and no overlap; equal items are all reported; repeated
 rows are reported each; null ids pass through as null; empty tables give an
 empty result; columns other than the ids and texts are ignored by ``overlaps``
-and kept by ``drop_contaminated``.
+and kept by ``drop_contaminated``, which judges every row by its own text,
+whatever its id.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_words, memory, saved
+from .common import lower_words, memory
 
 SPAN = 12
 #: Fixed: word positions of a window that each mask looks at.
@@ -43,6 +44,7 @@ LEAST = 12
 SHARE = 80  # per cent of an item's words
 MISMATCH = 3
 BLOCK_WORDS = 2_000_000
+HITS = 1_000_000  # looked at together
 _TABLE_BITS = 20
 
 _rng = np.random.default_rng(41)
@@ -132,8 +134,12 @@ class Index:
                 lo, hi = np.searchsorted(self.keys, x[pos], "left"), np.searchsorted(self.keys, x[pos], "right")
                 n = hi - lo
                 pos, lo, n = pos[n > 0], lo[n > 0], n[n > 0]
-                k = np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-                out.append(np.stack([self.who[k], np.repeat(pos, n) - self.at[k]], 1))
+                # windows that many items share are expanded in parts
+                part = np.cumsum(n) // HITS
+                for a, z in zip(*(np.searchsorted(part, np.unique(part), side) for side in ("left", "right"))):
+                    p, f, c = pos[a:z], lo[a:z], n[a:z]
+                    k = np.repeat(f - np.r_[0, np.cumsum(c)[:-1]], c) + np.arange(c.sum())
+                    out.append(np.unique(np.stack([self.who[k], np.repeat(p, c) - self.at[k]], 1), axis=0))
         return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
 
     def verify(self, h: np.ndarray, i: int, d: int, share: int | None):
@@ -147,10 +153,10 @@ class Index:
             yield self.ids[i], a + s, a + s - d, n, good
 
 
-def _scan(index, share: int | None):
-    cache = WordHashes()
+def _found(index, share: int | None):
+    """A function of numbered word hashes: rows of all overlaps."""
 
-    def flush(ids, hashes):
+    def found(ids, hashes):
         rows = []
         whole = np.concatenate(hashes)
         start = np.r_[0, np.cumsum([len(x) for x in hashes])]
@@ -163,48 +169,77 @@ def _scan(index, share: int | None):
                 if len(hashes[k]) >= SPAN:
                     rows += [(ids[k], *x) for x in index.value.verify(hashes[k], i, d - int(start[k]), share)]
                 k += 1
-        return list(dict.fromkeys(rows)) if len(set(ids)) == len(ids) else rows
+        return list(dict.fromkeys(rows))
+
+    cache = WordHashes()
+
+    def of(texts):
+        """(row number, item_id, ...) of a batch's texts."""
+        at, hashes, n, rows = [], [], 0, []
+        for k, t in enumerate(texts):
+            w = lower_words(t.as_py())
+            if len(w) < SPAN:
+                continue
+            at.append(k)
+            hashes.append(np.fromiter(map(cache.__getitem__, w), np.uint64, len(w)))
+            n += len(w)
+            if n >= 400_000:
+                rows += found(at, hashes)
+                at, hashes, n = [], [], 0
+        return rows + (found(at, hashes) if at else [])
+
+    return of
+
 
+def _scan(index, share: int | None):
     def run(batches):
         memory("decontam")
+        found = _found(index, share)
         for b in batches:
-            ids, hashes, n, rows = [], [], 0, []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1)):
-                w = lower_words(t.as_py())
-                if len(w) < SPAN:
-                    continue
-                ids.append(i)
-                hashes.append(np.fromiter(map(cache.__getitem__, w), np.uint64, len(w)))
-                n += len(w)
-                if n >= 400_000:
-                    rows += flush(ids, hashes)
-                    ids, hashes, n = [], [], 0
-            if ids:
-                rows += flush(ids, hashes)
+            ids = b.column(0).to_pylist()
+            rows = [(ids[r[0]], *r[1:]) for r in found(b.column(1))]
             cols = list(zip(*rows)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "item_id", "doc_start", "item_start", "n_words", "n_equal"])
 
     return run
 
 
-def overlaps(docs: DataFrame, items: DataFrame, share: int | None = None) -> DataFrame:
-    """doc_id, item_id, doc_start, item_start, n_words, n_equal of every verified
-    overlap, positions counted in words from 0."""
-    spark = docs.sparkSession
+def _indexes(items: DataFrame):
+    """The test set's index in blocks, broadcast one after the other."""
+    spark = items.sparkSession
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0  # a word has a character at least
     blocks = max(1, -(-int(total) // (2 * BLOCK_WORDS)))
-    out = None
     for k in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        index = spark.sparkContext.broadcast(Index([(r[0], r[1]) for r in own]))
+        yield spark.sparkContext.broadcast(Index([(r[0], r[1]) for r in own]))
+
+
+def overlaps(docs: DataFrame, items: DataFrame, share: int | None = None) -> DataFrame:
+    """doc_id, item_id, doc_start, item_start, n_words, n_equal of every verified
+    overlap, positions counted in words from 0."""
+    out = None
+    for index in _indexes(items):
         found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan(index, share), "doc_id long, item_id long, doc_start long, item_start long, n_words long, n_equal long")
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, broadcast_rows: int = 1_000_000, share: int | None = None) -> DataFrame:
-    """docs without those that overlap an item, all columns kept."""
-    hit = saved(overlaps(docs, items, share).select("doc_id").where("doc_id IS NOT NULL").distinct(), "contaminated").withColumnRenamed("doc_id", "_hit")
-    few = hit.count() <= broadcast_rows
-    return docs.join(F.broadcast(hit) if few else hit, docs["doc_id"].cast("long") == F.col("_hit"), "left_anti")
+def drop_contaminated(docs: DataFrame, items: DataFrame, share: int | None = None) -> DataFrame:
+    """docs without the rows whose texts overlap an item, all columns kept."""
+    column = docs.columns.index("text")
+
+    def filtered(index):
+        def run(batches):
+            memory("decontam")
+            found = _found(index, share)
+            for b in batches:
+                keep = np.ones(b.num_rows, bool)
+                keep[[r[0] for r in found(b.column(column))]] = False
+                yield b.filter(pa.array(keep))
+
+        return run
+
+    for index in _indexes(items):
+        docs = docs.mapInArrow(filtered(index), docs.schema)
+    return docs
