@@ -1,3 +1,4 @@
+import hashlib
 import re
 
 import pytest
@@ -56,7 +57,7 @@ def test_keys_matter_and_empty_table(spark, out):
     docs = documents(spark, ROWS[:2])
     other = [r["text"] for r in pii.replace_entities(docs, "k2").collect()]
     assert other != [r["text"] for r in out if r["doc_id"] in (1, 2) and r["n_entities"]]
-    assert pii.replace_entities(docs.limit(0)).count() == 0
+    assert pii.replace_entities(docs.limit(0), "k").count() == 0
 
 
 @pytest.mark.parametrize("bound", [10**6, 0])
@@ -65,7 +66,7 @@ def test_collisions_are_drawn_again(spark, monkeypatch, bound):
     # octets of one digit have few replacements, so many collide at first
     ips = [f"{a}.{b}.{c}.1" for a in range(1, 10) for b in range(1, 10) for c in range(1, 6)]
     docs = documents(spark, [(k, f"at {ip} and {ip}") for k, ip in enumerate(ips)])
-    assert pii.redrawn(docs, "k").count() > 0
+    assert pii.redrawn(pii.found_in(docs), "k").count() > 0
     got = pii.replace_entities(docs, "k").orderBy("doc_id").collect()
     new = [re.fullmatch(r"at (\S+) and (\S+)", r["text"]).groups() for r in got]
     assert all(a == b for a, b in new)
@@ -76,3 +77,63 @@ def test_no_python_in_the_plan(spark):
     d = documents(spark, ROWS)
     plan = d.select(pii.surrogate(F.col("text"), F.lit(0), "k"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_nearly_taken_formats_are_widened(spark):
+    """All 105 lone names of a consonant and a vowel; all one-digit addresses."""
+    names = [f"Mr {c}{v}" for c in "BCDFGHJKLMNPQRSTVWXYZ" for v in "aeiou"]
+    ips = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
+    got = pii.replace_entities(documents(spark, list(enumerate(names + ips))), "k").orderBy("doc_id").collect()
+    new = [r["text"] for r in got]
+    assert len(set(new)) == len(new) and not set(new) & {*names, *ips}
+    assert all(re.fullmatch(r"Mr [A-Z][a-z]+", x) for x in new[:105])
+    assert all(all(1 <= int(o) <= 254 for o in x.split(".")) for x in new[105:])
+
+
+def plain(e: str, attempt: int, key: str) -> str:
+    """surrogate() for Latin letters, in Python."""
+    titles = rf"(?:{pii.MALE}|{pii.FEMALE})"
+    kind = (
+        "email" if "@" in e else "name" if re.match(rf"{titles}\b", e) else "card" if re.fullmatch(r"(?:[0-9]{4}[ \-]?){3}[0-9]{4}", e)
+        else "ip" if re.fullmatch(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", e) else "ssn" if re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", e)
+        else "phone" if re.match(r"[+(]", e) else "secret"
+    )
+    body = re.sub("[^0-9]", "", e) if kind in ("card", "ssn", "phone") else e.lower() if kind == "email" else e.replace(".", "") if kind == "name" else e
+    digest = b"".join(hashlib.sha512(f"{key}|{j}|{kind}:{body}|{attempt}".encode()).digest() for j in range(2))
+    swap = lambda c, x, hexa=False: "abcdef"[x % 6] if hexa and c in "abcdef" else next((g[x % len(g)] for g in pii.GROUPS if c in g), c)
+    more = "".join(swap(("00" if kind in ("phone", "ssn") else "ab")[k % 2], digest[(k + 90) % 128]) for k in range(pii.WIDE, attempt + 1)) if kind not in ("card", "ip") else ""
+    if kind == "ip":
+        out = []
+        for k, o in enumerate(e.split(".")):
+            x = digest[2 * k] * 256 + digest[2 * k + 1]
+            out.append(1 + x % 254 if attempt >= pii.WIDE else 100 + x % 155 if len(o) == 3 else 10 + x % 90 if len(o) == 2 else 1 + x % 9)
+        return ".".join(map(str, out))
+    m = re.match(rf"\+[0-9]{{1,3}}(?=[ .\-(])[ .\-]?|\+[0-9]{{2}}|[0-9](?=[0-9 \-]{{14,}}$)|{titles}\b\.? ", e)
+    head, rest, tail, given = m[0] if m else "", e[len(m[0]) if m else 0 :], "", ""
+    if kind == "email":
+        rest, tail = re.fullmatch(r"(.*)(\.[^.]*)", rest).groups()
+    elif kind == "card":
+        rest = rest[:-1]
+    elif kind == "name" and " " in rest:
+        names = pii.GIVEN["latin", "m" if re.match(rf"(?:{pii.MALE})\b", e) else "f"].split()
+        given, rest = names[(digest[0] * 256 + digest[1]) % len(names)], rest[rest.index(" ") :]
+    hexa = bool(re.fullmatch("[0-9a-f]+", rest))
+    out, rank = "", 0
+    for c in rest:
+        rank += c.isalpha() or c.isdigit()
+        out += swap(c, digest[rank % 128], hexa)
+    out = head + given + (more + out if kind == "email" else out + more) + tail
+    if kind == "card":
+        total = sum((x * 2 - 9 * (x > 4)) if k % 2 == 0 else x for k, x in enumerate(int(c) for c in out if c.isdigit()))
+        out += str(-total % 10)
+    return out
+
+
+def test_surrogates_equal_plain_python(spark):
+    some = [
+        "ab.c@mail6.example.com", "AB_c@x.org", "Mr. Adam Smith", "Frau Keller", "Miss Ada Lovelace", "4495114827612972", "4495 1148 2761 2972", "92.195.224.80", "1.2.33.4",
+        "123-45-6789", "+1 (456) 555-2186", "+49 456 555 2186", "+491234567890", "0641917ea4e9feb9cda83477b57ac2654884f485", "Zq-9_xx80",
+    ]
+    rows = spark.createDataFrame([(e, n) for e in some for n in (0, 1, 3, 4, 7)], "e string, n int")
+    for r in rows.select("e", "n", pii.surrogate(F.col("e"), F.col("n"), "key").alias("s")).collect():
+        assert r["s"] == plain(r["e"], r["n"], "key"), (r["e"], r["n"])

@@ -11,9 +11,17 @@ get equal replacements.
 
 Collision checks run on the distinct entities, aggregated before they are
 shuffled: a replacement that another entity has too, or that is itself an entity
-of the corpus, is drawn again with the next attempt number. Texts are then
-rewritten row by row; only the entities drawn again need a look-up, which is
-broadcast when counted to be small and joined otherwise.
+of the corpus, is drawn again with the next attempt number. From attempt ``WIDE``
+on a format that is nearly taken is widened, by one more character with each
+attempt: names, phone and social-security numbers at the end, addresses of
+e-mails at the start, secrets at the end; octets are then of any number of digits.
+So rounds end, whatever share of a format the corpus holds; cards, with 10^14
+forms, keep theirs. Texts are then rewritten row by row; only texts with entities
+drawn again need a look-up, joined by the text's hash and broadcast when counted to
+be small.
+
+Coreference is by canonical form: titles count, so "Mr Adam Smith", "Mr Smith" and
+"Herr Smith" are three entities.
 
 Edge cases: a null text stays null, an empty one empty; rows are independent of
 doc_id, so nulls and repeats there are harmless; ties are broken by the smaller
@@ -28,9 +36,8 @@ from pyspark.sql import functions as F
 
 from .common import let, saved
 
-KEY = "example-key"  # a parameter of every public function
 BROADCAST_ROWS = 200_000
-MAX_ATTEMPTS = 40
+WIDE = 4  # attempts in an entity's own format
 
 #: Fixed: titles by gender, in the languages covered.
 MALE = "Mr|Mister|Herr|Señor|Monsieur|Signor|Господин|Κύριος"
@@ -121,15 +128,22 @@ def _swapped(e: Column, digest: Column) -> Column:
     return F.array_join(F.transform(F.split(e, ""), lambda c, i: _swap(c, _byte(digest, rank(i)), hexa)), "")
 
 
-def _ip(e: Column, digest: Column) -> Column:
-    """Octets of as many digits."""
+def _ip(e: Column, digest: Column, attempt: Column) -> Column:
+    """Octets of as many digits, or of any number."""
     def octet(o: Column, i: Column) -> Column:
         x = _byte(digest, 2 * i) * 256 + _byte(digest, 2 * i + 1)
-        return F.when(F.length(o) == 3, 100 + F.pmod(x, F.lit(155))).when(F.length(o) == 2, 10 + F.pmod(x, F.lit(90))).otherwise(1 + F.pmod(x, F.lit(9))).cast("string")
+        return F.when(attempt >= WIDE, 1 + F.pmod(x, F.lit(254))).when(F.length(o) == 3, 100 + F.pmod(x, F.lit(155))).when(F.length(o) == 2, 10 + F.pmod(x, F.lit(90))).otherwise(1 + F.pmod(x, F.lit(9))).cast("string")
 
     return F.array_join(F.transform(F.split(e, r"\."), octet), ".")
 
 
+def _more(e: Column, k: Column, digest: Column, attempt: Column) -> Column:
+    """Characters that widen an entity's format: digits or letters of its script."""
+    book = F.when(k.isin("phone", "ssn"), "00").when(e.rlike(r"\p{IsCyrillic}$"), "аб").when(e.rlike(r"\p{IsGreek}$"), "αβ").otherwise("ab")
+    one = lambda i: _swap(F.substring(book, F.pmod(i, F.lit(2)) + 1, F.lit(1)), _byte(digest, i + 90), F.lit(False))
+    return F.when((attempt >= WIDE) & ~k.isin("card", "ip"), F.array_join(F.transform(F.sequence(F.lit(WIDE), F.greatest(attempt, F.lit(WIDE))), one), "")).otherwise("")
+
+
 def _checked(s: Column) -> Column:
     """A card number without its last digit, with the one that makes it valid."""
     digits = F.split(F.regexp_replace(s, "[^0-9]", ""), "")
@@ -165,8 +179,9 @@ def surrogate(e: Column, attempt: Column, key: str) -> Column:
         two = (k == "name") & e.rlike(r" \S+ \S+$")
         first = F.when(two, F.length(F.regexp_extract(e, r" (\S+) \S+$", 1))).otherwise(0)
         body = F.substring(e, F.length(head) + first + 1, F.length(e) - F.length(head) - first - tail)
-        plain = F.concat(head, F.when(two, _given(e, d)).otherwise(F.lit("")), let(body, lambda b: _swapped(b, d)))
-        return F.when(k == "ip", _ip(e, d)).otherwise(let(plain, lambda p: F.when(k == "card", _checked(p)).otherwise(F.concat(p, F.substring(e, F.length(e) - tail + 1, tail)))))
+        more = _more(e, k, d, attempt)
+        plain = F.concat(head, F.when(two, _given(e, d)).otherwise(F.lit("")), F.when(k == "email", more).otherwise(""), let(body, lambda b: _swapped(b, d)), F.when(k == "email", "").otherwise(more))
+        return F.when(k == "ip", _ip(e, d, attempt)).otherwise(let(plain, lambda p: F.when(k == "card", _checked(p)).otherwise(F.concat(p, F.substring(e, F.length(e) - tail + 1, tail)))))
 
     return let(F.concat(canonical(e), F.lit("|"), attempt.cast("string")), drawn)
 
@@ -177,15 +192,21 @@ def entities(text: Column) -> Column:
     return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
 
 
-def redrawn(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+def found_in(docs: DataFrame, text: str = "text") -> DataFrame:
+    """h, e, canonical: the distinct entities of every text, by its hash."""
+    t = F.col(f"`{text}`")
+    found = docs.select(F.xxhash64(t).alias("h"), F.explode(entities(t)).alias("e")).select("h", "e", canonical(F.col("e")).alias("canonical"))
+    return saved(found.distinct(), "found")
+
+
+def redrawn(found: DataFrame, key: str) -> DataFrame:
     """canonical and attempt of the entities whose first replacement collides;
     all others keep attempt 0."""
-    found = docs.select(F.explode(entities(F.col(text))).alias("e")).select("e", canonical(F.col("e")).alias("canonical"))
     # one spelling stands for all of an entity
     state = saved(found.groupBy("canonical").agg(F.min("e").alias("e")).withColumn("attempt", F.lit(0)), "entities")
     real = state.select(F.col("canonical").alias("s"))
-    for _ in range(MAX_ATTEMPTS):
-        drawn = state.select("*", canonical(surrogate(F.col("e"), F.col("attempt"), key)).alias("s"))
+    while True:
+        drawn = saved(state.select("*", canonical(surrogate(F.col("e"), F.col("attempt"), key)).alias("s")), "drawn")
         twice = drawn.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(F.col("attempt") * -1, F.col("canonical"))).alias("first"))
         clash = (
             drawn.join(twice.where("c > 1").select("s", F.col("first.canonical").alias("first")), "s").where("canonical <> first").select("canonical")
@@ -194,15 +215,14 @@ def redrawn(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         clash = saved(clash, "clashes")
         if not clash.limit(1).count():
             return state.where("attempt > 0").select("canonical", "attempt")
-        state = saved(state.join(clash.withColumn("_again", F.lit(1)), "canonical", "left").select("canonical", "e", (F.col("attempt") + F.coalesce("_again", F.lit(0))).alias("attempt")), "entities")
-    raise RuntimeError(f"replacements still collide after {MAX_ATTEMPTS} attempts")
+        state = saved(drawn.join(clash.withColumn("_again", F.lit(1)), "canonical", "left").select("canonical", "e", (F.col("attempt") + F.coalesce("_again", F.lit(0))).alias("attempt")), "entities")
 
 
-def replace_entities(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
-    """docs with ``text`` rewritten, other columns untouched, and the number of
-    entities in the last column, ``n_entities``."""
-    again = saved(redrawn(docs, key, text), "redrawn")
-    n = again.count()
+def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """docs with ``text`` rewritten under a secret ``key``, other columns
+    untouched, and the number of entities in the last column, ``n_entities``."""
+    found = found_in(docs, text)
+    again = saved(redrawn(found, key), "redrawn")
     t = F.col(f"`{text}`")
     names = docs.columns
     base = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("_row"), t.alias("_t"))
@@ -216,19 +236,13 @@ def replace_entities(docs: DataFrame, key: str = KEY, text: str = "text") -> Dat
 
         return on
 
-    if n == 0:
+    if not again.limit(1).count():
         done = base.select("_row", let(entities(F.col("_t")), new_text(lambda e: F.lit(0))).alias("_o"))
-    elif n <= BROADCAST_ROWS:
-        # counted above: at most BROADCAST_ROWS entries, as one map in one row
-        book = again.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("canonical", "attempt"))).alias("_book"))
-        both = base.crossJoin(F.broadcast(book))
-        done = both.select("_row", let(entities(F.col("_t")), new_text(lambda e: F.coalesce(F.try_element_at(F.col("_book"), canonical(e)), F.lit(0)))).alias("_o"))
     else:
-        keyed = base.withColumn("_id", F.monotonically_increasing_id())
-        keyed = saved(keyed, "keyed")
-        mine = keyed.select("_id", F.explode(entities(F.col("_t"))).alias("e")).select("_id", canonical(F.col("e")).alias("canonical")).distinct()
-        books = mine.join(again, "canonical").groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("canonical", "attempt"))).alias("_book"))
-        both = keyed.join(books, "_id", "left")
+        # a row for each text with entities drawn again
+        books = found.select("h", "canonical").distinct().join(again, "canonical").groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("canonical", "attempt"))).alias("_book"))
+        books = saved(books.withColumnRenamed("h", "_h"), "books")
+        both = base.join(F.broadcast(books) if books.count() <= BROADCAST_ROWS else books, F.xxhash64("_t") == F.col("_h"), "left")
         done = both.select("_row", let(entities(F.col("_t")), new_text(lambda e: F.coalesce(F.try_element_at(F.col("_book"), canonical(e)), F.lit(0)))).alias("_o"))
     cols = [F.col("_o.t").alias(c) if c == text else F.col(f"_row.c{i}").alias(c) for i, c in enumerate(names)]
     return done.select(*cols, F.coalesce(F.col("_o.n"), F.lit(0)).cast("long").alias("n_entities"))
