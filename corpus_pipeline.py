@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontam, neardup, packing, pii, quality
 from tidemark.llm.common import saved, table
+from tidemark.llm.queries import PII_KEY
 
 
 NEAR = 80  # per cent of similarity; op5 has a contract of its own
@@ -32,7 +33,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pii.replace_entities(docs).select(*docs.columns)
+    return pii.replace_entities(docs, PII_KEY).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
