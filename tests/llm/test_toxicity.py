@@ -41,6 +41,69 @@ def test_windows_cover_every_word():
         assert seen == set(range(n)) and (np.diff(s) <= tx.STEP).all()
 
 
+def plain(net, t):
+    """Score of a text, window by window, word by word, step by step."""
+    s = lambda x: 1 / (1 + np.exp(-x))
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    words, h = (t or "").lower().split(), tx.HIDDEN
+    best = 0.0
+    for a in tx.starts(len(words)).tolist():
+        x = []
+        for w in words[a : a + tx.WINDOW]:
+            own, grams, _ = tx.rows_of([w])
+            x.append(p["W"][own[0]] + sum(p["G"][g] for g in grams) / len(grams))
+        out = {}
+        for d, order in (("f", range(len(x))), ("b", range(len(x) - 1, -1, -1))):
+            state = np.zeros(h)
+            for k in order:
+                pre = x[k] @ p["U" + d] + p["b" + d]
+                z, r = (s(pre[i * h : i * h + h] + state @ p["R" + d][:, i * h : i * h + h]) for i in (0, 1))
+                n = np.tanh(pre[2 * h :] + (r * state) @ p["R" + d][:, 2 * h :])
+                state = state + z * (n - state)
+                out[d, k] = state
+        both = [np.concatenate([out["f", k], out["b", k]]) for k in range(len(x))]
+        e = np.exp([float(np.tanh(v @ p["A"]) @ p["v"][:, 0]) for v in both])
+        c = sum((w * v for w, v in zip(e / e.sum(), both)), np.zeros(2 * h)) if both else np.zeros(2 * h)
+        best = max(best, s(net.scale * (c @ p["o"][:, 0] + p["c"][0]) + net.shift))
+    return best
+
+
+def test_scores_equal_a_plain_forward_pass():
+    net = tx.Network(5)
+    net.scale, net.shift = 1.3, 0.4
+    texts = [None, "", "one", "Ünï cödé 日本語 x", *(text(k, n) for k, n in enumerate((3, 47, 48, 49, 80, 81, 300)))]
+    got = net.score(texts, tx.Vectors(net))
+    assert np.abs(got - [plain(net, t) for t in texts]).max() < 1e-5
+
+
+def test_rows_of_words():
+    """Hashed rows depend on the word alone, not on its neighbours."""
+    words = ["a", "ab", "hello", "日本語", "hello", "x" * 300]
+    own, grams, first = tx.rows_of(words)
+    for k, w in enumerate(words):
+        one, some, _ = tx.rows_of([w])
+        z = first[k + 1] if k + 1 < len(words) else len(grams)
+        assert own[k] == one[0] and (grams[first[k] : z] == some).all() and len(some) == len(w)
+    assert 0 <= own.min() and own.max() < tx.WORDS and grams.max() < tx.GRAMS
+
+
+def test_long_toxic_texts_are_learnt_whole(spark):
+    """The toxic words lie anywhere in texts of more windows than a text learns by."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(600):
+        w = text(k, 900 if k % 2 else 40).split()
+        if k % 4 < 2:
+            for _ in range(3):
+                w.insert(rng.randint(0, len(w)), "grumblex")
+        rows.append((" ".join(w), k % 4 < 2))
+    net = tx.Network()
+    net.fit([t for t, _ in rows], np.array([y for _, y in rows]))
+    fresh = [(text(900 + k, 60) + " grumblex " * (k % 2) + text(950 + k, 30), k % 2) for k in range(40)]
+    s = net.score([t for t, _ in fresh], tx.Vectors(net))
+    assert (np.array([y for _, y in fresh]) == (s > np.median(s))).mean() > 0.9
+
+
 @pytest.fixture(scope="module")
 def rows():
     rng = random.Random(1)
@@ -65,7 +128,8 @@ def test_held_out_accuracy_and_cases(spark, rows):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7) for r in got)
     hit = sum(p == t for p, t in held) / len(held)
     assert hit > 0.93, hit
-    assert len({r["score"] for r in got if r["doc_id"] == 6}) == 1
+    twice = [r["score"] for r in got if r["doc_id"] == 6]
+    assert len(twice) == 2 and abs(twice[0] - twice[1]) < 1e-5  # rows lie in other batches
     assert tx.scores(docs.limit(0), tx.Network()).count() == 0
     # one class only, or none: the prior
     assert {r["score"] for r in tx.scores(docs, tx.fit(docs, labels.where("toxic = 0"))).collect()} == {0.0}

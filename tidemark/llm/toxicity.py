@@ -6,45 +6,56 @@ and the attention are trained in numpy by back-propagation through time. A text
 is cut into windows of ``WINDOW`` words every ``STEP`` words; every window is
 scored and a text takes its most toxic window.
 
-Training reads at most ``FIT_ROWS`` labelled documents (those of the smallest
-key hashes in each class) and at most ``FIT_WINDOWS`` windows of each, spread
-over the text; the next ``CHECK_ROWS`` calibrate the scores, all their windows
-read. Scoring reads every window of every text.
+Training reads at most ``FIT_ROWS`` labelled documents, those of the smallest key
+hashes in each class, one text of a doc_id (the first in order) and ``FIT_BYTES`` of
+text in all; the next ``CHECK_ROWS`` calibrate the scores. All windows of these
+texts are scored in every epoch, and a text learns by its ``LEARN_WINDOWS`` most
+toxic ones. Scoring reads every window of every text.
 
 Edge cases: null and empty texts score like one window of no words; repeated rows
-score alike; null doc_ids pass through; with no labels, or one class only, every
+score alike; of a doc_id with several labels the toxic one counts; null doc_ids
+pass through; with no labels, or one class only, every
 score is the prior; an empty table gives an empty result; other columns are
 ignored.
 """
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, saved
 
 WINDOW, STEP = 48, 32
-FIT_ROWS, CHECK_ROWS, FIT_WINDOWS = 3000, 2000, 12
+FIT_ROWS, CHECK_ROWS, FIT_BYTES = 3000, 2000, 64 << 20
+LEARN_WINDOWS = 12
 WORDS, GRAMS, DIM, HIDDEN = 1 << 14, 1 << 15, 12, 8
 EPOCHS, BATCH, RATE = 6, 64, 0.02
 CUT = 0.7
 MEMORY = 300_000  # words that a worker remembers
 
 
-class Inputs(dict):
-    """Hashed rows of a word: the word's own, then its character trigrams'."""
-
-    def __missing__(self, w: str):
-        if len(self) >= MEMORY:
-            self.clear()
-        x = f"<{w}>"
-        grams = [xxhash.xxh3_64_intdigest(x[k : k + 3]) % GRAMS for k in range(max(1, len(x) - 2))]
-        v = self[w] = (xxhash.xxh3_64_intdigest(w) % WORDS, np.unique(grams))
-        return v
+def rows_of(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed rows of words: each one's own, then those of its character trigrams,
+    the word being set between < and >, and the first of each word's."""
+    c = np.frombuffer(("<" + "><".join(words) + ">").encode("utf-32-le", "surrogatepass"), np.uint32)
+    n = np.fromiter(map(len, words), np.int64, len(words))
+    first = np.r_[0, np.cumsum(n)]
+    at = np.arange(first[-1]) + np.repeat(2 * np.arange(len(n)), n)  # trigrams start at each character but the last two
+    x = c[at] * np.uint32(2654435761) ^ c[at + 1] * np.uint32(2246822519) ^ c[at + 2] * np.uint32(3266489917)
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(668265263)
+    grams = (x >> np.uint32(9)) % np.uint32(GRAMS)
+    place = (np.arange(first[-1]) - np.repeat(first[:-1], n)).astype(np.uint32)
+    y = (c[at + 1] + np.uint32(1)) * (place * np.uint32(374761393) + np.uint32(2654435769))
+    y ^= y >> np.uint32(13)
+    y *= np.uint32(1274126177)
+    own = np.add.reduceat(y, first[:-1]) if len(n) else np.empty(0, np.uint32)
+    return ((own ^ (own >> np.uint32(16))) % np.uint32(WORDS)).astype(np.int64), grams.astype(np.int64), first[:-1]
 
 
 def words_of(text: str | None) -> list[str]:
@@ -144,30 +155,56 @@ class Network:
         dx = self.back_direction(ds[:, :, :HIDDEN], x, m, "f", sf, g)
         return dx + self.back_direction(ds[:, :, HIDDEN:], x, m, "b", sb, g), g
 
-    def word_vector(self, ids) -> np.ndarray:
-        w, grams = ids
-        return self.p["W"][w] + self.p["G"][grams].mean(0)
+    def vectors(self, words: list[str]) -> np.ndarray:
+        """Input vectors of words."""
+        own, grams, first = rows_of(words)
+        if not len(own):
+            return np.empty((0, DIM), np.float32)
+        n = np.diff(np.r_[first, len(grams)])[:, None].astype(np.float32)
+        return self.p["W"][own] + np.add.reduceat(self.p["G"][grams], first) / n
 
     # -- training
 
     def fit(self, texts: list[str | None], toxic: np.ndarray, seed: int = 11) -> None:
         """Multiple-instance training: a text's windows compete, its most toxic
         one learns (all windows of clean texts that come near do)."""
-        inputs, known, vocab = Inputs(), {}, []
-        docs = []
+        known, docs = {}, []
         r = np.random.default_rng(seed)
         for t in texts:
             w = words_of(t)
             ids = np.array([known.setdefault(x, len(known)) for x in w], np.int64)
-            s = starts(len(w))
-            if len(s) > FIT_WINDOWS:
-                s = s[np.linspace(0, len(s) - 1, FIT_WINDOWS).astype(int)]
-            docs.append([ids[k : k + WINDOW] for k in s])
-        vocab = list(known)
-        rows = [inputs[w] for w in vocab]
-        own = np.array([a for a, _ in rows], np.int64)
-        flat = np.concatenate([b for _, b in rows]) if rows else np.empty(0, np.int64)
-        first = np.r_[0, np.cumsum([len(b) for _, b in rows])].astype(np.int64)
+            docs.append([ids[k : k + WINDOW] for k in starts(len(w))])
+        own, flat, first = rows_of(list(known)) if known else (np.empty(0, np.int64),) * 3
+        first = np.r_[first, len(flat)]
+
+        def laid(wins):
+            """Windows by time, where there are words, the words, each one's place."""
+            ids = np.full((WINDOW, len(wins)), -1, np.int64)
+            for k, w in enumerate(wins):
+                ids[: len(w), k] = w
+            used, at = np.unique(ids[ids >= 0], return_inverse=True)
+            return ids >= 0, used, at
+
+        def vectors(used):
+            sizes = first[used + 1] - first[used]
+            owner = np.repeat(np.arange(len(used)), sizes)
+            cuts = np.repeat(first[used] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum()) if len(used) else np.empty(0, np.int64)
+            vec = self.p["W"][own[used]].copy()
+            np.add.at(vec, owner, self.p["G"][flat[cuts]] / sizes[owner][:, None].astype(np.float32))
+            return vec, cuts, owner, sizes
+
+        def most_toxic(wins):
+            """The windows by which a text learns."""
+            if len(wins) <= LEARN_WINDOWS:
+                return wins
+            logits = []
+            for a in range(0, len(wins), 512):
+                inside, used, at = laid(wins[a : a + 512])
+                x = np.zeros((*inside.shape, DIM), np.float32)
+                x[inside] = vectors(used)[0][at]
+                logits.append(self.forward(x, inside.astype(np.float32))[0])
+            return [wins[k] for k in np.argsort(-np.concatenate(logits), kind="stable")[:LEARN_WINDOWS]]
+
         sq = {k: np.zeros_like(v) for k, v in self.p.items()}
         pos, neg = np.flatnonzero(toxic), np.flatnonzero(~toxic)
         for epoch in range(EPOCHS):
@@ -177,21 +214,13 @@ class Network:
             rate = RATE * (1 - 0.8 * epoch / EPOCHS)
             for a in range(0, len(order), BATCH):
                 batch = order[a : a + BATCH]
-                wins = [w for d in batch for w in docs[d]]
-                doc = np.repeat(np.arange(len(batch)), [len(docs[d]) for d in batch])
-                ids = np.full((WINDOW, len(wins)), -1, np.int64)
-                for k, w in enumerate(wins):
-                    ids[: len(w), k] = w
-                m = (ids >= 0).astype(np.float32)
-                used, at = np.unique(ids[ids >= 0], return_inverse=True)
-                cuts = np.concatenate([np.arange(first[u], first[u + 1]) for u in used]) if len(used) else np.empty(0, np.int64)
-                sizes = first[used + 1] - first[used]
-                owner = np.repeat(np.arange(len(used)), sizes)
-                vec = self.p["W"][own[used]].copy()
-                np.add.at(vec, owner, self.p["G"][flat[cuts]] / sizes[owner][:, None].astype(np.float32))
-                x = np.zeros((*ids.shape, DIM), np.float32)
-                x[ids >= 0] = vec[at]
-                logit, cache = self.forward(x, m, True)
+                own_wins = [most_toxic(docs[d]) for d in batch]
+                doc = np.repeat(np.arange(len(batch)), list(map(len, own_wins)))
+                inside, used, at = laid([w for wins in own_wins for w in wins])
+                vec, cuts, owner, sizes = vectors(used)
+                x = np.zeros((*inside.shape, DIM), np.float32)
+                x[inside] = vec[at]
+                logit, cache = self.forward(x, inside.astype(np.float32), True)
                 # each text's windows weigh by how toxic they look
                 top = np.full(len(batch), -1e9, np.float32)
                 np.maximum.at(top, doc, logit)
@@ -201,7 +230,7 @@ class Network:
                 dl = (share * (sigmoid(logit) - y[doc]) / len(batch)).astype(np.float32)
                 dx, g = self.backward(dl, cache)
                 dv = np.zeros_like(vec)
-                np.add.at(dv, at, dx[ids >= 0])
+                np.add.at(dv, at, dx[inside])
                 for k, v in g.items():
                     np.clip(v, -1, 1, out=v)
                     sq[k] = 0.95 * sq[k] + 0.05 * v * v
@@ -231,7 +260,7 @@ class Network:
 
     # -- scoring
 
-    def score(self, texts, vectors: dict) -> np.ndarray:
+    def score(self, texts, vectors: Vectors) -> np.ndarray:
         """The largest window probability of each text."""
         if self.prior is not None:
             return np.full(len(texts), self.prior)
@@ -241,8 +270,7 @@ class Network:
         def flush():
             if not spans:
                 return
-            vec = np.array(list(map(vectors.__getitem__, words)), np.float32).reshape(-1, DIM)
-            vec = np.concatenate([vec, np.zeros((1, DIM), np.float32)])
+            vec = np.concatenate([vectors.of(words), np.zeros((1, DIM), np.float32)])
             d, s, n = (np.array(x, np.int64) for x in zip(*spans))
             for full in (True, False):  # windows shorter than the others need masks
                 at = np.flatnonzero((n == WINDOW) == full)
@@ -267,20 +295,27 @@ class Network:
         return out
 
 
-class Vectors(dict):
+class Vectors:
     """Input vectors of words under a network, remembered up to a bound."""
 
     def __init__(self, net: Network):
-        self.net = net
-
-    def __missing__(self, w: str):
-        if len(self) >= MEMORY:
-            self.clear()
-        x = f"<{w}>"
-        grams = {xxhash.xxh3_64_intdigest(x[k : k + 3]) % GRAMS for k in range(max(1, len(x) - 2))}
-        v = self.net.p["G"][list(grams)].sum(0) / len(grams) + self.net.p["W"][xxhash.xxh3_64_intdigest(w) % WORDS]
-        self[w] = v
-        return v
+        self.net, self.at, self.known, self.size = net, {}, np.empty((1 << 12, DIM), np.float32), 0
+
+    def of(self, words: list[str]) -> np.ndarray:
+        if self.size > MEMORY:
+            self.at, self.size = {}, 0
+        k = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
+        if len(new := np.flatnonzero(k < 0)):
+            fresh = list(dict.fromkeys(words[j] for j in new.tolist()))
+            self.at |= zip(fresh, range(self.size, self.size + len(fresh)))
+            while len(self.known) < self.size + len(fresh):
+                self.known = np.concatenate([self.known, np.empty_like(self.known)])
+            for j in range(0, len(fresh), 20_000):
+                own = self.net.vectors(fresh[j : j + 20_000])
+                self.known[self.size : self.size + len(own)] = own
+                self.size += len(own)
+            k[new] = [self.at[words[j]] for j in new.tolist()]
+        return self.known[k]
 
 
 def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, rows: int = FIT_ROWS, check_rows: int = CHECK_ROWS) -> Network:
@@ -294,9 +329,12 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, rows: int = FIT_R
     for k in (0, 1):
         own = known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit((rows + check_rows) // 2)
         pick = own if pick is None else pick.unionByName(own)
-    # (rows + check_rows) texts at most
-    got = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).join(F.broadcast(pick), "doc_id").collect()
-    got.sort(key=lambda r: (r["h"], r["doc_id"], r["text"] or ""))
+    # one text of a doc_id; (rows + check_rows) texts at most
+    texts = docs.select("doc_id", "text").join(F.broadcast(pick), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    texts = saved(texts.select("toxic", "text", F.xxhash64("doc_id").alias("h"), "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")), "labelled")
+    so_far = F.sum("n").over(Window.partitionBy("toxic").orderBy("h", "doc_id"))
+    got = texts.where(F.col("n") <= FIT_BYTES // 64).withColumn("so_far", so_far).where(F.col("so_far") <= FIT_BYTES // 2).select("toxic", "text", "h", "doc_id").collect()
+    got.sort(key=lambda r: (r["h"], r["doc_id"]))
     net = Network()
     if not sizes.get(0) or not sizes.get(1) or len({r["toxic"] for r in got}) < 2:
         net.prior = float(bool(sizes.get(1)) and not sizes.get(0))
