@@ -28,18 +28,15 @@ def check(got, cap):
 def test_round_trip_and_capacities(spark):
     rows = AWKWARD + [(50 + k, text(k, k * 7)) for k in range(60)] + [(200, "<|endoftext|> x<|startoftext|>y\x01z \x1c it's"), (201, "a b　c\td\r\ne"), (202, "é É ß İ ퟿")]
     tok = Tokenizer.from_file(PATH)
-    for cap in (packing.Capacity(), packing.Capacity(256, 3, 256 * 256), packing.Capacity(256, 99, 30_000)):
-        docs = documents(spark, rows)
-        if cap.attention < cap.tokens**2:
-            docs = docs.where("length(text) < 400")
-            cap = packing.Capacity(256, 99, 65_536)
+    docs = documents(spark, rows)
+    for cap, size in ((packing.Capacity(), 2048), (packing.Capacity(256, 3, 256 * 256), 256), (packing.Capacity(256, 99, 30_000), 173)):
         got = packing.pack(docs, PATH, cap).collect()
         n = check(got, cap)
         assert n >= sum(r["length"] for r in got) / cap.tokens
         want = []
         for i, t in [(r["doc_id"], r["text"]) for r in docs.collect()]:
             ids = tok.encode(t or "", add_special_tokens=False).ids + [0]
-            want += [(i, k, a, len(ids[a : a + cap.tokens]), zlib.crc32(np.array(ids[a : a + cap.tokens], "<u4").tobytes())) for k, a in enumerate(range(0, len(ids), cap.tokens))]
+            want += [(i, k, a, len(ids[a : a + size]), zlib.crc32(np.array(ids[a : a + size], "<u4").tobytes())) for k, a in enumerate(range(0, len(ids), size))]
         key = lambda x: tuple(-1 if v is None else v for v in x)
         assert sorted((tuple(r)[:5] for r in got), key=key) == sorted(want, key=key)
     assert packing.pack(documents(spark, rows).limit(0), PATH).count() == 0
@@ -83,3 +80,10 @@ def test_a_hot_length_gets_every_slot_once(spark):
     got = packing.pack(docs, PATH).collect()
     assert len({(r["sequence_id"], r["offset"]) for r in got}) == 700
     check(got, packing.Capacity())
+
+
+def test_sequences_are_few(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = packing.pack(docs, PATH).groupBy().agg({"length": "sum", "sequence_id": "max"}).first()
+    tokens, sequences = got["sum(length)"], got["max(sequence_id)"] + 1
+    assert -(-tokens // 2048) <= sequences <= 1.01 * -(-tokens // 2048) + 1
