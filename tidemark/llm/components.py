@@ -28,7 +28,7 @@ def _union_find(batches):
     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([root(x) for x in ids], pa.int64())], ["id", "component"])
 
 
-def components(links: DataFrame, max_rounds: int = 60, local_links: int = LOCAL_LINKS) -> DataFrame:
+def components(links: DataFrame, local_links: int = LOCAL_LINKS) -> DataFrame:
     """``links(a, b)`` -> ``(id, component)`` for every linked id, component
     being the smallest id reachable.
 
@@ -43,7 +43,7 @@ def components(links: DataFrame, max_rounds: int = 60, local_links: int = LOCAL_
     if e.count() <= local_links:
         return saved(e.coalesce(1).mapInArrow(_union_find, "id long, component long"), "components")
     before = None
-    for _ in range(max_rounds):
+    while True:
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -59,8 +59,6 @@ def components(links: DataFrame, max_rounds: int = 60, local_links: int = LOCAL_
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError("components did not settle")
     ends = e.select(F.col("u").alias("id"), F.col("v").alias("component"))
     roots = e.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return ends.unionByName(roots)
