@@ -114,25 +114,49 @@ def structure_versions(structures: DataFrame, mappings: DataFrame, found: DataFr
 
 def best_meaning(mappings: DataFrame) -> DataFrame:
     """One meaning per (structure, state): the best priority, the number of
-    different meanings that share it, and the first of them in order."""
+    different meanings that share it, and the first of them in order. Only rows of
+    the best priority, found by a partial aggregation, are sorted."""
     cols = ["state_name", "control_uuid", "control_name", "control_type", "room_uuid", "room_name", "category_uuid", "category_name", "mapping_source", "mapping_priority"]
     key = ["structure_id", "state_uuid"]
     w = Window.partitionBy(*key)
     order = [F.col(c).asc_nulls_last() for c in ("control_uuid", "state_name", "mapping_source", "control_name", "control_type", "room_uuid", "category_uuid")]
-    best = mappings.select(*key, *cols).distinct().withColumn("_top", F.min("mapping_priority").over(w)).where("mapping_priority = _top").drop("_top")
+    top = mappings.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.min("mapping_priority").alias("_top"))
+    cond = F.col("mapping_priority") == F.col("_top")
+    for k in key:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    best = mappings.select(*key, *cols).join(top, cond, "left_semi").distinct()
     return (
         best.withColumn("competing_best_mappings", F.count(F.lit(1)).over(w).cast("int"))
         .withColumn("_n", F.row_number().over(w.orderBy(*order))).where("_n = 1").drop("_n")
     )
 
 
+def _meaning():
+    return F.concat("control_uuid", F.lit("|"), F.coalesce("state_name", F.lit("")), F.lit("|"), "mapping_source")
+
+
+def conflict_keys(mappings: DataFrame) -> DataFrame:
+    """(structure, state) with more than one meaning; meanings are compared by
+    their hashes, in one partial aggregation."""
+    h = F.when(_meaning().isNotNull(), F.xxhash64(_meaning()))
+    return mappings.groupBy("structure_id", "state_uuid").agg(F.min(h).alias("lo"), F.max(h).alias("hi")).where("lo <> hi").select("structure_id", "state_uuid")
+
+
 def conflicts(mappings: DataFrame) -> DataFrame:
-    """States with more than one meaning in a structure, meanings in order."""
-    meaning = F.concat("control_uuid", F.lit("|"), F.coalesce("state_name", F.lit("")), F.lit("|"), "mapping_source")
-    text = F.concat("mapping_source", F.lit(":"), F.coalesce("control_name", F.lit("?")), F.lit("."), F.coalesce("state_name", F.lit("?")))
-    # sorted by priority, control and state name with NULLs last
-    item = F.struct(F.col("mapping_priority").alias("p"), F.col("control_name").isNull().alias("cn"), F.col("control_name").alias("c"), F.col("state_name").isNull().alias("sn"), F.col("state_name").alias("s"), text.alias("t"))
-    return mappings.groupBy("structure_id", "state_uuid").agg(
-        F.count(F.lit(1)).alias("mapping_count"), F.countDistinct(meaning).alias("distinct_meanings"),
-        F.min("mapping_priority").alias("best_priority"), F.sort_array(F.collect_list(item)).alias("_m"),
-    ).where("distinct_meanings > 1").select("structure_id", "state_uuid", "mapping_count", "distinct_meanings", "best_priority", F.array_join(F.transform("_m", lambda x: x["t"]), " | ").alias("meanings"))
+    """States with more than one meaning in a structure, meanings in order of
+    priority, control and state name, NULLs last. Every key's rows are wanted, so
+    they are dealt once by key and gathered there; texts are built for the keys
+    that stay, meanings compared by their hashes."""
+    key = ["structure_id", "state_uuid"]
+    item = F.struct(
+        F.col("mapping_priority").alias("p"), F.col("control_name").isNull().alias("cn"), F.col("control_name").alias("c"), F.col("state_name").isNull().alias("sn"),
+        F.col("state_name").alias("s"), F.col("mapping_source").alias("m"), F.when(_meaning().isNotNull(), F.xxhash64(_meaning())).alias("h"),
+    )
+    rows = mappings.select(*key, item.alias("_i")).repartition(*key).groupBy(*key).agg(F.sort_array(F.collect_list("_i")).alias("_m"))
+    kinds = F.array_distinct(F.filter(F.transform("_m", lambda x: x["h"]), lambda h: h.isNotNull()))
+    text = lambda x: F.concat(x["m"], F.lit(":"), F.coalesce(x["c"], F.lit("?")), F.lit("."), F.coalesce(x["s"], F.lit("?")))
+    many = rows.withColumn("distinct_meanings", F.size(kinds).cast("long")).where("distinct_meanings > 1")
+    return many.select(
+        *key, F.size("_m").cast("long").alias("mapping_count"), "distinct_meanings", F.array_min(F.transform("_m", lambda x: x["p"])).alias("best_priority"),
+        F.array_join(F.transform("_m", text), " | ").alias("meanings"),
+    )

@@ -20,6 +20,15 @@ def spool_status(spool: DataFrame, at: str = "received_at") -> DataFrame:
     )
 
 
+def lag_quantiles(lags: DataFrame, keys: list[str], seconds: str) -> DataFrame:
+    """Median, 95th percentile and worst of whole seconds by key: exact, over
+    counts of equal values, so that a group sends its distinct values only."""
+    counted = lags.groupBy(*keys, seconds).agg(F.count(F.lit(1)).alias("_n"))
+    q = F.percentile(seconds, [0.5, 0.95], F.col("_n"))
+    out = counted.groupBy(*keys).agg(q.alias("_q"), F.max(seconds).alias("worst"))
+    return out.select(*keys, F.round(F.get("_q", F.lit(0)), 3).alias("p50"), F.round(F.get("_q", F.lit(1)), 3).alias("p95"), "worst")
+
+
 def health(status: dict, now: datetime, check_backlog: bool = True, stale: timedelta = STALE, oldest: timedelta = OLDEST, most: int = MOST_PENDING) -> list[str]:
     """Problems of a status row; limits themselves are healthy."""
     out = []

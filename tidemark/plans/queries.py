@@ -15,7 +15,7 @@ from ..functions import cast_naive, floor_naive, json_kind, local_time, seconds_
 from ..operators import mapping, marts
 from ..operators.asof import asof, merged, resolution
 from ..operators.keys import expired, insert_or_ignore, newest, newest_batches, replace, unprocessed, within, without
-from ..operators.reports import spool_status
+from ..operators.reports import lag_quantiles, spool_status
 from ..session import configure
 from ..streaming.ingest import latest_snapshot, latest_stream
 
@@ -134,7 +134,7 @@ FROM (SELECT l_returnflag, date_diff('second', o_orderdate, l_shipdate) AS s FRO
 def quantile_lag(spark, d):
     o = t(spark, d, "orders").select("o_orderkey", "o_orderdate")
     s = t(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_shipdate").join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("l_returnflag", seconds_between(F.col("o_orderdate"), F.col("l_shipdate")).alias("s"))
-    return s.groupBy("l_returnflag").agg(F.round(F.percentile("s", 0.5), 3).alias("p50"), F.round(F.percentile("s", 0.95), 3).alias("p95"), F.max("s").alias("worst"))
+    return lag_quantiles(s, ["l_returnflag"], "s")
 
 
 @query("SELECT user_id, count(*) AS n, count(DISTINCT event_type) AS kinds, string_agg(DISTINCT event_type, ' | ' ORDER BY event_type) AS names FROM events GROUP BY 1 HAVING count(DISTINCT event_type) > 1")
@@ -242,7 +242,7 @@ UNION ALL SELECT 'max_event_time_utc', NULL, strftime(max(received_at), '%Y-%m-%
 def dq_summary(spark, d):
     docs = t(spark, d, "documents").select("doc_id", "text")
     whole = _explained(spark, d).withColumn("received_at", F.date_trunc("second", "received_at"))
-    out = marts.data_quality(whole, mapping.conflicts(_mappings(spark, d)), docs.where(F.length("text") > mapping.LEAST_LENGTH), docs)
+    out = marts.data_quality(whole, mapping.conflict_keys(_mappings(spark, d)), docs.where(F.length("text") > mapping.LEAST_LENGTH), docs)
     return out.withColumn("value_numeric", F.round("value_numeric", 9))
 
 
