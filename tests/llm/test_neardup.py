@@ -123,3 +123,23 @@ def test_threshold_is_a_parameter(spark, threshold):
 
 def test_tables_and_signature_follow_the_threshold():
     assert [neardup.sub_keys(t) for t in (85, 80)] == [8, 10] and [neardup.sig_least(t) for t in (85, 80)] == [90, 81]
+
+
+def test_large_group_of_several_components(spark, monkeypatch):
+    """2,000 near copies, most alike and some alone or in small groups."""
+    monkeypatch.setattr(neardup, "BLOCK", 100)
+    base = text(5, 60)
+    rng = random.Random(8)
+    rows = [(k, edited(base, rng.choice([0.012, 0.012, 0.03]), k)) for k in range(600)]
+    rows += [(600 + k, edited(rows[k % 600][1], 0.004, 5000 + k)) for k in range(1400)]
+    want = brute(rows)
+    assert len({c for _, c, _ in want.values()}) > 20
+    for r in neardup.near_duplicates(documents(spark, rows).repartition(5)).collect():
+        assert (r["n_shingles"], r["component_id"], r["kept"]) == want[r["doc_id"]], r["doc_id"]
+
+
+def test_texts_of_one_id_join_their_groups(spark):
+    x, y, z = text(1, 40), text(2, 40), text(3, 40)
+    rows = [(5, x), (3, x), (5, y), (9, edited(y, 0.01, 4)), (7, z), (7, y), (8, z)]
+    got = {(r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(documents(spark, rows)).collect()}
+    assert got == {(5, 3), (3, 3), (9, 3), (7, 3), (8, 3)}

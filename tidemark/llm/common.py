@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -59,6 +60,12 @@ def forget(*tables: DataFrame) -> None:
         where.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def cleared(spark: SparkSession) -> None:
+    """Shuffle files of steps that are saved go with their last reference."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def words_col(text: Column) -> Column:
     """Words of a text as an array; null and empty texts have none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")

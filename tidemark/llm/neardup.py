@@ -13,8 +13,15 @@
    threshold, share one of their n - ceil(t n) + 1 first shingles in any common
    order, so ordering by (approximate) frequency loses no pair, and texts that
    only share a frequent passage never meet.
-4. Small groups are compared in pairs; larger ones compare everyone to a leader,
-   and then only members still in different components, to ever more leaders.
+4. Small groups are compared in pairs. Larger ones of much the same members -
+   near copies share many shingles - become one: groups are united by their member
+   of the smallest hash, so two meet with a probability of their members'
+   similarity and none is split. Everyone is compared to a leader, which settles
+   most of a group of near copies. Then members outside a group's largest
+   component lead in turn, ever more of them at once: each meets the members of
+   other components in blocks of ``BLOCK``, and only pairs that pass the signature
+   test are passed on. A leader has met everyone and leaves the group, so a group
+   ends when one component is left.
 5. A signature of 128 minhashes discards hopeless pairs (a link fails that test
    with probability 7e-6); every link is confirmed on the full sets.
 
@@ -22,7 +29,7 @@ The threshold, in per cent, is a parameter: 85 is op5's, the pipeline has 80.
 
 Edge cases: null or empty texts (no words) have an empty set and link with
 nothing; fewer than 5 words make one shingle; rows that share a doc_id share a
-fate; a null doc_id links with nothing and has a null component; an empty table
+fate, and where their texts differ the links of all of them count; a null doc_id links with nothing and has a null component; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -36,13 +43,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_words, memory, saved
+from .common import cleared, forget, lower_words, memory, saved
 from .components import components
 
 SHINGLE, THRESHOLD = 5, 85
 N_SIG = 128                   # longer signature of candidates
 MISS_TABLES, MISS_SIG = 7.5e-5, 7e-6  # chances to lose a link at the threshold, at most
 SMALL = 16                    # groups of up to its square in pairs are compared at once
+LEADERS, BLOCK = 32, 512      # leaders of a group in the first round; members that meet them at once
 FREQ_BITS = 18                # buckets of the approximate frequency table
 BROADCAST_ROWS = 1_000_000    # 8-byte ids sent to all executors at most
 
@@ -112,6 +120,12 @@ def minhashes(s: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def set_digest(s: np.ndarray) -> tuple[int, int]:
+    """Two longs that tell sets apart."""
+    d = xxhash.xxh3_128_digest(s)
+    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+
+
 def _signatures(n_min: int):
     def run(batches):
         memory("neardup")
@@ -121,9 +135,9 @@ def _signatures(n_min: int):
             for t in b.column(1):
                 s = shingles(t.as_py(), cache)
                 n.append(len(s))
-                d = xxhash.xxh3_128_digest(s)
-                s1.append(int.from_bytes(d[:8], "little", signed=True))
-                s2.append(int.from_bytes(d[8:], "little", signed=True))
+                a, z = set_digest(s)
+                s1.append(a)
+                s2.append(z)
                 mins.append(minhashes(s, n_min).view(np.int64) if len(s) else np.empty(0, np.int64))
             off = np.r_[0, np.cumsum([len(m) for m in mins])].astype(np.int32)
             vals = np.concatenate(mins) if mins else np.empty(0, np.int64)
@@ -139,18 +153,19 @@ def _sets(batches):
     memory("neardup")
     cache = WordHashes()
     for b in batches:
-        ids, ns, sets, sigs = [], [], [], []
+        ids, ns, sets, sigs, digests = [], [], [], [], []
         for i, t in zip(b.column(0).to_pylist(), b.column(1)):
             s = shingles(t.as_py(), cache)
             ids.append(i)
             ns.append(len(s))
             sets.append(s.view(np.int64))
             sigs.append((minhashes(s, N_SIG) >> np.uint64(56)).astype(np.uint8).tobytes())
+            digests.append(set_digest(s))
         off = np.r_[0, np.cumsum([len(m) for m in sets])].astype(np.int32)
         vals = np.concatenate(sets) if sets else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.ListArray.from_arrays(off, pa.array(vals)), pa.array(sigs, pa.binary())],
-            ["rep", "n", "set", "sig"],
+            [pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), *[pa.array(x, pa.int64()) for x in (zip(*digests) if digests else ([], []))], pa.ListArray.from_arrays(off, pa.array(vals)), pa.array(sigs, pa.binary())],
+            ["rep", "n", "s1", "s2", "set", "sig"],
         )
 
 
@@ -203,9 +218,10 @@ def _pick(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Links among pairs(a, b): signature test, then the full sets."""
+def _near(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """pairs(a, b) whose signatures are near."""
     sig, least = sets.select("rep", "sig"), sig_least(threshold)
+
     def filtered(batches):
         for t in batches:
             x = np.frombuffer(b"".join(t.column(2).to_pylist()), np.uint8).reshape(-1, N_SIG)
@@ -213,42 +229,88 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             m = (x == y).sum(axis=1) >= least
             yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], ["a", "b"]).filter(pa.array(m))
 
-    near = (
+    return (
         pairs.join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("x")), "a")
         .join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("y")), "b")
         .select("a", "b", "x", "y").mapInArrow(filtered, "a long, b long")
     )
+
+
+def _confirm(near: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links among pairs(a, b), on the full sets."""
     one = near.join(sets.select(F.col("rep").alias("b"), F.col("set").alias("sb")), "b")
     two = one.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("sa")), "a")
     i = F.size(F.array_intersect("sa", "sb"))
     return two.select("a", "b", i.alias("i"), (F.size("sa") + F.size("sb")).alias("t")).where(100 * F.col("i") >= threshold * (F.col("t") - F.col("i"))).select("a", "b")
 
 
+def _meet(threshold: int):
+    """Pairs of a group's leaders and a block of its members that are in
+    different components, may link, and have near signatures."""
+    least = sig_least(threshold)
+
+    def columns(t: pa.Table):
+        rep, n, i, early, comp = (t.column(c).to_numpy() for c in ("rep", "n", "i", "early", "comp"))
+        return rep, n, i, early, comp, np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(-1, N_SIG)
+
+    def run(key, leaders: pa.Table, members: pa.Table) -> pa.Table:
+        out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        if len(leaders) and len(members):
+            la, ln, li, le, lc, ls = columns(leaders)
+            ma, mn, mi, me, mc, ms = columns(members)
+            for k in range(0, len(la), 128):
+                row = lambda x: x[k : k + 128, None]
+                most = np.minimum(row(ln - li), mn - mi)
+                may = (row(lc) != mc) & (row(le) | me) & ((100 + threshold) * most >= threshold * (row(ln) + mn))
+                may &= 100 * np.minimum(row(ln), mn) >= threshold * np.maximum(row(ln), mn)
+                x, y = np.nonzero(may)
+                for z in range(0, len(x), 65536):
+                    p, q = x[z : z + 65536] + k, y[z : z + 65536]
+                    m = (ls[p] == ms[q]).sum(axis=1) >= least
+                    out_a.append(la[p[m]])
+                    out_b.append(ma[q[m]])
+        a, b = np.concatenate(out_a), np.concatenate(out_b)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return run
+
+
 def classes_and_labels(docs: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Per document its class, per class its representative, per linked
     representative its component."""
     spark, pairs_each = docs.sparkSession, sub_keys(threshold)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = saved(docs.mapInArrow(_signatures(4 * pairs_each), "doc_id long, n long, s1 long, s2 long, mins array<bigint>"), "signed")
+    whole = saved(docs.mapInArrow(_signatures(4 * pairs_each), "doc_id long, n long, s1 long, s2 long, mins array<bigint>"), "signatures")
     key = ["s1", "s2", "n"]
-    reps = saved(
-        signed.where("n > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min(F.struct("doc_id", "mins")).alias("m")).select(*key, F.col("m.doc_id").alias("rep"), F.col("m.mins").alias("mins")),
-        "reps",
+    signed = saved(whole.select("doc_id", *key), "signed")
+    firsts_of = saved(
+        whole.where("n > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min(F.struct("doc_id", "mins")).alias("m")).select(*key, F.col("m.doc_id").alias("rep"), F.col("m.mins").alias("mins")),
+        "minhashes",
     )
+    reps = saved(firsts_of.select(*key, "rep"), "reps")
+    forget(whole)
     pair = lambda first, i: F.xxhash64(F.lit(int(first)), i, F.get("mins", 2 * i + first), F.get("mins", 2 * i + first + 1))
     sub = lambda first: F.transform(F.sequence(F.lit(0), F.lit(pairs_each - 1)), lambda i: pair(first, i))
-    rows = reps.select("rep", sub(0).alias("ka"), sub(2 * pairs_each).alias("kb"))
-    first = rows.select("rep", "kb", F.explode("ka").alias("k"))
     shared = lambda d: d.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k")
-    firsts = rows.select(F.explode("ka").alias("k"))
-    second = saved(
-        first.join(shared(firsts), "k", "left_semi").select("rep", "k", F.explode("kb").alias("kb")).select("rep", F.xxhash64("k", "kb").alias("k")),
-        "tables",
-    )
+    first = firsts_of.select("rep", F.explode(sub(0)).alias("k"))
+    # the second collection is sent only to the keys that are left
+    first = saved(first.join(shared(first), "k", "left_semi"), "first")
+    left = firsts_of.select("rep", sub(2 * pairs_each).alias("kb")).join(first, "rep")
+    second = saved(left.select("rep", "k", F.explode("kb").alias("kb")).select("rep", F.xxhash64("k", "kb").alias("k")), "tables")
+    forget(firsts_of, first)
+    cleared(spark)
+    # Of a doc_id with several texts all are one document.
+    several = saved(signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(*key)).alias("lo"), F.max(F.struct(*key)).alias("hi")).where("lo <> hi").select("doc_id"), "several")
+    own = None
+    if several.count():
+        theirs = signed.where("n > 0").select("doc_id", *key).join(several, "doc_id", "left_semi").distinct()
+        own = saved(theirs.join(reps, key).where("rep <> doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct(), "own")
     survivors = saved(second.join(shared(second), "k", "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "survivors")
-    sets = saved(_pick(docs, survivors).mapInArrow(_sets, "rep long, n long, set array<bigint>, sig binary"), "sets")
+    forget(second)
+    cleared(spark)
+    sets = saved(_pick(docs, survivors).mapInArrow(_sets, "rep long, n long, s1 long, s2 long, set array<bigint>, sig binary"), "sets")
     if sets.count() > survivors.count():  # rows that share a doc_id
-        sets = saved(sets.dropDuplicates(["rep"]), "sets")
+        sets = saved(sets.join(reps, [*key, "rep"], "left_semi").dropDuplicates([*key, "rep"]), "sets")
     # 2^18 sums at most, whatever the input
     got = sets.select("set").mapInArrow(_frequencies, "bucket int, c long").groupBy("bucket").agg(F.sum("c").alias("c")).collect()
     freq = np.zeros(1 << FREQ_BITS, np.int64)
@@ -259,58 +321,63 @@ def classes_and_labels(docs: DataFrame, threshold: int = THRESHOLD) -> tuple[Dat
     # group needs one such member.
     early = F.col("i") * (100 + threshold) <= F.col("n") * (100 - threshold)
     prefix = saved(prefix.withColumn("early", early), "prefix")
-    n_prefix = prefix.count()
     groups = prefix.groupBy("g").agg(
         F.count(F.lit(1)).alias("c"), F.count_if("early").alias("ce"), F.bit_xor(F.xxhash64("rep")).alias("who"), F.sum("i").alias("si"),
     ).where("c > 1 AND ce > 0")
     # Many shingles are shared by the very same sets: the first one is enough.
     groups = groups.groupBy("c", "who").agg(F.min(F.struct("si", "g", "ce")).alias("m")).select("m.g", "m.ce", (F.col("m.ce") * F.col("c")).alias("pairs"))
     met = saved(prefix.join(groups, "g"), "met")
+    forget(prefix)
+    cleared(spark)
     ordered = lambda d: d.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def paired(d: DataFrame, apart: bool) -> DataFrame:
-        side = lambda x: d.select("g", "early", *[F.col(c).alias(c + x) for c in ("rep", "n", "i", *(["comp"] if apart else []))])
+    def paired(d: DataFrame) -> DataFrame:
+        side = lambda x: d.select("g", "early", *[F.col(c).alias(c + x) for c in ("rep", "n", "i")])
         x, y = side("a").where("early").drop("early"), side("b")
         cond = _may_link("na", "ia", "nb", "ib", threshold) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("repa") < F.col("repb"))) | ((F.col("na") == F.col("nb")) & ~F.col("early")))
-        cond = cond & (F.col("repa") != F.col("repb"))
-        out = x.join(y, "g").where(cond & (F.col("compa") != F.col("compb")) if apart else cond)
-        return out.select(F.col("repa").alias("a"), F.col("repb").alias("b"))
-
-    def leads(k: int):
-        """About k of a group's early members, by hash."""
-        return F.col("early") & (F.pmod(F.xxhash64("g", "rep"), F.col("ce")) < k)
-
-    def starred(d: DataFrame, k: int, apart: bool) -> DataFrame:
-        lead = d.where(leads(k)).select("g", F.col("rep").alias("l"), F.col("n").alias("ln"), F.col("i").alias("li"), *([F.col("comp").alias("lc")] if apart else []))
-        out = d.join(lead, "g").where((F.col("rep") != F.col("l")) & _may_link("n", "i", "ln", "li", threshold))
-        return (out.where("comp <> lc") if apart else out).select(F.col("l").alias("a"), F.col("rep").alias("b"))
-
-    tested = ordered(paired(met.where(F.col("pairs") <= SMALL * SMALL), False).unionByName(starred(met.where(F.col("pairs") > SMALL * SMALL), 1, False)))
-    tested = saved(tested, "tested")
-    links = saved(_verify(tested, sets, threshold), "linked")
+        return x.join(y, "g").where(cond & (F.col("repa") != F.col("repb"))).select(F.col("repa").alias("a"), F.col("repb").alias("b"))
+
+    def starred(d: DataFrame) -> DataFrame:
+        lead = d.where(first_leads).select("g", F.col("rep").alias("l"), F.col("n").alias("ln"), F.col("i").alias("li"))
+        return d.join(lead, "g").where((F.col("rep") != F.col("l")) & _may_link("n", "i", "ln", "li", threshold)).select(F.col("l").alias("a"), F.col("rep").alias("b"))
+
+    # about one of a group's early members, by hash
+    first_leads = F.col("early") & (F.pmod(F.xxhash64("g", "rep"), F.col("ce")) < 1)
+    small, large = met.where(F.col("pairs") <= SMALL * SMALL), met.where(F.col("pairs") > SMALL * SMALL)
+    united = large.groupBy("g").agg(F.min(F.xxhash64("rep")).alias("_g"))
+    large = large.join(united, "g").groupBy(F.col("_g").alias("g"), "rep", "n").agg(F.min("i").alias("i"), F.max("early").alias("early"))
+    size = large.groupBy("g").agg(F.count_if("early").alias("ce"))
+    large = saved(large.join(size, "g"), "large")
+    tested = saved(ordered(paired(small).unionByName(starred(large))), "tested")
+    links = saved(_confirm(_near(tested, sets, threshold), sets, threshold), "linked")
+    if own is not None:
+        links = saved(links.unionByName(own), "links")
     labels = components(links)
-    live, k = met.where(F.col("pairs") > SMALL * SMALL).withColumn("early", F.col("early") & ~leads(1)).drop("pairs", "ce"), 1
+    live = saved(large.where(~first_leads).select("g", "rep", "n", "i", "early").join(sets.select("rep", "sig"), "rep"), "live")
+    forget(met, large)
+    cleared(spark)
+    k = LEADERS
     while True:
-        # Groups with members in different components; these are compared with
-        # twice as many further leaders, and in pairs once the pairs are few
-        # against the input. A leader has met everyone and is not early again.
-        k *= 2
-        named = live.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").select("g", "rep", "n", "i", "early", F.coalesce("component", "rep").alias("comp"))
-        split = named.groupBy("g").agg(F.count_if("early").alias("ce"), (F.count(F.lit(1)) * F.count_if("early")).alias("pairs"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi AND pairs > 0")
-        named = saved(named.join(split.select("g", "ce", "pairs"), "g"), "apart")
-        n_left = named.groupBy("g").agg(F.first("pairs").alias("p")).agg(F.sum("p")).first()[0]
-        if not n_left:
+        named = live.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").select(*live.columns, F.coalesce("component", "rep").alias("comp"))
+        named = saved(named, "named")
+        parts = named.groupBy("g", "comp").agg(F.count(F.lit(1)).alias("c"), F.count_if("early").alias("e"))
+        apart = parts.groupBy("g").agg(F.sum("c").alias("m"), F.sum("e").alias("e"), F.max(F.struct("c", "comp")).alias("top")).where("m > top.c AND e > 0")
+        apart = apart.select("g", "m", (F.col("m") - F.col("top.c")).alias("s"), F.col("top.comp").alias("main"))
+        named = saved(named.join(apart, "g").withColumn("leads", (F.col("comp") != F.col("main")) & (F.pmod(F.xxhash64("g", "rep"), F.col("s")) < k)), "apart")
+        if not named.limit(1).count():
             break
-        last = n_left <= 4 * n_prefix
-        more = paired(named, True) if last else starred(named, k, True)
-        more = saved(ordered(more).join(tested, ["a", "b"], "left_anti"), "tested")
-        found = saved(_verify(more, sets, threshold), "linked")
-        links, tested = saved(links.unionByName(found), "links"), saved(tested.unionByName(more), "tested")
+        blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+        cols = ["g", "block", "rep", "n", "i", "early", "comp", "sig"]
+        leaders = named.where("leads").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(*cols)
+        members = named.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).select(*cols)
+        near = leaders.groupBy("g", "block").cogroup(members.groupBy("g", "block")).applyInArrow(_meet(threshold), "a long, b long")
+        near = saved(near.distinct().join(tested, ["a", "b"], "left_anti"), "near")
+        links, tested = saved(links.unionByName(_confirm(near, sets, threshold)), "links"), saved(tested.unionByName(near), "tested")
         labels = components(links)
-        if last:
-            break
-        live = named.withColumn("early", F.col("early") & ~leads(k)).drop("pairs", "comp", "ce")
-    return signed.select("doc_id", *key), reps.select(*key, "rep"), labels
+        cleared(spark)
+        live, k = named.where("NOT leads").select(*live.columns), 8 * k
+    forget(sets, tested)
+    return signed, reps, labels
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

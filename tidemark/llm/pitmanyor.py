@@ -40,7 +40,6 @@ result; other columns are ignored. A text is one block at least.
 
 from __future__ import annotations
 
-import gc
 from collections import Counter
 from dataclasses import dataclass, field
 from functools import reduce
@@ -54,7 +53,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, forget, lower_words, saved
+from .common import cleared, crc_mod, forget, lower_words, saved
 
 BURN_IN, SAMPLES = 2, 2
 FREQUENT = 250_000     # below 2^20, as two numbers share a long
@@ -563,12 +562,6 @@ def _finish(n: int, v: int):
     return run
 
 
-def _cleared(spark) -> None:
-    """Shuffle files of steps that are saved go with their last reference."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 class Model:
     """The seating of contexts and words: a table of pairs seen twice or more, a
     table of the vocabulary, arrays for the book."""
@@ -639,7 +632,7 @@ class Model:
             self.samples.append((self.book_tables, own))
             self.rare.append(saved(words.where("w < 0"), "rare"))
         forget(seated)
-        _cleared(self.spark)
+        cleared(self.spark)
 
 
 def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
@@ -664,7 +657,7 @@ def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
     sent = spark.sparkContext.broadcast(book)
     words = saved(vocabulary.select("word", "c_train").mapInArrow(_coded(sent), "word binary, code long, c_train long"), "coded")
     forget(vocabulary)
-    _cleared(spark)
+    cleared(spark)
     buckets = 32 + sum(r["n"] for r in kinds) // BUCKET_TOKENS
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held_out"), F.coalesce(~held, F.lit(False)).alias("trains"))
     blocks = saved(rows.mapInArrow(_blocks(spark.sparkContext.broadcast((book, n, v)), buckets), _DDL), "blocks", by="kind")
@@ -672,7 +665,7 @@ def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
     told = saved(asked.applyInArrow(_pairs, "kind int, key long, u long, w long, c long"), "told", by="kind")
     model = Model(spark, book, words, told)
     forget(words)
-    _cleared(spark)
+    cleared(spark)
     for k in range(BURN_IN + SAMPLES):
         model.sweep(k)
     tagged = [r.select("w", *[F.col("lp").alias(x) if i == k else F.lit(None).cast("double").alias(x) for i, x in enumerate(_XS)]) for k, r in enumerate(model.rare)]
@@ -686,6 +679,6 @@ def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
     answers = asked.cogroup(known.groupBy("key")).applyInArrow(_answer(final), "block long, key long, kind int, a binary, b binary")
     answers = saved(answers, "answers")
     forget(told, model.multi, model.words, model.once, model.rare_tables, *model.rare)
-    _cleared(spark)
+    cleared(spark)
     texts = blocks.where(F.col("kind") == TEXTS).select("block", "a", "b")
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_finish(n, v), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
