@@ -136,3 +136,28 @@ def test_marts(home):
     assert len(q) == 14
     assert (q["silver_events"]["value_numeric"], q["unresolved_events"]["value_numeric"], q["resolved_percent"]["value_numeric"]) == (4.0, 1.0, 75.0)
     assert q["max_event_time_utc"]["value_text"] == "2026-09-05 00:00:00+00"
+
+
+def test_batches_look_at_what_is_new_only(spark, tmp_path):
+    """After catching up, messages before the frontier are not looked at, but those
+    of a source with a newer structure are."""
+    h = Home(spark, tmp_path / "store", batch_size=3, max_batches=9, recheck=False, slack_seconds=1)
+    h.s.append(structure("s1", "2026-09-01", document()))
+    h.m += [message(f"m{k}", f"2026-09-{k + 2:02d}", {STATE: k}) for k in range(7)]
+    assert h.refresh.run()["messages_processed"] == 7
+    m = messages(spark, h.m)
+    assert h.refresh.recent()(m).count() == 1 and h.refresh.recent(whole=True)(m).count() == 7
+    h.m += [message("n", "2026-09-20", {STATE: 8}), message("old", "2026-09-02", {STATE: 9})]
+    assert h.refresh.run()["messages_processed"] == 1  # the one that claims to be old waits for a look at everything
+    h.refresh.limits = Limits(batch_size=3)
+    assert h.refresh.run()["messages_processed"] == 1
+    h.s.append(structure("s2", "2026-09-05", document("New")))
+    h.s.append(structure("o1", "2026-09-05", document(), source="other"))
+    h.refresh.limits = Limits(batch_size=3, recheck=False)
+    assert h.refresh.run()["messages_processed"] == 5
+    before = h.rows("message_id", "control_name")
+    h.refresh.store.compact()
+    assert h.refresh.store.vacuum() > 0
+    assert h.rows("message_id", "control_name") == before and len(h.refresh.store.commits()) == 1
+    assert h.refresh.run()["messages_processed"] == 0
+    assert not [p for p in h.refresh.store.files.list(f"{h.refresh.store.root}/_batch")]

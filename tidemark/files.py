@@ -60,6 +60,11 @@ class Files:
             return []
         return sorted(x.getPath().toString() for x in fs.listStatus(p) if not x.getPath().getName().startswith("."))
 
+    def size(self, path: str) -> int:
+        """Bytes of a file or of all files below a folder."""
+        fs, p = self._at(path)
+        return fs.getContentSummary(p).getLength()
+
     def delete(self, path: str) -> None:
         fs, p = self._at(path)
         fs.delete(p, True)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,6 +21,15 @@ def newest(df: DataFrame, keys: Sequence[str], by: Sequence[str | Column]) -> Da
     return best.select(*keys, *[F.col(f"_best.`{c}`").alias(c) for c in rest]).select(*df.columns)
 
 
+def bounded(df: DataFrame, order: Sequence[str], rows: int, size: int, column: str) -> DataFrame:
+    """The first rows in order, at most ``rows``, and of these as many as hold
+    ``size`` bytes of a column, one at least."""
+    w = Window.partitionBy().orderBy(*order)  # over ``rows`` rows
+    total = F.sum(F.coalesce(F.octet_length(column), F.lit(0))).over(w)
+    first = df.orderBy(*order).limit(rows).withColumns({"_total": total, "_n": F.row_number().over(w)})
+    return first.where((F.col("_n") == 1) | (F.col("_total") <= size)).drop("_total", "_n")
+
+
 def _on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
     other = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys]).distinct()
     cond = None

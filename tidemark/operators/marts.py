@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import utc_text
 from ..schemas import CURRENT_STATE
 from .keys import newest, within
+from .mapping import conflict_keys, conflicts
 
 #: Fixed: lower-case names that decide a state's retention class.
 METER_NAMES = ("total", "totalday", "totalweek", "totalmonth", "totalyear", "totalneg", "totalnegday", "totalnegweek", "totalnegmonth", "totalnegyear")
@@ -41,6 +42,18 @@ def hourly_state(events: DataFrame, keys: tuple[str, ...] = ("source_id", "state
     )
 
 
+def register_views(spark, events: DataFrame, mappings: DataFrame, structure_versions: DataFrame, structures: DataFrame, prefix: str = "") -> list[str]:
+    """Makes the served tables temporary views, for SQL and the catalog; their
+    names."""
+    views = {
+        "state_events": events, "current_state": current_state(events), "hourly_state": hourly_state(events), "mapping_conflicts": conflicts(mappings), "retention_hints": retention_hints(events),
+        "unresolved_states": unresolved_states(events), "data_quality": data_quality(events, conflict_keys(mappings), structure_versions, structures),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(f"{prefix}{name}")
+    return [f"{prefix}{name}" for name in views]
+
+
 def touched_hours(events: DataFrame, new: DataFrame) -> DataFrame:
     """Events of the (source, state, hour) that new events fall into."""
     hour = lambda d: d.withColumn("_hour", F.date_trunc("hour", "received_at"))

@@ -29,7 +29,8 @@ class CorruptBatch(RuntimeError):
 
 
 def _checksum(df: DataFrame) -> dict:
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*sorted(df.columns))).alias("h")).first()
+    # a sum, as equal rows would cancel each other under XOR
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")).cast("string").alias("h")).first()
     return {"rows": r["n"], "hash": r["h"]}
 
 
@@ -52,6 +53,7 @@ class Outbox:
             path = f"{self.folder(n)}/{t}"
             df.write.mode("overwrite").option("compression", "zstd").parquet(path)
             manifest["tables"][t] = _checksum(self.spark.read.parquet(path))
+        manifest["bytes"] = sum(self.files.size(f"{self.folder(n)}/{t}") for t in tables)
         self.files.create(f"{self.folder(n)}/_manifest.json", json.dumps(manifest, sort_keys=True))
         return manifest
 
@@ -64,6 +66,9 @@ class Outbox:
                 out.append(int(name[6:]))
         return out
 
+    def bytes(self, n: int) -> int:
+        return json.loads(self.files.read(f"{self.folder(n)}/_manifest.json"))["bytes"]
+
     def read(self, n: int) -> dict[str, DataFrame]:
         """Tables of a batch, checked against its manifest."""
         manifest = json.loads(self.files.read(f"{self.folder(n)}/_manifest.json"))
@@ -128,16 +133,18 @@ class Target:
             raise RuntimeError(f"version {v} is taken")
 
 
-def publish(outbox: Outbox, target: Target, max_batches: int = 100, max_seconds: float = 180, clock=time.monotonic) -> dict:
-    """Publishes pending batches, combined; those known already are only
-    acknowledged."""
+def publish(outbox: Outbox, target: Target, max_batches: int = 100, max_seconds: float = 180, max_bytes: int = 16 << 20, clock=time.monotonic) -> dict:
+    """Publishes pending batches, combined, the first one and as many more as
+    ``max_bytes`` of files hold; those known already are only acknowledged."""
     began, known = clock(), target.known()
     todo = outbox.pending()[:max_batches]
     replayed = [n for n in todo if n in known]
     fresh: dict[int, dict[str, DataFrame]] = {}
+    size = 0
     for n in todo:
         if n not in known:
-            if fresh and clock() - began >= max_seconds:
+            size += outbox.bytes(n)
+            if fresh and (size > max_bytes or clock() - began >= max_seconds):
                 break
             fresh[n] = outbox.read(n)
     if fresh:

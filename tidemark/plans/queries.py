@@ -456,8 +456,11 @@ def union_by_name(spark, d):
 
 
 def queries() -> dict[str, Query]:
+    from . import flows  # noqa: F401  adds its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

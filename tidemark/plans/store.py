@@ -5,16 +5,18 @@ A batch writes its tables under ``<table>/batch=<n>`` and becomes visible when
 every message, the rows of its newest committed batch, so a replay replaces a
 message's earlier rows without rewriting them; a replay that yields no rows hides
 the old ones. A crash before the commit leaves an invisible folder that the next
-attempt overwrites. ``compact`` rewrites what is visible into one batch."""
+attempt overwrites. ``compact`` rewrites what is visible into one batch, from
+which on the log is read; ``vacuum`` deletes what came before."""
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..files import Files
-from ..operators.keys import newest_batches
+from ..operators.keys import newest_batches, without
 
 KEYS = ("source_id", "message_id")
 
@@ -23,16 +25,25 @@ class ConcurrentCommit(RuntimeError):
     """Another writer committed the same batch number first."""
 
 
+def _number(path: str) -> int:
+    return int(path.rsplit("/", 1)[-1].split(".")[0])
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str]):
         self.spark, self.root, self.schemas, self.files = spark, root.rstrip("/"), schemas, Files(spark)
 
     def commits(self) -> list[dict]:
-        return [json.loads(self.files.read(p)) for p in self.files.list(f"{self.root}/_commits")]
+        """The log from the last compaction on."""
+        names = self.files.list(f"{self.root}/_commits")
+        if not names:
+            return []
+        last = json.loads(self.files.read(names[-1]))
+        return [json.loads(self.files.read(p)) for p in names[:-1] if _number(p) >= last["start"]] + [last]
 
     def next_number(self) -> int:
         names = self.files.list(f"{self.root}/_commits")
-        return int(names[-1].rsplit("/", 1)[-1].split(".")[0]) + 1 if names else 1
+        return _number(names[-1]) + 1 if names else 1
 
     def path(self, table: str, n: int) -> str:
         return f"{self.root}/{table}/batch={n:020d}"
@@ -67,18 +78,58 @@ class Store:
         """The newest structure under which each message was processed."""
         return newest_batches(self.batches("processed_messages"), KEYS, "batch").drop("batch")
 
+    def note(self, name: str):
+        """The newest value that a commit has of a name, or None."""
+        return next((c[name] for c in reversed(self.commits()) if c.get(name) is not None), None)
+
+    def drop(self, n: int, *tables: str) -> None:
+        """Deletes a batch's working tables, which no commit names."""
+        for t in tables:
+            self.files.delete(self.path(t, n))
+
+    def probe(self) -> None:
+        """Raises if the store cannot be written: a file is made and taken back."""
+        path = f"{self.root}/_probe/{id(self)}"
+        if not self.files.create(path, ""):
+            raise PermissionError(path)
+        self.files.delete(path)
+
     def events(self) -> DataFrame:
         """Events of each message's newest batch, by the ledger's batch number."""
         return newest_batches(self.batches("state_events"), KEYS, "batch", of=self.batches("processed_messages")).drop("batch")
 
-    def compact(self) -> int:
-        """Rewrites what is visible as one batch; earlier ones are then unused."""
-        n = self.next_number()
-        tables = [t for t in self.schemas if any(t in c["tables"] for c in self.commits())]
+    def compact(self, lost: dict[str, DataFrame] | None = None) -> int:
+        """Rewrites what is visible, less the rows by key that ``lost`` names for a
+        table, as one batch; earlier ones are then unused."""
+        n, log = self.next_number(), self.commits()
+        tables = [t for t in self.schemas if any(t in c["tables"] for c in log)]
         for t in tables:
             df = self.events() if t == "state_events" else self.ledger() if t == "processed_messages" else self.read(t)
-            rows = self.write(n, t, df).count()
-            if rows != df.count():  # never make a snapshot visible that lost rows
+            if lost and t in lost:
+                df = without(df, lost[t], lost[t].columns)
+            seen = Observation()
+            rows = self.write(n, t, df.observe(seen, F.count(F.lit(1)).alias("n"))).count()
+            if rows != seen.get["n"]:  # never make a snapshot visible that lost rows
                 raise RuntimeError(f"compaction of {t} kept {rows} rows")
-        self.commit(n, tables, start=n, compacted=True)
+        notes = {k: v for c in log for k, v in c.items() if k not in ("batch", "tables", "start")}
+        self.commit(n, tables, **notes | {"start": n, "compacted": True})
         return n
+
+    def delete(self, table: str, rows: DataFrame, keys: list[str]) -> int:
+        """Deletes the rows of these keys from a table."""
+        return self.compact({table: rows.select(*keys).distinct()})
+
+    def vacuum(self) -> int:
+        """Deletes the batches and commits that the last compaction has replaced;
+        how many. Readers that began before it must have ended."""
+        log, gone = self.commits(), 0
+        start = log[-1]["start"] if log else 0
+        for t in [p for p in self.files.list(self.root) if not p.rsplit("/", 1)[-1].startswith("_commits")]:
+            for p in self.files.list(t):
+                if "batch=" in p.rsplit("/", 1)[-1] and int(p.rsplit("batch=", 1)[1]) < start:
+                    self.files.delete(p)
+                    gone += 1
+        for p in self.files.list(f"{self.root}/_commits"):
+            if _number(p) < start:
+                self.files.delete(p)
+        return gone

@@ -2,7 +2,9 @@
 
 A row is uploaded when a committed Bronze batch holds its key, so there is no
 acknowledgement to lose: a batch that was committed is never sent again, and one
-that was not is sent whole. Failures leave only the exception's class and a count."""
+that was not is sent whole. Failures leave only the exception's class and a count;
+``outcome`` is told the keys of every batch and what became of it, for spools that
+keep attempts by row."""
 
 from __future__ import annotations
 
@@ -19,6 +21,7 @@ from ..operators.keys import insert_or_ignore, without
 from ..sources.ndjson import validated
 from .store import ConcurrentCommit, Store
 
+PAUSE_S = 0.2
 TABLES = {"ws_messages": (schemas.MESSAGES, "message_id", "received_at"), "structures": (schemas.STRUCTURES, "structure_id", "captured_at")}
 
 
@@ -37,8 +40,8 @@ class Uploader:
     """``spools`` gives the spool of each table; columns that it lacks are NULL,
     ``ingested_at`` is the upload's time."""
 
-    def __init__(self, spark: SparkSession, root: str, spools: dict[str, Callable[[], DataFrame]], limits: UploadLimits = UploadLimits(), clock: Callable[[], float] = time.monotonic):
-        self.spark, self.spools, self.limits, self.clock = spark, spools, limits, clock
+    def __init__(self, spark: SparkSession, root: str, spools: dict[str, Callable[[], DataFrame]], limits: UploadLimits = UploadLimits(), clock: Callable[[], float] = time.monotonic, outcome: Callable[[str, list[str], str | None], object] | None = None):
+        self.spark, self.spools, self.limits, self.clock, self.outcome = spark, spools, limits, clock, outcome
         self.store = Store(spark, root, {t: TABLES[t][0] for t in spools})
 
     def bronze(self, table: str) -> DataFrame:
@@ -56,10 +59,20 @@ class Uploader:
         names = [f.name for f in self.spark.createDataFrame([], schema).schema]
         have = picked.columns
         row = picked.select(*[F.current_timestamp().alias(c) if c == "ingested_at" else F.col(c) if c in have else F.lit(None).alias(c) for c in names])
-        done = self.store.write(n, table, insert_or_ignore(self.bronze(table).select(key), validated(row), [key], [at]))
-        count = done.count()
-        if count:
-            self.store.commit(n, [table], rows=count)
+        keys = [] if self.outcome is None else [r[0] for r in picked.select(key).collect()]  # of a batch
+        try:
+            done = self.store.write(n, table, insert_or_ignore(self.bronze(table).select(key), validated(row), [key], [at]))
+            count = done.count()
+            if count:
+                self.store.commit(n, [table], rows=count)
+        except ConcurrentCommit:
+            raise
+        except Exception as e:
+            if keys:
+                self.outcome(table, keys, type(e).__name__)
+            raise
+        if keys:
+            self.outcome(table, keys, None)
         return count
 
     def run(self) -> dict:
@@ -78,7 +91,9 @@ class Uploader:
                     try:
                         count = self.upload_batch(t)
                     except ConcurrentCommit:
-                        continue  # another uploader took the number; look again
+                        batches += 1  # another uploader took the number; look again a little later
+                        time.sleep(PAUSE_S)
+                        continue
                     if not count:
                         break
                     out[t] += count

@@ -1,6 +1,6 @@
 """Sources: NDJSON landings, the date-partitioned archive, SQLite spools."""
-from .archive import archived_messages, archived_structures, write_archive
+from .archive import archive_spool, archived_messages, archived_structures, damaged, write_archive
 from .ndjson import read_ndjson, stream_ndjson, validated
-from .spool import SpoolDataSource, read_spool, register
+from .spool import SpoolDataSource, note_failed, note_uploaded, read_spool, register, tables
 
-__all__ = ["SpoolDataSource", "archived_messages", "archived_structures", "read_ndjson", "read_spool", "register", "stream_ndjson", "validated", "write_archive"]
+__all__ = ["SpoolDataSource", "archive_spool", "archived_messages", "archived_structures", "damaged", "note_failed", "note_uploaded", "read_ndjson", "read_spool", "register", "stream_ndjson", "tables", "validated", "write_archive"]
