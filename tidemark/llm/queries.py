@@ -56,10 +56,16 @@ def op10_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitmanyor.scores(table(spark, sf_dir, "documents"))
 
 
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of op9 and their fixed rules, without the learned ones."""
+    counts = quality.statistics(table(spark, sf_dir, "documents"))
+    return counts.select("doc_id", *quality.COUNTS, quality.base_failed().alias("base_failed"))
+
+
 QUERIES = (
     op1_toxicity_bigru, op2_best_fit_packing, op3_pii_surrogates, op4_warc_capture_index, op5_minhash_neardup,
     op6_transducer_token_counts, op7_spaced_seed_decontamination,
-    op8_language_fusion, op9_quality_rules, op10_pitman_yor_scores,
+    op8_language_fusion, op9_quality_rules, op10_pitman_yor_scores, quality_base,
 )
 
 
@@ -97,5 +103,18 @@ FROM n LEFT JOIN c ON c.whole = n.whole AND n.size > 0 LEFT JOIN k ON k.x = c.re
 """
 
 
+#: Words, symbols and repeated lines and windows of whole texts.
+_BASE_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+h AS (SELECT doc_id, unnest(list_transform(range(1, len(words) - 3), lambda i: md5(array_to_string(words[i:i + 4], ' ')))) AS h, unnest(range(1, len(words) - 3)) AS p FROM w WHERE len(words) >= 5),
+r AS (SELECT doc_id, p FROM h QUALIFY count(*) OVER (PARTITION BY doc_id, h) > 1),
+c AS (SELECT doc_id, count(DISTINCT p + k) AS n FROM r, range(5) x(k) GROUP BY 1),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM w),
+b AS (SELECT w.doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words FROM w JOIN l USING (doc_id) LEFT JOIN c USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc_capture_index": _OP4_SQL, "op5_minhash_neardup": _OP5_SQL}
+    return {"op4_warc_capture_index": _OP4_SQL, "op5_minhash_neardup": _OP5_SQL, "quality_base": _BASE_SQL}
