@@ -7,6 +7,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from datetime import UTC, datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,7 +79,21 @@ def _naive(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
 
-def _refreshed(spark: SparkSession, d: str, batches: int = 3) -> Refresh:
+def _once(flow):
+    """A flow that queries only read from runs once in an application."""
+    kept = {}
+
+    @wraps(flow)
+    def run(spark: SparkSession, d: str):
+        key = (spark.sparkContext.applicationId, d)
+        if key not in kept or not Files(spark).exists(kept[key].root):
+            kept[key] = flow(spark, d)
+        return kept[key]
+
+    return run
+
+
+def _refresh(spark: SparkSession, d: str, batches: int = 3) -> Store:
     """The refresh of all messages in a few batches, run until it has caught up;
     structures' second versions come late and replay what they explain."""
     m, s = _messages(spark, d), _structures(spark, d)
@@ -88,13 +103,16 @@ def _refreshed(spark: SparkSession, d: str, batches: int = 3) -> Refresh:
     r.run()
     now["structures"] = s
     r.run()
-    return r
+    return r.store
+
+
+_refreshed = _once(_refresh)
 
 
 @query(_EVENTS)
 def refresh_events(spark, d):
     """Bounded batches, late structures and replay; of repeated keys the last counts."""
-    e = _refreshed(spark, d).store.events().where("state_uuid <> 'extra'")
+    e = _refreshed(spark, d).events().where("state_uuid <> 'extra'")
     return _naive(e.select(*_COLS), "received_at")
 
 
@@ -103,7 +121,7 @@ UNION ALL SELECT 'succeeded', count(*), count(*) * 2, 5, 20, max(ts) FROM events
 def refresh_runs(spark, d):
     """The runs' own log: what each processed, loaded and reached. Every control
     gives two meanings, its state and its key."""
-    runs = _refreshed(spark, d).store.read("load_runs")
+    runs = _refreshed(spark, d).read("load_runs")
     return _naive(runs.select(
         "status", F.col("messages_processed").alias("messages"), F.col("events_inserted").alias("events"), F.col("structures_loaded").alias("structures"),
         (F.col("mappings_loaded") / 2).cast("long").alias("mappings"), F.col("source_max_ingested_at").alias("top")), "top")
@@ -112,10 +130,10 @@ def refresh_runs(spark, d):
 @query(f"""SELECT source_id, message_id, structure_id FROM ({_EVENTS})""")
 def refresh_ledger(spark, d):
     """The ledger after compaction and the removal of what it replaced."""
-    r = _refreshed(spark, d)
-    r.store.compact()
-    r.store.vacuum()
-    return r.store.ledger().select("source_id", "message_id", "structure_id")
+    store = _refresh(spark, d)
+    store.compact()
+    store.vacuum()
+    return store.ledger().select("source_id", "message_id", "structure_id")
 
 
 @query("SELECT event_id::VARCHAR AS message_id, 'src' || (user_id % 7) AS source_id, ts AS received_at, 2::BIGINT AS version FROM events WHERE event_id % 3 = 0 UNION ALL SELECT event_id::VARCHAR, 'src' || (user_id % 7), ts, 1 FROM events WHERE event_id % 3 <> 0")
@@ -150,10 +168,11 @@ def upload_bronze(spark, d):
     return up.bronze("ws_messages").select("message_id", "source_id", F.sha2("payload_json", 256).alias("sha"))
 
 
+@_once
 def _published(spark: SparkSession, d: str) -> Target:
     """Three outbox batches, the last of which replaces a fifth of the messages, are
     published together, then once more."""
-    e = _refreshed(spark, d).store.events().where("state_uuid <> 'extra'")
+    e = _refreshed(spark, d).events().where("state_uuid <> 'extra'")
     number = F.col("message_id").cast("long")
     first, second = e.where(number % 2 == 0), e.where(number % 2 == 1)
     changed = e.where(number % 5 == 0).withColumns({"value_numeric": -F.col("value_numeric"), "loaded_at": F.col("loaded_at") + F.expr("INTERVAL 1 DAY")})
@@ -247,8 +266,8 @@ def store_delete_expired(spark, d):
 @query("SELECT unnest(['current_state', 'data_quality', 'hourly_state', 'mapping_conflicts', 'retention_hints', 'state_events', 'unresolved_states']) AS view, unnest([17, 3, 10, 6, 7, 27, 7])::BIGINT AS columns")
 def registered_views(spark, d):
     """The views that a SQL user finds, with their numbers of columns."""
-    r = _refreshed(spark, d)
-    names = marts.register_views(spark, r.store.events(), r.store.read("state_uuid_map"), r.store.read("structure_versions"), _structures(spark, d), "tm_")
+    store = _refreshed(spark, d)
+    names = marts.register_views(spark, store.events(), store.read("state_uuid_map"), store.read("structure_versions"), _structures(spark, d), "tm_")
     known = {x.name for x in spark.catalog.listTables()}
     return spark.createDataFrame([(n.removeprefix("tm_"), len(spark.table(n).columns)) for n in names if n in known], "view string, columns long")
 
