@@ -52,12 +52,14 @@ def saved(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     return back
 
 
-def forget(*tables: DataFrame) -> None:
-    """Deletes tables that ``saved`` wrote and nothing reads any more."""
+def forget(*tables: DataFrame, parts: tuple[str, ...] = ("",)) -> None:
+    """Deletes tables that ``saved`` wrote, or parts of them, and nothing reads any
+    more."""
     for t in tables:
-        jvm = t.sparkSession._jvm
-        where = jvm.org.apache.hadoop.fs.Path(t._saved_at)
-        where.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+        for part in parts:
+            jvm = t.sparkSession._jvm
+            where = jvm.org.apache.hadoop.fs.Path(f"{t._saved_at}/{part}")
+            where.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def cleared(spark: SparkSession) -> None:

@@ -23,8 +23,9 @@ How it is spread out:
 3. Buckets sum up their pairs. A dish of one customer has one table; only pairs
    seen twice or more need sampling and become a table, rewritten by each sweep:
    contexts and words of the book are looked up, others are joined. Then the word
-   restaurant is seated, one pass over the vocabulary, and the letters on the
-   driver, which have at most 2^23 cells however large the corpus.
+   restaurant is seated, one pass over the words seen twice or more - a word seen
+   once has one customer and one table for good -, and the letters on the driver,
+   which have at most 2^23 cells however large the corpus.
 4. Buckets answer every pair of every block with its probability, and blocks sum
    them up by text.
 
@@ -55,10 +56,10 @@ from pyspark.sql import functions as F
 
 from .common import cleared, crc_mod, forget, lower_words, saved
 
-BURN_IN, SAMPLES = 2, 2
+BURN_IN, SAMPLES = 1, 2
 FREQUENT = 250_000     # below 2^20, as two numbers share a long
 MEMORY = 400_000       # words that a task counts before it passes them on
-BLOCK_TOKENS = 500_000
+BLOCK_TOKENS = 1_000_000
 BUCKET_TOKENS = 2_000_000
 THETA_CONTEXT, THETA_WORD, THETA_LETTER = 1.0, 10.0, 1.0
 #: Fixed: bytes that no word holds, used for the end of a word and before it.
@@ -163,6 +164,7 @@ class Letters:
     p: np.ndarray = field(default_factory=lambda: np.empty(0))                 # their probabilities
     back: np.ndarray = field(default_factory=lambda: np.ones(1 << BITS[3], np.float32))  # weight of the parent
     below: np.ndarray = field(default_factory=lambda: np.full(1 << (BITS[2] + 8), 1 / 256, np.float32))  # all of level 2
+    table: np.ndarray | None = None  # of all cells, made where many are asked
 
     def prob(self, key: np.ndarray) -> np.ndarray:
         out = self.back[key >> np.uint32(8)].astype(np.float64) * self.below[up(key, 2)]
@@ -172,9 +174,17 @@ class Letters:
             out[hit] = self.p[k[hit]]
         return out
 
+    def laid_out(self) -> Letters:
+        """With the logarithms of all cells: 32 MB."""
+        if self.table is None:
+            self.table = np.log(self.prob(np.arange(CELLS, dtype=np.uint32))).astype(np.float32)
+        return self
+
     def log_words(self, key: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Natural-log probability of every spelling."""
-        return np.add.reduceat(np.log(self.prob(key)), first) if len(first) else np.empty(0)
+        if not len(first):
+            return np.empty(0)
+        return np.add.reduceat(self.laid_out().table[key].astype(np.float64), first)
 
 
 def sweep_letters(keys: np.ndarray, counts: np.ndarray, before: Letters, tables: dict, n: int) -> tuple[Letters, dict]:
@@ -270,41 +280,83 @@ def _coded(book):
     return run
 
 
+def _gathered(batches, rows: int = 50_000):
+    """Larger batches of the same rows."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+class Tally:
+    """Customers of letters, summed over all cells: 64 MB."""
+
+    def __init__(self):
+        self.n = np.zeros(CELLS)
+
+    def add(self, key: np.ndarray, c: np.ndarray) -> None:
+        for a in range(0, len(key), 2_000_000):
+            self.n += np.bincount(key[a : a + 2_000_000], c[a : a + 2_000_000], CELLS)
+
+    def rows(self, total: float):
+        """Cells with customers; key CELLS is the number of tables."""
+        k = np.flatnonzero(self.n)
+        return _word_rows(1, np.r_[k, CELLS], np.r_[self.n[k], total], np.zeros(len(k) + 1))
+
+
+def _word_rows(kind, k, x, y):
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k.astype(np.int64)), pa.array(x), pa.array(y)], ["kind", "k", "x", "y"])
+
+
 def _seat_words(sent):
     """Draws the tables of every word: kind 0 has its code, the customers that
     stay after the discount and the log probability of its spelling; kind 1 the
-    letters' customers, summed within the task, key CELLS the number of tables."""
+    letters' customers, summed within the task."""
 
     def run(batches):
         book, letters, d, tables, n = sent.value
-        acc_k, acc_c, total, held = [], [], 0, 0
-
-        def merge():
-            nonlocal acc_k, acc_c, held
-            k, inv = np.unique(np.concatenate(acc_k), return_inverse=True)
-            acc_k, acc_c, held = [k], [np.bincount(inv, np.concatenate(acc_c))], len(k)
-
-        def rows(kind, k, x, y):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(x), pa.array(y)], ["kind", "k", "x", "y"])
-
-        for b in batches:
-            code, c = b.column(1).to_numpy(), b.column(2).to_numpy()
-            if not len(c):
-                continue
-            key, owner, first = events(b.column(0))
+        tally, total = Tally(), 0
+        for b in _gathered(batches):
+            code, c = b.column("code").to_numpy(), b.column("c").to_numpy()
+            key, owner, first = events(b.column("word"))
             lp0 = letters.log_words(key, first)
             t = seat(c, (THETA_WORD + d * tables) * np.exp(lp0), d, mixed(book.ident(code) + np.uint64(n)))
-            yield rows(0, code, np.maximum(c - d * t, 0.0), lp0)
+            yield _word_rows(0, code, np.maximum(c - d * t, 0.0), lp0)
             total += int(t.sum())
-            acc_k.append(key)
-            acc_c.append(t[owner].astype(float))
-            held += len(key)
-            if held > 4_000_000:
-                merge()
-        if acc_k:
-            merge()
-            m = acc_c[0] > 0
-            yield rows(1, np.r_[acc_k[0][m].astype(np.int64), CELLS], np.r_[acc_c[0][m], float(total)], np.zeros(m.sum() + 1))
+            tally.add(key, t[owner].astype(float))
+        yield tally.rows(float(total))
+
+    return run
+
+
+def _count_letters(batches):
+    """The letters' customers of words that have one table each."""
+    tally, total = Tally(), 0
+    for b in _gathered(batches):
+        key, _, _ = events(b.column("word"))
+        tally.add(key, np.ones(len(key)))
+        total += b.num_rows
+    yield tally.rows(float(total))
+
+
+def _spelt(sent):
+    """Log probabilities, one for each sample, of words seen once or never."""
+
+    def run(batches):
+        d, seatings = sent.value
+        for b in _gathered(batches):
+            stay = np.where(b.column("c_train").to_numpy() > 0, 1 - d, 0.0)
+            key, _, first = events(b.column("word"))
+            out = []
+            with np.errstate(divide="ignore"):
+                for letters, weight, size in seatings:
+                    out.append((np.logaddexp(np.log(stay), np.log(weight) + letters.log_words(key, first)) - np.log(size)).astype(np.float32))
+            yield pa.RecordBatch.from_arrays([b.column("code").combine_chunks(), *map(pa.array, out)], ["w", *_XS])
 
     return run
 
@@ -464,16 +516,15 @@ def _seat_pairs(sent, sample: int):
 
     def run(batches):
         book, d, tables, lp, n = sent.value
-        for b in batches:
-            key, u, w, c, tu, lw = (b.column(k).to_numpy(zero_copy_only=False) for k in range(6))
-            if not len(u):
-                continue
+        for b in _gathered(batches):
+            key, u, w, c, tu, lw = (b.column(k).to_numpy() for k in range(6))
             at = lambda x, k: x[np.maximum(k, 0)] if len(x) else np.zeros(len(k))
             total = np.where(u >= 0, at(tables, u), tu)
             p = np.exp(np.where(w >= 0, at(lp, w), lw))
             t = seat(c, (THETA_CONTEXT + d * total) * p, d, mixed(mixed(book.ident(u) + np.uint64(n)) ^ book.ident(w)))
-            kept = [b.column(6 + k) if k != sample else pa.array(t) for k in range(SAMPLES)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(3), pa.array(t), *kept], ["key", "u", "w", "c", "t", *_TS])
+            t = t.astype(np.int32)
+            kept = [b.column(6 + k).combine_chunks() if k != sample else pa.array(t) for k in range(SAMPLES)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (key, u, w, c, t)), *kept], ["key", "u", "w", "c", "t", *_TS])
 
     return run
 
@@ -493,6 +544,21 @@ def predict(c, t, total, customers, lp, d) -> np.ndarray:
         return (np.logaddexp(np.log(own), rest) - np.log(len(t) * (THETA_CONTEXT + customers))) / np.log(10)
 
 
+#: Log probabilities travel as multiples of 1 / STEPS, those beyond -65535 / STEPS
+#: as floats; the first byte tells which.
+STEPS = 2048
+
+
+def shorten(p: np.ndarray) -> bytes:
+    if not len(p) or p.min() < -65535 / STEPS:
+        return b"f" + squeeze(p.astype(np.float32))
+    return b"s" + squeeze(np.rint(np.minimum(p, 0) * -STEPS).astype(np.uint16))
+
+
+def lengthen(raw: bytes) -> np.ndarray:
+    return expand(raw[1:], np.float32).astype(float) if raw[:1] == b"f" else expand(raw[1:], np.uint16) / -STEPS
+
+
 def _answer(sent):
     """Log probabilities of a bucket's pairs, block by block, and the training
     counts of words outside the book, plus one."""
@@ -500,7 +566,7 @@ def _answer(sent):
     def run(key, table, told):
         book, d, tables, lp = sent.value
         what, tu, tw, n = (told.column(c).to_numpy() for c in ("kind", "u", "w", "n"))
-        xs = np.array([told.column(c).to_numpy() for c in _XS])
+        xs = np.array([told.column(c).to_numpy() for c in _XS], float)
         m = what == MULTI
         mu, mw, mt = tu[m], tw[m], xs[:, m]
         o = np.lexsort((mw, mu))
@@ -532,9 +598,9 @@ def _answer(sent):
                 q[:, k] = lp[:, w[k]]
                 at = np.searchsorted(word, w[~k])
                 q[:, ~k], known[~k] = word_lp[:, at], word_n[at] + 1
-            p = predict(c, t, total, customers, q, d).astype(np.float32)
+            p = predict(c, t, total, customers, q, d)
             for b, k in zip(blobs, of):
-                out.append((b[0], key[0].as_py(), kind, squeeze(p[k]), b"" if known is None else squeeze(known[k])))
+                out.append((b[0], key[0].as_py(), kind, shorten(p[k]), b"" if known is None else squeeze(known[k])))
         return pa.Table.from_batches([_rows(out, _TOLD)])
 
     return run
@@ -546,8 +612,9 @@ def _finish(n: int, v: int):
     def run(key, texts, told):
         doc, number = expand(texts.column("a")[0].as_py(), DOC), expand(texts.column("b")[0].as_py(), np.uint32)
         rows = sorted(zip(*(told.column(c).to_pylist() for c in ("key", "kind", "a", "b"))), key=lambda r: r[:2])
-        p = np.concatenate([expand(r[2], np.float32) for r in rows]).astype(float)
-        c = np.concatenate([expand(r[3], np.uint32).astype(np.int64) if r[1] == ANY else np.zeros(len(expand(r[2], np.float32)), np.int64) for r in rows])
+        ps = [lengthen(r[2]) for r in rows]
+        c = np.concatenate([expand(r[3], np.uint32).astype(np.int64) if r[1] == ANY else np.zeros(len(p), np.int64) for r, p in zip(rows, ps)])
+        p = np.concatenate(ps)
         base = np.where(c > 0, np.log10((np.maximum(c, 1) - 0.9) / (n + 0.1 * (v + 1))), 0.0) if n else np.zeros(len(c))
         of = np.repeat(np.arange(len(doc)), doc["n"])
         add = lambda x: np.bincount(of, x[number], len(doc))
@@ -564,25 +631,30 @@ def _finish(n: int, v: int):
 
 class Model:
     """The seating of contexts and words: a table of pairs seen twice or more, a
-    table of the vocabulary, arrays for the book."""
+    table of the words seen twice or more, arrays for the book."""
 
     def __init__(self, spark, book: Book, words: DataFrame, told: DataFrame):
         self.spark, self.book = spark, book
         kind = lambda k: told.where(F.col("kind") == k)
-        zeros = [F.lit(0).cast("long").alias(c) for c in _TS]
-        self.multi = saved(kind(MULTI).select("key", "u", "w", "c", F.lit(1).cast("long").alias("t"), *zeros), "pairs")
+        zeros = [F.lit(0).cast("int").alias(c) for c in _TS]
+        self.multi = saved(kind(MULTI).select(F.col("key").cast("int").alias("key"), "u", "w", F.col("c").cast("int").alias("c"), F.lit(1).alias("t"), *zeros), "pairs")
         self.once = saved(kind(ONCE_U).groupBy("u").agg(F.sum("c").alias("n")), "contexts")
         once_w = kind(ONCE_W).groupBy("w").agg(F.sum("c").alias("n"))
-        self.words = saved(words.join(once_w.withColumnRenamed("w", "code"), "code", "left").select("word", "code", "c_train", F.coalesce("n", F.lit(0)).alias("n")), "words")
+        self.words = saved(words.where("c_train > 1").join(once_w.withColumnRenamed("w", "code"), "code", "left").select("word", "code", "c_train", F.coalesce("n", F.lit(0)).alias("n")), "words")
+        self.few = words.where("c_train < 2")  # one table or none
+        got = self.few.where("c_train = 1").mapInArrow(_count_letters, "kind int, k long, x double, y double").groupBy("k").agg(F.sum("x").alias("x")).toArrow()  # CELLS + 1 sums at most
+        self.always = np.zeros(CELLS + 1)
+        self.always[got.column("k").to_numpy()] = got.column("x").to_numpy()
         self.once_book = self.array(self.once.where("u >= 0"), "u", "n")
         n1, n2 = self.once.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], self.multi.where("c = 2").count()
         self.d = discount(n1, n2)
-        ones = self.customers().agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") == 1).alias("one"), F.count_if(F.col("c") == 2).alias("two")).first()
-        self.d_word = discount(ones["one"], ones["two"])
+        ones = self.customers().agg(F.count_if(F.col("c") == 1).alias("one"), F.count_if(F.col("c") == 2).alias("two")).first()
+        self.d_word = discount(ones["one"] + self.always[CELLS], ones["two"])
         self.letters, self.letter_tables, self.tables = Letters(), {}, 0.0
         self.book_tables, self.rare_tables = self.contexts()
-        self.samples = []  # of the book: tables and log probabilities
-        self.rare = []     # of other words: log probabilities
+        self.samples = []   # of the book: tables and log probabilities
+        self.rare = []      # of other words seen twice or more: log probabilities
+        self.seatings = []  # letters, and the weight and size of the word restaurant
 
     def array(self, rows: DataFrame, at: str, value: str) -> np.ndarray:
         """By place in the book; FREQUENT rows at most."""
@@ -598,7 +670,7 @@ class Model:
     def contexts(self) -> tuple[np.ndarray, DataFrame]:
         """Tables by context: of the book, and of others with pairs seen twice."""
         t = self.multi.groupBy("u").agg(F.sum("t").alias("t"))
-        rare = t.where("u < 0").join(self.once, "u", "left").select("u", (F.col("t") + F.coalesce("n", F.lit(0))).cast("double").alias("tu"))
+        rare = t.where("u < 0").join(self.once.where("u < 0"), "u", "left").select("u", (F.col("t") + F.coalesce("n", F.lit(0))).cast("double").alias("tu"))
         return self.once_book + self.array(t.where("u >= 0"), "u", "t"), saved(rare, "tables")
 
     def sweep(self, n: int) -> None:
@@ -606,34 +678,50 @@ class Model:
         sent = sc.broadcast((self.book, self.letters, self.d_word, self.tables, n))
         seated = saved(self.customers().mapInArrow(_seat_words(sent), "kind int, k long, x double, y double"), "seated", by="kind")
         got = seated.where("kind = 1").groupBy("k").agg(F.sum("x").alias("x")).toArrow()  # CELLS + 1 sums at most
-        k, c = got.column("k").to_numpy(), np.rint(got.column("x").to_numpy()).astype(np.int64)
-        o = np.argsort(k)
-        k, c = k[o], c[o]
-        self.tables, left = float(c[k == CELLS].sum()), float(seated.where("kind = 0").agg(F.coalesce(F.sum("x"), F.lit(0.0))).first()[0])
+        c = self.always.copy()
+        c[got.column("k").to_numpy()] += got.column("x").to_numpy()
+        left = float(seated.where("kind = 0").agg(F.coalesce(F.sum("x"), F.lit(0.0))).first()[0])
+        left += (1 - self.d_word) * self.always[CELLS]
+        self.tables = float(c[CELLS])
         # all customers are those that stay plus a discount a table
         size, weight = THETA_WORD + left + self.d_word * self.tables, THETA_WORD + self.d_word * self.tables
         lp = F.when(F.col("x") > 0, F.log(F.col("x") + weight * F.exp("y"))).otherwise(F.lit(float(np.log(weight))) + F.col("y")) - F.lit(float(np.log(size)))
-        words = seated.where("kind = 0").select(F.col("k").alias("w"), lp.cast("float").cast("double").alias("lp"))
+        words = seated.where("kind = 0").select(F.col("k").alias("w"), lp.cast("float").alias("lp"))
         own = self.array(words.where("w >= 0"), "w", "lp")
-        if (inside := k < CELLS).any():
-            self.letters, self.letter_tables = sweep_letters(k[inside].astype(np.uint32), c[inside], self.letters, self.letter_tables, n)
+        before = self.letters
+        if len(k := np.flatnonzero(c[:CELLS])):
+            self.letters, self.letter_tables = sweep_letters(k.astype(np.uint32), np.rint(c[k]).astype(np.int64), before, self.letter_tables, n)
         both = self.multi.where("u >= 0 AND w >= 0")
         other = self.multi.where("u < 0 OR w < 0").join(self.rare_tables, "u", "left").join(words.where("w < 0"), "w", "left")
         cols = ["key", "u", "w", "c", "tu", "lp", *_TS]
-        nothing = F.lit(0.0).alias
-        rows = both.select("key", "u", "w", "c", nothing("tu"), nothing("lp"), *_TS).unionByName(other.fillna(0.0, ["tu", "lp"]).select(*cols))
+        rows = both.select("key", "u", "w", "c", F.lit(0.0).alias("tu"), F.lit(0.0).cast("float").alias("lp"), *_TS).unionByName(other.fillna(0.0, ["tu", "lp"]).select(*cols))
         sent = sc.broadcast((self.book, self.d, self.book_tables, own, n))
-        ddl = ", ".join(f"{c} long" for c in ("key", "u", "w", "c", "t", *_TS))
-        before, old = self.multi, self.rare_tables
+        ddl = "key int, u long, w long, " + ", ".join(f"{c} int" for c in ("c", "t", *_TS))
+        old = self.multi, self.rare_tables
         self.multi = saved(rows.mapInArrow(_seat_pairs(sent, n - BURN_IN), ddl), "pairs")
         self.book_tables, self.rare_tables = self.contexts()
-        forget(before, old)
+        forget(*old)
         if n >= BURN_IN:
             self.samples.append((self.book_tables, own))
             self.rare.append(saved(words.where("w < 0"), "rare"))
+            self.seatings.append((Letters(before.keys, before.p, before.back, before.below), weight, size))
         forget(seated)
         cleared(self.spark)
 
+    def rare_words(self) -> DataFrame:
+        """w, training count and the samples' log probabilities of words outside the
+        book; those of the book that were seen once or never enter its arrays."""
+        sent = self.spark.sparkContext.broadcast((self.d_word, self.seatings))
+        ddl = "w long, " + ", ".join(f"{x} float" for x in _XS)
+        few = saved(self.few.mapInArrow(_spelt(sent), ddl), "few")
+        for k, (_, own) in enumerate(self.samples):
+            own += self.array(few.where("w >= 0"), "w", _XS[k])
+        tagged = [r.select("w", *[F.col("lp").alias(x) if i == k else F.lit(None).cast("float").alias(x) for i, x in enumerate(_XS)]) for k, r in enumerate(self.rare)]
+        many = reduce(DataFrame.unionByName, tagged).groupBy("w").agg(*[F.max(x).alias(x) for x in _XS])
+        count = self.words.where("code < 0").select(F.col("code").alias("w"), F.col("c_train").cast("int").alias("n"))
+        once = self.few.where("code < 0").select(F.col("code").alias("w"), F.col("c_train").cast("int").alias("n"))
+        return saved(many.join(count, "w").unionByName(few.where("w < 0").join(once, "w")), "rare-words")
+
 
 def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
@@ -663,22 +751,23 @@ def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
     blocks = saved(rows.mapInArrow(_blocks(spark.sparkContext.broadcast((book, n, v)), buckets), _DDL), "blocks", by="kind")
     asked = blocks.where(F.col("kind") != TEXTS).groupBy("key")
     told = saved(asked.applyInArrow(_pairs, "kind int, key long, u long, w long, c long"), "told", by="kind")
+    wanted = saved(told.where(F.col("kind") == WANTED).select(F.col("key").cast("int").alias("key"), "w"), "wanted")
     model = Model(spark, book, words, told)
-    forget(words)
+    forget(told)
     cleared(spark)
     for k in range(BURN_IN + SAMPLES):
         model.sweep(k)
-    tagged = [r.select("w", *[F.col("lp").alias(x) if i == k else F.lit(None).cast("double").alias(x) for i, x in enumerate(_XS)]) for k, r in enumerate(model.rare)]
-    lps = reduce(DataFrame.unionByName, tagged).groupBy("w").agg(*[F.max(x).alias(x) for x in _XS])
-    rare = lps.join(model.words.where("code < 0").select(F.col("code").alias("w"), F.col("c_train").alias("n")), "w")
-    wanted = told.where(F.col("kind") == WANTED).select("key", "w").join(rare, "w")
-    known = model.multi.select("key", F.lit(MULTI).alias("kind"), "u", "w", F.col("c").alias("n"), *[F.col(t).cast("double").alias(x) for t, x in zip(_TS, _XS)]).unionByName(
-        wanted.select("key", F.lit(WANTED).alias("kind"), F.lit(0).cast("long").alias("u"), "w", "n", *_XS)
-    )
+    rare = model.rare_words()
+    forget(model.words, words, model.once, model.rare_tables, *model.rare)
+    cleared(spark)
+    known = model.multi.select("key", F.lit(MULTI).alias("kind"), "u", "w", F.col("c").alias("n"), *[F.col(t).cast("float").alias(x) for t, x in zip(_TS, _XS)]).unionByName(
+        wanted.join(rare, "w").select("key", F.lit(WANTED).alias("kind"), F.lit(0).cast("long").alias("u"), "w", "n", *_XS)
+    ).withColumn("key", F.col("key").cast("long"))
     final = spark.sparkContext.broadcast((book, model.d, np.array([t for t, _ in model.samples]), np.array([p for _, p in model.samples])))
     answers = asked.cogroup(known.groupBy("key")).applyInArrow(_answer(final), "block long, key long, kind int, a binary, b binary")
     answers = saved(answers, "answers")
-    forget(told, model.multi, model.words, model.once, model.rare_tables, *model.rare)
+    forget(model.multi, wanted, rare)
+    forget(blocks, parts=(f"kind={BOTH}", f"kind={ANY}"))
     cleared(spark)
     texts = blocks.where(F.col("kind") == TEXTS).select("block", "a", "b")
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_finish(n, v), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
