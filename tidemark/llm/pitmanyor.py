@@ -313,13 +313,13 @@ def _word_rows(kind, k, x, y):
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k.astype(np.int64)), pa.array(x), pa.array(y)], ["kind", "k", "x", "y"])
 
 
-def _seat_words(sent):
+def _seat_words(known, sent):
     """Draws the tables of every word: kind 0 has its code, the customers that
     stay after the discount and the log probability of its spelling; kind 1 the
     letters' customers, summed within the task."""
 
     def run(batches):
-        book, letters, d, tables, n = sent.value
+        book, (letters, d, tables, n) = known.value, sent.value
         tally, total = Tally(), 0
         for b in _gathered(batches):
             code, c = b.column("code").to_numpy(), b.column("c").to_numpy()
@@ -395,9 +395,9 @@ def _rows(rows, schema=_OUT):
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
 
-def _blocks(sent, buckets: int):
+def _blocks(sent, n_train: int, v: int, buckets: int):
     def run(batches):
-        book, n_train, v = sent.value
+        book = sent.value
         at, end = book.at, book.at.get(b"", rare_code(b""))
         base = np.log10((book.c + 0.1) / (n_train + 0.1 * (v + 1))) if n_train else np.zeros(len(book.c))
         part, block = TaskContext.get().partitionId(), 0
@@ -487,35 +487,51 @@ def _summed(blobs, kind: int):
     return u, w, c, np.split(of, np.cumsum([len(b[1]) for b in blobs])[:-1])
 
 
-#: What buckets tell: pairs seen twice or more, the numbers of pairs seen once by
-#: context and by word, and the words outside the book.
-MULTI, ONCE_U, ONCE_W, WANTED = 0, 1, 2, 3
+#: What buckets tell: pairs seen twice or more; the numbers of pairs seen once, by
+#: context and by word - of the book in one row of counts each -; and the words
+#: outside the book.
+MULTI, ONCE_U, ONCE_W, WANTED, BOOK_U, BOOK_W = range(6)
+_PAIRS_DDL = "kind int, key long, u long, w long, c long, a binary"
 
 
-def _pairs(key, table):
-    out = []
-    add = lambda kind, u, w, c: out.append((np.full(len(c), kind, np.int32), np.full(len(c), key[0].as_py()), u, w, c))
-    for kind in (BOTH, ANY):
-        if blobs := list(_asked(table, kind)):
-            u, w, c, _ = _summed(blobs, kind)
-            m, one = c > 1, c == 1
-            add(MULTI, u[m], w[m], c[m])
-            for told, x in ((ONCE_U, u[one]), (ONCE_W, w[one])):
-                x, n = np.unique(x, return_counts=True)
-                add(told, x, x, n.astype(np.int64))
-            if kind == ANY:
-                x = np.unique(w[w < 0])
-                add(WANTED, x, x, np.zeros(len(x), np.int64))
-    cols = [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, np.int32)] + [np.empty(0, np.int64)] * 4
-    return pa.table(dict(zip(("kind", "key", "u", "w", "c"), cols)))
+def _pairs(size: int):
+    def run(key, table):
+        out, book = [], {k: np.zeros(size, np.uint32) for k in (BOOK_U, BOOK_W)}
+        add = lambda kind, u, w, c: out.append((np.full(len(c), kind, np.int32), np.full(len(c), key[0].as_py()), u, w, c))
+        for kind in (BOTH, ANY):
+            if blobs := list(_asked(table, kind)):
+                u, w, c, _ = _summed(blobs, kind)
+                m, one = c > 1, c == 1
+                add(MULTI, u[m], w[m], c[m])
+                for told, counts, x in ((ONCE_U, BOOK_U, u[one]), (ONCE_W, BOOK_W, w[one])):
+                    book[counts] += np.bincount(x[x >= 0], minlength=size).astype(np.uint32)
+                    x, n = np.unique(x[x < 0], return_counts=True)
+                    add(told, x, x, n.astype(np.int64))
+                if kind == ANY:
+                    x = np.unique(w[w < 0])
+                    add(WANTED, x, x, np.zeros(len(x), np.int64))
+        none = np.zeros(1, np.int64)
+        for k in book:
+            add(k, none, none, none)
+        cols = [np.concatenate(x) for x in zip(*out)]
+        a = pa.array([None] * (len(cols[0]) - 2) + [squeeze(x) for x in book.values()], pa.binary())
+        return pa.table(dict(zip(("kind", "key", "u", "w", "c"), cols)) | {"a": a})
+
+    return run
+
+
+def _book_sums(key, table):
+    """Counts of the book of some buckets, added up."""
+    total = sum(expand(x.as_py(), np.uint32).astype(np.int64) for x in table.column("a"))
+    return pa.table({"kind": pa.array([key[0].as_py()], pa.int32()), "a": pa.array([squeeze(total)], pa.binary())})
 
 
-def _seat_pairs(sent, sample: int):
+def _seat_pairs(known, sent, sample: int):
     """Draws the tables of every pair seen twice or more; those of a sample are
     kept in its column."""
 
     def run(batches):
-        book, d, tables, lp, n = sent.value
+        book, (d, tables, lp, n) = known.value, sent.value
         for b in _gathered(batches):
             key, u, w, c, tu, lw = (b.column(k).to_numpy() for k in range(6))
             at = lambda x, k: x[np.maximum(k, 0)] if len(x) else np.zeros(len(k))
@@ -559,12 +575,12 @@ def lengthen(raw: bytes) -> np.ndarray:
     return expand(raw[1:], np.float32).astype(float) if raw[:1] == b"f" else expand(raw[1:], np.uint16) / -STEPS
 
 
-def _answer(sent):
+def _answer(shared, sent):
     """Log probabilities of a bucket's pairs, block by block, and the training
     counts of words outside the book, plus one."""
 
     def run(key, table, told):
-        book, d, tables, lp = sent.value
+        book, (d, tables, lp) = shared.value, sent.value
         what, tu, tw, n = (told.column(c).to_numpy() for c in ("kind", "u", "w", "n"))
         xs = np.array([told.column(c).to_numpy() for c in _XS], float)
         m = what == MULTI
@@ -633,20 +649,27 @@ class Model:
     """The seating of contexts and words: a table of pairs seen twice or more, a
     table of the words seen twice or more, arrays for the book."""
 
-    def __init__(self, spark, book: Book, words: DataFrame, told: DataFrame):
-        self.spark, self.book = spark, book
+    def __init__(self, spark, book, words: DataFrame, told: DataFrame):
+        self.spark, self.known, self.book = spark, book, book.value
         kind = lambda k: told.where(F.col("kind") == k)
         zeros = [F.lit(0).cast("int").alias(c) for c in _TS]
         self.multi = saved(kind(MULTI).select(F.col("key").cast("int").alias("key"), "u", "w", F.col("c").cast("int").alias("c"), F.lit(1).alias("t"), *zeros), "pairs")
         self.once = saved(kind(ONCE_U).groupBy("u").agg(F.sum("c").alias("n")), "contexts")
+        # a few sums of FREQUENT numbers
+        part = F.pmod("key", F.lit(8)).alias("part")
+        rows = told.where(F.col("kind") >= BOOK_U).select("kind", part, "a").groupBy("kind", "part").applyInArrow(_book_sums, "kind int, a binary").collect()
+        added = lambda k: sum((expand(r["a"], np.int64) for r in rows if r["kind"] == k), np.zeros(len(self.book.h), np.int64))
+        self.once_book, of_words = added(BOOK_U).astype(float), added(BOOK_W)
         once_w = kind(ONCE_W).groupBy("w").agg(F.sum("c").alias("n"))
+        if len(at := np.flatnonzero(of_words)):
+            once_w = once_w.unionByName(spark.createDataFrame(pa.table({"w": at, "n": of_words[at]})))
         self.words = saved(words.where("c_train > 1").join(once_w.withColumnRenamed("w", "code"), "code", "left").select("word", "code", "c_train", F.coalesce("n", F.lit(0)).alias("n")), "words")
         self.few = words.where("c_train < 2")  # one table or none
         got = self.few.where("c_train = 1").mapInArrow(_count_letters, "kind int, k long, x double, y double").groupBy("k").agg(F.sum("x").alias("x")).toArrow()  # CELLS + 1 sums at most
         self.always = np.zeros(CELLS + 1)
         self.always[got.column("k").to_numpy()] = got.column("x").to_numpy()
-        self.once_book = self.array(self.once.where("u >= 0"), "u", "n")
-        n1, n2 = self.once.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], self.multi.where("c = 2").count()
+        n1 = self.once.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] + self.once_book.sum()
+        n2 = self.multi.where("c = 2").count()
         self.d = discount(n1, n2)
         ones = self.customers().agg(F.count_if(F.col("c") == 1).alias("one"), F.count_if(F.col("c") == 2).alias("two")).first()
         self.d_word = discount(ones["one"] + self.always[CELLS], ones["two"])
@@ -670,13 +693,14 @@ class Model:
     def contexts(self) -> tuple[np.ndarray, DataFrame]:
         """Tables by context: of the book, and of others with pairs seen twice."""
         t = self.multi.groupBy("u").agg(F.sum("t").alias("t"))
-        rare = t.where("u < 0").join(self.once.where("u < 0"), "u", "left").select("u", (F.col("t") + F.coalesce("n", F.lit(0))).cast("double").alias("tu"))
+        rare = t.where("u < 0").join(self.once, "u", "left").select("u", (F.col("t") + F.coalesce("n", F.lit(0))).cast("double").alias("tu"))
         return self.once_book + self.array(t.where("u >= 0"), "u", "t"), saved(rare, "tables")
 
     def sweep(self, n: int) -> None:
         sc = self.spark.sparkContext
-        sent = sc.broadcast((self.book, self.letters, self.d_word, self.tables, n))
-        seated = saved(self.customers().mapInArrow(_seat_words(sent), "kind int, k long, x double, y double"), "seated", by="kind")
+        sent = sc.broadcast((self.letters, self.d_word, self.tables, n))
+        seated = saved(self.customers().mapInArrow(_seat_words(self.known, sent), "kind int, k long, x double, y double"), "seated", by="kind")
+        sent.destroy()
         got = seated.where("kind = 1").groupBy("k").agg(F.sum("x").alias("x")).toArrow()  # CELLS + 1 sums at most
         c = self.always.copy()
         c[got.column("k").to_numpy()] += got.column("x").to_numpy()
@@ -695,10 +719,11 @@ class Model:
         other = self.multi.where("u < 0 OR w < 0").join(self.rare_tables, "u", "left").join(words.where("w < 0"), "w", "left")
         cols = ["key", "u", "w", "c", "tu", "lp", *_TS]
         rows = both.select("key", "u", "w", "c", F.lit(0.0).alias("tu"), F.lit(0.0).cast("float").alias("lp"), *_TS).unionByName(other.fillna(0.0, ["tu", "lp"]).select(*cols))
-        sent = sc.broadcast((self.book, self.d, self.book_tables, own, n))
+        sent = sc.broadcast((self.d, self.book_tables, own, n))
         ddl = "key int, u long, w long, " + ", ".join(f"{c} int" for c in ("c", "t", *_TS))
         old = self.multi, self.rare_tables
-        self.multi = saved(rows.mapInArrow(_seat_pairs(sent, n - BURN_IN), ddl), "pairs")
+        self.multi = saved(rows.mapInArrow(_seat_pairs(self.known, sent, n - BURN_IN), ddl), "pairs")
+        sent.destroy()
         self.book_tables, self.rare_tables = self.contexts()
         forget(*old)
         if n >= BURN_IN:
@@ -714,6 +739,7 @@ class Model:
         sent = self.spark.sparkContext.broadcast((self.d_word, self.seatings))
         ddl = "w long, " + ", ".join(f"{x} float" for x in _XS)
         few = saved(self.few.mapInArrow(_spelt(sent), ddl), "few")
+        sent.destroy()
         for k, (_, own) in enumerate(self.samples):
             own += self.array(few.where("w >= 0"), "w", _XS[k])
         tagged = [r.select("w", *[F.col("lp").alias(x) if i == k else F.lit(None).cast("float").alias(x) for i, x in enumerate(_XS)]) for k, r in enumerate(self.rare)]
@@ -742,17 +768,17 @@ def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
         least = r["s"]
     got = vocabulary.where(F.col("c_all") >= F.lit(2).cast("double") ** least).select("word", "c_train").collect()  # FREQUENT rows at most
     book = Book(got)
-    sent = spark.sparkContext.broadcast(book)
-    words = saved(vocabulary.select("word", "c_train").mapInArrow(_coded(sent), "word binary, code long, c_train long"), "coded")
+    known_words = spark.sparkContext.broadcast(book)
+    words = saved(vocabulary.select("word", "c_train").mapInArrow(_coded(known_words), "word binary, code long, c_train long"), "coded")
     forget(vocabulary)
     cleared(spark)
     buckets = 32 + sum(r["n"] for r in kinds) // BUCKET_TOKENS
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held_out"), F.coalesce(~held, F.lit(False)).alias("trains"))
-    blocks = saved(rows.mapInArrow(_blocks(spark.sparkContext.broadcast((book, n, v)), buckets), _DDL), "blocks", by="kind")
+    blocks = saved(rows.mapInArrow(_blocks(known_words, n, v, buckets), _DDL), "blocks", by="kind")
     asked = blocks.where(F.col("kind") != TEXTS).groupBy("key")
-    told = saved(asked.applyInArrow(_pairs, "kind int, key long, u long, w long, c long"), "told", by="kind")
+    told = saved(asked.applyInArrow(_pairs(len(book.h)), _PAIRS_DDL), "told", by="kind")
     wanted = saved(told.where(F.col("kind") == WANTED).select(F.col("key").cast("int").alias("key"), "w"), "wanted")
-    model = Model(spark, book, words, told)
+    model = Model(spark, known_words, words, told)
     forget(told)
     cleared(spark)
     for k in range(BURN_IN + SAMPLES):
@@ -763,9 +789,11 @@ def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
     known = model.multi.select("key", F.lit(MULTI).alias("kind"), "u", "w", F.col("c").alias("n"), *[F.col(t).cast("float").alias(x) for t, x in zip(_TS, _XS)]).unionByName(
         wanted.join(rare, "w").select("key", F.lit(WANTED).alias("kind"), F.lit(0).cast("long").alias("u"), "w", "n", *_XS)
     ).withColumn("key", F.col("key").cast("long"))
-    final = spark.sparkContext.broadcast((book, model.d, np.array([t for t, _ in model.samples]), np.array([p for _, p in model.samples])))
-    answers = asked.cogroup(known.groupBy("key")).applyInArrow(_answer(final), "block long, key long, kind int, a binary, b binary")
+    final = spark.sparkContext.broadcast((model.d, np.array([t for t, _ in model.samples]), np.array([p for _, p in model.samples])))
+    answers = asked.cogroup(known.groupBy("key")).applyInArrow(_answer(known_words, final), "block long, key long, kind int, a binary, b binary")
     answers = saved(answers, "answers")
+    final.destroy()
+    known_words.destroy()
     forget(model.multi, wanted, rare)
     forget(blocks, parts=(f"kind={BOTH}", f"kind={ANY}"))
     cleared(spark)
