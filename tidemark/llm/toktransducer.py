@@ -316,10 +316,13 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
         import gc
 
         gc.disable()  # the states hold no garbage
-        m = transducer(path)
-        for b in batches:
-            n = [m.count(t.as_py()) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+        try:
+            m = transducer(path)
+            for b in batches:
+                n = [m.count(t.as_py()) for t in b.column(1)]
+                yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+        finally:
+            gc.enable()
 
     t = F.coalesce(F.col("text"), F.lit(""))
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), t.alias("text"), F.octet_length(t).cast("long").alias("n_bytes")).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
