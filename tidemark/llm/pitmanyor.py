@@ -58,9 +58,9 @@ from .common import cleared, crc_mod, forget, lower_words, saved
 
 BURN_IN, SAMPLES = 1, 2
 FREQUENT = 250_000     # below 2^20, as two numbers share a long
-MEMORY = 400_000       # words that a task counts before it passes them on
-BLOCK_TOKENS = 1_000_000
-BUCKET_TOKENS = 2_000_000
+MEMORY = 250_000       # words that a task counts before it passes them on
+BLOCK_TOKENS = 800_000
+BUCKET_TOKENS = 1_500_000
 THETA_CONTEXT, THETA_WORD, THETA_LETTER = 1.0, 10.0, 1.0
 #: Fixed: bytes that no word holds, used for the end of a word and before it.
 STOP, START = 0x20, 0x0A
@@ -177,7 +177,10 @@ class Letters:
     def laid_out(self) -> Letters:
         """With the logarithms of all cells: 32 MB."""
         if self.table is None:
-            self.table = np.log(self.prob(np.arange(CELLS, dtype=np.uint32))).astype(np.float32)
+            table = np.empty(CELLS, np.float32)
+            for a in range(0, CELLS, 1 << 18):
+                table[a : a + (1 << 18)] = np.log(self.prob(np.arange(a, a + (1 << 18), dtype=np.uint32)))
+            self.table = table
         return self
 
     def log_words(self, key: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -280,7 +283,7 @@ def _coded(book):
     return run
 
 
-def _gathered(batches, rows: int = 50_000):
+def _gathered(batches, rows: int = 30_000):
     """Larger batches of the same rows."""
     held, n = [], 0
     for b in batches:
@@ -294,19 +297,18 @@ def _gathered(batches, rows: int = 50_000):
 
 
 class Tally:
-    """Customers of letters, summed over all cells: 64 MB."""
+    """Customers of letters, summed over all cells: 32 MB."""
 
     def __init__(self):
-        self.n = np.zeros(CELLS)
+        self.n = np.zeros(CELLS, np.uint32)
 
-    def add(self, key: np.ndarray, c: np.ndarray) -> None:
-        for a in range(0, len(key), 2_000_000):
-            self.n += np.bincount(key[a : a + 2_000_000], c[a : a + 2_000_000], CELLS)
+    def add(self, key: np.ndarray, c: np.ndarray | int) -> None:
+        np.add.at(self.n, key, c)
 
     def rows(self, total: float):
         """Cells with customers; key CELLS is the number of tables."""
         k = np.flatnonzero(self.n)
-        return _word_rows(1, np.r_[k, CELLS], np.r_[self.n[k], total], np.zeros(len(k) + 1))
+        return _word_rows(1, np.r_[k, CELLS], np.r_[self.n[k].astype(float), total], np.zeros(len(k) + 1))
 
 
 def _word_rows(kind, k, x, y):
@@ -328,7 +330,7 @@ def _seat_words(known, sent):
             t = seat(c, (THETA_WORD + d * tables) * np.exp(lp0), d, mixed(book.ident(code) + np.uint64(n)))
             yield _word_rows(0, code, np.maximum(c - d * t, 0.0), lp0)
             total += int(t.sum())
-            tally.add(key, t[owner].astype(float))
+            tally.add(key, t[owner].astype(np.uint32))
         yield tally.rows(float(total))
 
     return run
@@ -339,7 +341,7 @@ def _count_letters(batches):
     tally, total = Tally(), 0
     for b in _gathered(batches):
         key, _, _ = events(b.column("word"))
-        tally.add(key, np.ones(len(key)))
+        tally.add(key, 1)
         total += b.num_rows
     yield tally.rows(float(total))
 
@@ -666,13 +668,13 @@ class Model:
         self.words = saved(words.where("c_train > 1").join(once_w.withColumnRenamed("w", "code"), "code", "left").select("word", "code", "c_train", F.coalesce("n", F.lit(0)).alias("n")), "words")
         self.few = words.where("c_train < 2")  # one table or none
         got = self.few.where("c_train = 1").mapInArrow(_count_letters, "kind int, k long, x double, y double").groupBy("k").agg(F.sum("x").alias("x")).toArrow()  # CELLS + 1 sums at most
-        self.always = np.zeros(CELLS + 1)
-        self.always[got.column("k").to_numpy()] = got.column("x").to_numpy()
+        self.always = got.column("k").to_numpy(), got.column("x").to_numpy()
+        self.alone = float(self.always[1][self.always[0] == CELLS].sum())
         n1 = self.once.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] + self.once_book.sum()
         n2 = self.multi.where("c = 2").count()
         self.d = discount(n1, n2)
         ones = self.customers().agg(F.count_if(F.col("c") == 1).alias("one"), F.count_if(F.col("c") == 2).alias("two")).first()
-        self.d_word = discount(ones["one"] + self.always[CELLS], ones["two"])
+        self.d_word = discount(ones["one"] + self.alone, ones["two"])
         self.letters, self.letter_tables, self.tables = Letters(), {}, 0.0
         self.book_tables, self.rare_tables = self.contexts()
         self.samples = []   # of the book: tables and log probabilities
@@ -702,19 +704,19 @@ class Model:
         seated = saved(self.customers().mapInArrow(_seat_words(self.known, sent), "kind int, k long, x double, y double"), "seated", by="kind")
         sent.destroy()
         got = seated.where("kind = 1").groupBy("k").agg(F.sum("x").alias("x")).toArrow()  # CELLS + 1 sums at most
-        c = self.always.copy()
-        c[got.column("k").to_numpy()] += got.column("x").to_numpy()
+        k, of = np.unique(np.r_[self.always[0], got.column("k").to_numpy()], return_inverse=True)
+        c = np.rint(np.bincount(of, np.r_[self.always[1], got.column("x").to_numpy()], len(k))).astype(np.int64)
         left = float(seated.where("kind = 0").agg(F.coalesce(F.sum("x"), F.lit(0.0))).first()[0])
-        left += (1 - self.d_word) * self.always[CELLS]
-        self.tables = float(c[CELLS])
+        left += (1 - self.d_word) * self.alone
+        self.tables, k, c = float(c[k == CELLS].sum()), k[k < CELLS], c[k < CELLS]
         # all customers are those that stay plus a discount a table
         size, weight = THETA_WORD + left + self.d_word * self.tables, THETA_WORD + self.d_word * self.tables
         lp = F.when(F.col("x") > 0, F.log(F.col("x") + weight * F.exp("y"))).otherwise(F.lit(float(np.log(weight))) + F.col("y")) - F.lit(float(np.log(size)))
         words = seated.where("kind = 0").select(F.col("k").alias("w"), lp.cast("float").alias("lp"))
         own = self.array(words.where("w >= 0"), "w", "lp")
         before = self.letters
-        if len(k := np.flatnonzero(c[:CELLS])):
-            self.letters, self.letter_tables = sweep_letters(k.astype(np.uint32), np.rint(c[k]).astype(np.int64), before, self.letter_tables, n)
+        if len(k):
+            self.letters, self.letter_tables = sweep_letters(k.astype(np.uint32), c, before, self.letter_tables, n)
         both = self.multi.where("u >= 0 AND w >= 0")
         other = self.multi.where("u < 0 OR w < 0").join(self.rare_tables, "u", "left").join(words.where("w < 0"), "w", "left")
         cols = ["key", "u", "w", "c", "tu", "lp", *_TS]
@@ -766,8 +768,8 @@ def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
         if total > FREQUENT:
             break
         least = r["s"]
-    got = vocabulary.where(F.col("c_all") >= F.lit(2).cast("double") ** least).select("word", "c_train").collect()  # FREQUENT rows at most
-    book = Book(got)
+    got = vocabulary.where(F.col("c_all") >= F.lit(2).cast("double") ** least).select("word", "c_train").toArrow()  # FREQUENT rows at most
+    book = Book(zip(got.column("word").to_pylist(), got.column("c_train").to_pylist()))
     known_words = spark.sparkContext.broadcast(book)
     words = saved(vocabulary.select("word", "c_train").mapInArrow(_coded(known_words), "word binary, code long, c_train long"), "coded")
     forget(vocabulary)
