@@ -582,7 +582,7 @@ def _answer(shared, sent):
     counts of words outside the book, plus one."""
 
     def run(key, table, told):
-        book, (d, tables, lp) = shared.value, sent.value
+        book, (d, before, tables, lp) = shared.value, sent.value
         what, tu, tw, n = (told.column(c).to_numpy() for c in ("kind", "u", "w", "n"))
         xs = np.array([told.column(c).to_numpy() for c in _XS], float)
         m = what == MULTI
@@ -599,9 +599,14 @@ def _answer(shared, sent):
                 continue
             u, w, c, of = _summed(blobs, kind)
             t = np.tile(np.minimum(c, 1.0), (SAMPLES, 1))
-            # both are in order of context and word, and every pair seen twice is there
-            mine = ((mu >= 0) & (mw >= 0)) == (kind == BOTH)
-            t[:, c > 1] = mt[:, mine]
+            if kind == ANY:  # both are in order of context and word, and every pair seen twice is there
+                t[:, c > 1] = mt
+            else:  # the sweeps' draws, made again
+                m = np.flatnonzero(c > 1)
+                hu, hw = book.ident(u[m]), book.ident(w[m])
+                for k in range(SAMPLES):
+                    a = (THETA_CONTEXT + d * before[k][u[m]]) * np.exp(lp[k][w[m]])
+                    t[k, m] = seat(c[m], a, d, mixed(mixed(hu + np.uint64(BURN_IN + k)) ^ hw))
             if kind == BOTH:
                 total, customers, q = tables[:, u], book.c[u], lp[:, w]
                 known = None
@@ -677,7 +682,7 @@ class Model:
         self.d_word = discount(ones["one"] + self.alone, ones["two"])
         self.letters, self.letter_tables, self.tables = Letters(), {}, 0.0
         self.book_tables, self.rare_tables = self.contexts()
-        self.samples = []   # of the book: tables and log probabilities
+        self.samples = []   # of the book: tables before and after, log probabilities
         self.rare = []      # of other words seen twice or more: log probabilities
         self.seatings = []  # letters, and the weight and size of the word restaurant
 
@@ -714,7 +719,7 @@ class Model:
         lp = F.when(F.col("x") > 0, F.log(F.col("x") + weight * F.exp("y"))).otherwise(F.lit(float(np.log(weight))) + F.col("y")) - F.lit(float(np.log(size)))
         words = seated.where("kind = 0").select(F.col("k").alias("w"), lp.cast("float").alias("lp"))
         own = self.array(words.where("w >= 0"), "w", "lp")
-        before = self.letters
+        before, tables = self.letters, self.book_tables
         if len(k):
             self.letters, self.letter_tables = sweep_letters(k.astype(np.uint32), c, before, self.letter_tables, n)
         both = self.multi.where("u >= 0 AND w >= 0")
@@ -729,7 +734,7 @@ class Model:
         self.book_tables, self.rare_tables = self.contexts()
         forget(*old)
         if n >= BURN_IN:
-            self.samples.append((self.book_tables, own))
+            self.samples.append((tables, self.book_tables, own))
             self.rare.append(saved(words.where("w < 0"), "rare"))
             self.seatings.append((Letters(before.keys, before.p, before.back, before.below), weight, size))
         forget(seated)
@@ -742,13 +747,15 @@ class Model:
         ddl = "w long, " + ", ".join(f"{x} float" for x in _XS)
         few = saved(self.few.mapInArrow(_spelt(sent), ddl), "few")
         sent.destroy()
-        for k, (_, own) in enumerate(self.samples):
+        for k, (_, _, own) in enumerate(self.samples):
             own += self.array(few.where("w >= 0"), "w", _XS[k])
         tagged = [r.select("w", *[F.col("lp").alias(x) if i == k else F.lit(None).cast("float").alias(x) for i, x in enumerate(_XS)]) for k, r in enumerate(self.rare)]
         many = reduce(DataFrame.unionByName, tagged).groupBy("w").agg(*[F.max(x).alias(x) for x in _XS])
         count = self.words.where("code < 0").select(F.col("code").alias("w"), F.col("c_train").cast("int").alias("n"))
         once = self.few.where("code < 0").select(F.col("code").alias("w"), F.col("c_train").cast("int").alias("n"))
-        return saved(many.join(count, "w").unionByName(few.where("w < 0").join(once, "w")), "rare-words")
+        rare = saved(many.join(count, "w").unionByName(few.where("w < 0").join(once, "w")), "rare-words")
+        forget(few)
+        return rare
 
 
 def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
@@ -786,17 +793,19 @@ def scores(docs: DataFrame, held_out: int = 0, folds: int = 10) -> DataFrame:
     for k in range(BURN_IN + SAMPLES):
         model.sweep(k)
     rare = model.rare_words()
-    forget(model.words, words, model.once, model.rare_tables, *model.rare)
+    # pairs of the book are drawn again where they are asked
+    multi = saved(model.multi.where("u < 0 OR w < 0"), "rare-pairs")
+    forget(model.multi, model.words, words, model.once, model.rare_tables, *model.rare)
     cleared(spark)
-    known = model.multi.select("key", F.lit(MULTI).alias("kind"), "u", "w", F.col("c").alias("n"), *[F.col(t).cast("float").alias(x) for t, x in zip(_TS, _XS)]).unionByName(
+    known = multi.select("key", F.lit(MULTI).alias("kind"), "u", "w", F.col("c").alias("n"), *[F.col(t).cast("float").alias(x) for t, x in zip(_TS, _XS)]).unionByName(
         wanted.join(rare, "w").select("key", F.lit(WANTED).alias("kind"), F.lit(0).cast("long").alias("u"), "w", "n", *_XS)
     ).withColumn("key", F.col("key").cast("long"))
-    final = spark.sparkContext.broadcast((model.d, np.array([t for t, _ in model.samples]), np.array([p for _, p in model.samples])))
+    final = spark.sparkContext.broadcast((model.d, *(np.array(x) for x in zip(*model.samples))))
     answers = asked.cogroup(known.groupBy("key")).applyInArrow(_answer(known_words, final), "block long, key long, kind int, a binary, b binary")
     answers = saved(answers, "answers")
     final.destroy()
     known_words.destroy()
-    forget(model.multi, wanted, rare)
+    forget(multi, wanted, rare)
     forget(blocks, parts=(f"kind={BOTH}", f"kind={ANY}"))
     cleared(spark)
     texts = blocks.where(F.col("kind") == TEXTS).select("block", "a", "b")
