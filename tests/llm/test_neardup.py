@@ -1,5 +1,7 @@
+import os
 import random
 
+import numpy as np
 import pytest
 from cases import AWKWARD, documents, edited, text
 
@@ -143,3 +145,33 @@ def test_texts_of_one_id_join_their_groups(spark):
     rows = [(5, x), (3, x), (5, y), (9, edited(y, 0.01, 4)), (7, z), (7, y), (8, z)]
     got = {(r["doc_id"], r["component_id"]) for r in neardup.near_duplicates(documents(spark, rows)).collect()}
     assert got == {(5, 3), (3, 3), (9, 3), (7, 3), (8, 3)}
+
+
+@pytest.mark.parametrize("columns, shingles", [(4096, 500_000), (7, 2_000)])
+def test_large_group_passes_on_few_pairs(spark, monkeypatch, columns, shingles):
+    """Most of a large group's pairs pass the signature test; what its leaders
+    find is fewer rows than it has members, not a share of its pairs."""
+    monkeypatch.setattr(neardup, "COLUMNS", columns)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", shingles)
+    rows = []
+    base = text(5, 100)
+    for k in range(500):  # one or two words are others: a similarity of 0.65 to 0.81 where no place is shared
+        rng, w = random.Random(k), base.split()
+        for place in rng.sample(range(6, 96, 10), 2 if k % 5 else 1):
+            w[place] = f"other{k}"
+        rows.append((k, " ".join(w)))
+    made, saved = [], neardup.saved
+    monkeypatch.setattr(neardup, "saved", lambda d, tag, *a: made.append((tag, saved(d, tag, *a))) or made[-1][1])
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(documents(spark, rows).repartition(5)).collect()}
+    assert got == {i: c for i, (_, c, _) in brute(rows).items()}
+    assert len(set(got.values())) > 100
+    for tag, d in made:
+        if tag in ("near", "tested", "links") and os.path.isdir(d._saved_at):
+            assert d.count() <= 4 * len(rows), tag
+
+
+def test_common_equals_sets():
+    rng = random.Random(4)
+    a, b = ([np.array(sorted(rng.sample(range(60), rng.randint(0, 30))), np.int64) for _ in range(n)] for n in (9, 7))
+    want = [[len(set(x.tolist()) & set(y.tolist())) for y in b] for x in a]
+    assert neardup.common(a, b).tolist() == want and neardup.common(a[:1], [b[0][:0]]).tolist() == [[0]]

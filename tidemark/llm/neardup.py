@@ -18,12 +18,14 @@
    of the smallest hash, so two meet with a probability of their members'
    similarity and none is split. Everyone is compared to a leader, which settles
    most of a group of near copies. Then members outside a group's largest
-   component lead in turn, ever more of them at once: each meets the members of
-   other components in blocks of ``BLOCK``, and only pairs that pass the signature
-   test are passed on. A leader has met everyone and leaves the group, so a group
-   ends when one component is left.
-5. A signature of 128 minhashes discards hopeless pairs (a link fails that test
-   with probability 7e-6); every link is confirmed on the full sets.
+   component lead in turn, ever more of them at once: a block of leaders and one of
+   members meet with their full sets, whose intersections are a product of
+   matrices, and of their links only those that join components are passed on,
+   fewer than there are members. A leader has met everyone and leaves the group, so
+   a group ends when one component is left.
+5. In small groups and with first leaders a signature of 128 minhashes discards
+   hopeless pairs (a link fails that test with probability 7e-6). Every link is
+   confirmed on the full sets.
 
 The threshold, in per cent, is a parameter: 85 is op5's, the pipeline has 80.
 
@@ -50,7 +52,10 @@ SHINGLE, THRESHOLD = 5, 85
 N_SIG = 128                   # longer signature of candidates
 MISS_TABLES, MISS_SIG = 7.5e-5, 7e-6  # chances to lose a link at the threshold, at most
 SMALL = 16                    # groups of up to its square in pairs are compared at once
-LEADERS, BLOCK = 32, 512      # leaders of a group in the first round; members that meet them at once
+LEADERS, BLOCK = 32, 512      # leaders of a group in the first round; members that meet at once, up to
+BLOCKS, LARGER = 16, 8        # so many blocks, then blocks grow up to so many times, and hold
+BLOCK_SHINGLES = 500_000      # so many shingles at most on average
+COLUMNS = 4096                # shingles of two blocks compared at once
 FREQ_BITS = 18                # buckets of the approximate frequency table
 BROADCAST_ROWS = 1_000_000    # 8-byte ids sent to all executors at most
 
@@ -244,32 +249,60 @@ def _confirm(near: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return two.select("a", "b", i.alias("i"), (F.size("sa") + F.size("sb")).alias("t")).where(100 * F.col("i") >= threshold * (F.col("t") - F.col("i"))).select("a", "b")
 
 
+def common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of a with every set of b."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    x, y = (np.concatenate(s) if s else np.empty(0, np.int64) for s in (a, b))
+    shared = np.intersect1d(x, y)
+
+    def places(s, v):
+        at = np.minimum(np.searchsorted(shared, v), max(len(shared) - 1, 0))
+        hit = np.flatnonzero(shared[at] == v) if len(shared) else np.empty(0, np.int64)
+        return np.repeat(np.arange(len(s)), [len(z) for z in s])[hit], at[hit]
+
+    (ra, ca), (rb, cb) = places(a, x), places(b, y)
+    for k in range(0, len(shared), COLUMNS):  # bounded memory for long sets
+        m, n = np.zeros((len(a), COLUMNS), np.float32), np.zeros((len(b), COLUMNS), np.float32)
+        for d, r, c in ((m, ra, ca), (n, rb, cb)):
+            h = (c >= k) & (c < k + COLUMNS)
+            d[r[h], c[h] - k] = 1
+        out += m @ n.T
+    return out
+
+
 def _meet(threshold: int):
-    """Pairs of a group's leaders and a block of its members that are in
-    different components, may link, and have near signatures."""
-    least = sig_least(threshold)
+    """Links of blocks of a group's leaders and members in different components,
+    on the full sets; of all links as many as join what they join."""
 
     def columns(t: pa.Table):
         rep, n, i, early, comp = (t.column(c).to_numpy() for c in ("rep", "n", "i", "early", "comp"))
-        return rep, n, i, early, comp, np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(-1, N_SIG)
+        return rep, n, i, early, comp, [x.values.to_numpy() for x in t.column("set")]
 
     def run(key, leaders: pa.Table, members: pa.Table) -> pa.Table:
-        out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        out = []
         if len(leaders) and len(members):
             la, ln, li, le, lc, ls = columns(leaders)
             ma, mn, mi, me, mc, ms = columns(members)
-            for k in range(0, len(la), 128):
-                row = lambda x: x[k : k + 128, None]
+            _, part = np.unique(np.r_[lc, mc], return_inverse=True)
+            lp, mp = part[: len(la)], part[len(la) :]
+            name = np.arange(part.max() + 1)  # of each component, as links join them
+            for k in range(0, len(la), 512):
+                row = lambda x: x[k : k + 512, None]
                 most = np.minimum(row(ln - li), mn - mi)
                 may = (row(lc) != mc) & (row(le) | me) & ((100 + threshold) * most >= threshold * (row(ln) + mn))
                 may &= 100 * np.minimum(row(ln), mn) >= threshold * np.maximum(row(ln), mn)
-                x, y = np.nonzero(may)
-                for z in range(0, len(x), 65536):
-                    p, q = x[z : z + 65536] + k, y[z : z + 65536]
-                    m = (ls[p] == ms[q]).sum(axis=1) >= least
-                    out_a.append(la[p[m]])
-                    out_b.append(ma[q[m]])
-        a, b = np.concatenate(out_a), np.concatenate(out_b)
+                x, y = np.flatnonzero(may.any(1)), np.flatnonzero(may.any(0))
+                if not len(x):
+                    continue
+                both = common([ls[k + z] for z in x], [ms[z] for z in y])
+                link = may[np.ix_(x, y)] & ((100 + threshold) * both.astype(np.int64) >= threshold * (ln[k + x][:, None] + mn[y]))
+                for z in np.flatnonzero(link.any(1)):
+                    to = y[link[z]]
+                    theirs, first = np.unique(name[mp[to]], return_index=True)
+                    mine = name[lp[k + x[z]]]
+                    out += [(la[k + x[z]], ma[w]) for w in to[first[theirs != mine]]]
+                    name[np.isin(name, theirs)] = mine
+        a, b = np.array(out, np.int64).reshape(-1, 2).T
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return run
@@ -353,30 +386,34 @@ def classes_and_labels(docs: DataFrame, threshold: int = THRESHOLD) -> tuple[Dat
     if own is not None:
         links = saved(links.unionByName(own), "links")
     labels = components(links)
-    live = saved(large.where(~first_leads).select("g", "rep", "n", "i", "early").join(sets.select("rep", "sig"), "rep"), "live")
-    forget(met, large)
+    live = saved(large.where(~first_leads).select("g", "rep", "n", "i", "early"), "live")
+    forget(met, large, tested)
     cleared(spark)
+    full = sets.select("rep", "set")
+    blocks = lambda m, n: F.greatest(F.lit(1), F.ceil(m / F.greatest(F.lit(BLOCK), F.least(m / BLOCKS, F.lit(LARGER * BLOCK)))), F.ceil(n / BLOCK_SHINGLES)).cast("int")
+    dealt = lambda salt, of: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
     k = LEADERS
     while True:
         named = live.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").select(*live.columns, F.coalesce("component", "rep").alias("comp"))
         named = saved(named, "named")
-        parts = named.groupBy("g", "comp").agg(F.count(F.lit(1)).alias("c"), F.count_if("early").alias("e"))
-        apart = parts.groupBy("g").agg(F.sum("c").alias("m"), F.sum("e").alias("e"), F.max(F.struct("c", "comp")).alias("top")).where("m > top.c AND e > 0")
-        apart = apart.select("g", "m", (F.col("m") - F.col("top.c")).alias("s"), F.col("top.comp").alias("main"))
+        parts = named.groupBy("g", "comp").agg(F.count(F.lit(1)).alias("c"), F.count_if("early").alias("e"), F.sum("n").alias("n"))
+        apart = parts.groupBy("g").agg(F.sum("c").alias("m"), F.sum("e").alias("e"), F.sum("n").alias("sum"), F.max(F.struct("c", "comp", "n")).alias("top")).where("m > top.c AND e > 0")
+        apart = apart.select("g", "m", "sum", (F.col("m") - F.col("top.c")).alias("s"), (F.col("sum") - F.col("top.n")).alias("rest"), F.col("top.comp").alias("main"))
+        share = F.least(F.lit(1.0), k / F.col("s"))
+        apart = apart.withColumn("members", blocks(F.col("m"), F.col("sum"))).withColumn("leaders", blocks(F.col("s") * share, F.col("rest") * share))
         named = saved(named.join(apart, "g").withColumn("leads", (F.col("comp") != F.col("main")) & (F.pmod(F.xxhash64("g", "rep"), F.col("s")) < k)), "apart")
         if not named.limit(1).count():
             break
-        blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-        cols = ["g", "block", "rep", "n", "i", "early", "comp", "sig"]
-        leaders = named.where("leads").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(*cols)
-        members = named.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int")).select(*cols)
-        near = leaders.groupBy("g", "block").cogroup(members.groupBy("g", "block")).applyInArrow(_meet(threshold), "a long, b long")
-        near = saved(near.distinct().join(tested, ["a", "b"], "left_anti"), "near")
-        links, tested = saved(links.unionByName(_confirm(near, sets, threshold)), "links"), saved(tested.unionByName(near), "tested")
+        cols = ["g", "lead", "block", "rep", "n", "i", "early", "comp", "set"]
+        leaders = named.where("leads").withColumn("lead", dealt(1, "leaders")).join(full, "rep").withColumn("block", every("members")).select(*cols)
+        members = named.withColumn("block", dealt(2, "members")).join(full, "rep").withColumn("lead", every("leaders")).select(*cols).toDF(*cols)
+        at = ["g", "lead", "block"]
+        links = saved(links.unionByName(leaders.groupBy(*at).cogroup(members.groupBy(*at)).applyInArrow(_meet(threshold), "a long, b long")), "links")
         labels = components(links)
         cleared(spark)
         live, k = named.where("NOT leads").select(*live.columns), 8 * k
-    forget(sets, tested)
+    forget(sets)
     return signed, reps, labels
 
 
