@@ -1,4 +1,5 @@
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -191,3 +192,24 @@ def test_frequent_contexts_have_restaurants(spark):
 def test_better_than_the_base_on_held_out_texts(spark):
     got = py.scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert got["sum(score)"] > 0.9 * got["sum(base_score)"]
+
+
+def test_little_lies_on_disk_at_once(spark, rows, monkeypatch):
+    """Buckets answer in turns that share no bucket, and parts of the buckets' news
+    go as soon as they are read."""
+    made, seen, saved = {}, {}, py.saved
+
+    def watched(d, tag, *a, **k):
+        back = saved(d, tag, *a, **k)
+        if "told" in made:
+            seen.setdefault(tag, {f for f in os.listdir(made["told"][0]._saved_at) if f.startswith("kind=")} if os.path.isdir(made["told"][0]._saved_at) else set())
+        made.setdefault(tag, []).append(back)
+        if tag == "answers":
+            keys.append({r["key"] for r in back.select("key").distinct().collect()})
+        return back
+
+    keys = []
+    monkeypatch.setattr(py, "saved", watched)
+    assert py.scores(documents(spark, rows).repartition(3)).count() == len(rows)
+    assert len(keys) == 2 and keys[0] and keys[1] and not keys[0] & keys[1]
+    assert f"kind={py.MULTI}" in seen["wanted"] and not {f"kind={py.MULTI}", f"kind={py.WANTED}"} & seen["words"]
